@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import base
+from verification.ctes import with_ctes
 
-MODULES = (base,)
+from . import base, boards, gold, sql_reports
+
+MODULES = (base, gold, sql_reports, boards)
 
 
 def queries():
@@ -12,4 +14,5 @@ def queries():
 
 
 def oracle_sql():
-    return {name: sql for module in MODULES for name, sql in module.SQL.items()}
+    # the CTEs of all modules are known by now
+    return {name: with_ctes(sql) for module in MODULES for name, sql in module.SQL.items()}

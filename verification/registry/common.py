@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verification.ctes import with_ctes
 from verification.tables import Tables
 
 
@@ -18,4 +17,4 @@ class Registry:
     def add(self, name: str, build: Callable[[Tables], DataFrame], sql: str | None = None) -> None:
         self.queries[name] = lambda spark, sf_dir: build(Tables(spark, sf_dir))
         if sql is not None:
-            self.sql[name] = with_ctes(sql)
+            self.sql[name] = sql

@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.operators import flight, hotel, profiles
+from wayfare.operators import curated, flight, hotel, profiles
 from wayfare.sources import catalogues, fixtures
 
 
@@ -68,3 +68,11 @@ class Tables:
     @cached_property
     def flown(self) -> DataFrame:
         return flight.silver(self.flights, self.passengers, self.routes)
+
+    @cached_property
+    def curated(self) -> DataFrame:
+        return curated.bookings(self.bookings)
+
+    @cached_property
+    def voices(self) -> DataFrame:
+        return curated.feedback(self.feedback)

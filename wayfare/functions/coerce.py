@@ -36,6 +36,11 @@ def to_text(c: str | Column) -> Column:
     return F.when(text != "nan", text)
 
 
+def to_whole(c: str | Column) -> Column:
+    """Integer part of a number or of its text ('3.0' and '3.7' are 3)."""
+    return col(c).try_cast("double").try_cast("int")
+
+
 def to_flag(c: str | Column) -> Column:
     """0/1 text or number to boolean by way of an integer."""
-    return col(c).try_cast("int").cast("boolean")
+    return to_whole(c).cast("boolean")
