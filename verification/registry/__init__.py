@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from verification.ctes import with_ctes
 
-from . import base, boards, gold, sql_reports
+from . import base, boards, checks, gold, io, sql_reports
 
-MODULES = (base, gold, sql_reports, boards)
+MODULES = (base, gold, sql_reports, boards, checks, io)
 
 
 def queries():
