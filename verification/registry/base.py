@@ -61,7 +61,9 @@ CTES["flights_typed"] = f"SELECT * REPLACE ({_FLIGHT_INTS}) FROM flights"
 R.add("cst_spec", lambda t: FLIGHTS.coerce(as_text(t.flights)), "SELECT * FROM flights_typed")
 R.add(
     "cst_curated",
-    lambda t: as_text(t.bookings).select("src_key", *[c.alias(n) for n, c in curated.cast_columns().items()]),
+    lambda t: as_text(t.bookings).select(
+        "src_key", *[c.alias(n) for n, c in curated.cast_columns(as_text(t.bookings)).items()]
+    ),
     "SELECT CAST(src_key AS VARCHAR) AS src_key, lead_time, adults, babies, stays_in_weekend_nights, "
     "stays_in_week_nights, booking_changes, days_in_waiting_list, previous_cancellations, total_of_special_requests, "
     "is_canceled = 1 AS is_canceled, is_repeated_guest = 1 AS is_repeated_guest, "
@@ -91,7 +93,7 @@ R.add(
 )
 R.add(
     "cln_coalesce_children",
-    lambda t: t.bookings.select("src_key", curated.cast_columns()["children"].alias("children")),
+    lambda t: t.bookings.select("src_key", curated.cast_columns(t.bookings)["children"].alias("children")),
     "SELECT src_key, CAST(coalesce(children, 0) AS INT) AS children FROM bookings",
 )
 R.add(
@@ -146,7 +148,8 @@ R.add(
     lambda t: as_text(t.bookings).select(
         "src_key",
         dates.date_from_parts(
-            "arrival_date_year", dates.month_number("arrival_date_month", 1), F.lpad("arrival_date_day_of_month", 2, "0")
+            F.lpad("arrival_date_year", 4, "0"), dates.month_number("arrival_date_month", 1),
+            F.lpad("arrival_date_day_of_month", 2, "0"),
         ).alias("arrival_date"),
     ),
     f"SELECT CAST(src_key AS VARCHAR) AS src_key, {ARRIVAL_DATE} AS arrival_date FROM bookings",

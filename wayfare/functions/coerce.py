@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .numeric import col
@@ -36,11 +36,15 @@ def to_text(c: str | Column) -> Column:
     return F.when(text != "nan", text)
 
 
-def to_whole(c: str | Column) -> Column:
+def to_whole(df: DataFrame, c: str) -> Column:
     """Integer part of a number or of its text ('3.0' and '3.7' are 3)."""
-    return col(c).try_cast("double").try_cast("int")
+    kind = dict(df.dtypes)[c]
+    if kind in ("tinyint", "smallint", "int"):
+        return F.col(c)
+    number = F.col(c) if kind in ("bigint", "double", "float") else F.col(c).try_cast("double")
+    return number.try_cast("int")
 
 
-def to_flag(c: str | Column) -> Column:
+def to_flag(df: DataFrame, c: str) -> Column:
     """0/1 text or number to boolean by way of an integer."""
-    return to_whole(c).cast("boolean")
+    return to_whole(df, c).cast("boolean")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .labels import MONTHS
@@ -21,20 +21,32 @@ def month_number(name: str | Column, unknown: int | None = None) -> Column:
 
 
 def date_from_parts(year: str | Column, month: Column, day: str | Column) -> Column:
-    """NULL if a part is missing or the day does not exist (31 June)."""
+    """Date of whole-number parts; NULL if one is missing or the day does not
+    exist (31 June).
+
+    Each part is named once: filters on the date are pushed below the columns
+    it is made of, and every mention is computed again there.
+    """
     parts = [col(year), month, col(day)]
-    text = F.concat_ws("-", *[p.cast("string") for p in parts])
-    known = parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull()
-    return F.when(known, F.try_to_date(text, "yyyy-M-d"))
+    text = F.concat(parts[0].cast("string"), F.lit("-"), parts[1].cast("string"), F.lit("-"), parts[2].cast("string"))
+    return text.try_cast("date")
 
 
-def to_day(c: str | Column) -> Column:
-    """A date column as is, text as ``yyyy-MM-dd``; unparsable gives NULL."""
-    return F.try_to_date(col(c).cast("string"), "yyyy-MM-dd")
+def to_day(df: DataFrame, c: str) -> Column:
+    """A date column as is, text as ``yyyy-MM-dd``; unparsable gives NULL.
+
+    The cast has a parser of its own, many times faster than a pattern; the
+    length keeps out the bare years and months that it would accept.
+    """
+    if dict(df.dtypes)[c] == "date":
+        return F.col(c)
+    text = F.col(c).cast("string")
+    return F.when(F.length(text) >= 8, text.try_cast("date"))
 
 
 def to_moment(c: str | Column) -> Column:
-    return F.try_to_timestamp(col(c), F.lit("yyyy-MM-dd HH:mm:ss"))
+    """Text ``yyyy-MM-dd HH:mm:ss`` as a timestamp; anything else gives NULL."""
+    return F.when(F.length(col(c)) == 19, col(c).try_cast("timestamp"))
 
 
 def year_month(year: str | Column, month: str | Column) -> Column:
@@ -48,5 +60,5 @@ def joined_date(first_booking: str | Column, email: str | Column) -> Column:
     """
     span = JOINED_MAX_DAYS - JOINED_MIN_DAYS + 1
     draw = F.conv(F.substring(F.md5(col(email)), 1, 4), 16, 10).cast("int")
-    start = F.coalesce(to_day(first_booking), F.lit(FIRST_BOOKING_FALLBACK).cast("date"))
+    start = F.coalesce(col(first_booking), F.lit(FIRST_BOOKING_FALLBACK).cast("date"))
     return F.date_sub(start, (F.lit(JOINED_MIN_DAYS) + F.pmod(draw, F.lit(span))).cast("int"))

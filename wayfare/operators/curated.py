@@ -31,11 +31,11 @@ SCORES = ("checkin_satisfaction", "room_satisfaction", "food_satisfaction", "val
 KEY_BLOCK = 1_000_000
 
 
-def cast_columns() -> dict[str, Column]:
-    casts = {c: to_whole(c) for c in INT_COLUMNS}
-    casts |= {c: to_flag(c) for c in FLAG_COLUMNS}
+def cast_columns(df: DataFrame) -> dict[str, Column]:
+    casts = {c: to_whole(df, c) for c in INT_COLUMNS}
+    casts |= {c: to_flag(df, c) for c in FLAG_COLUMNS}
     return casts | {
-        "children": F.coalesce(to_whole("children"), F.lit(0)),
+        "children": F.coalesce(to_whole(df, "children"), F.lit(0)),
         # double, not float: 32 bits lose cents above 131,072
         "adr": F.col("adr").try_cast("double"),
     }
@@ -48,8 +48,8 @@ def bookings(raw: DataFrame) -> DataFrame:
     a shuffle; ``with_booking_id`` adds it to the stored table.
     """
     month = month_number("arrival_date_month", unknown=UNKNOWN_MONTH)
-    day, year = to_whole("arrival_date_day_of_month"), to_whole("arrival_date_year")
-    typed = raw.withColumns(cast_columns())
+    day, year = to_whole(raw, "arrival_date_day_of_month"), to_whole(raw, "arrival_date_year")
+    typed = raw.withColumns(cast_columns(raw))
     shaped = typed.withColumns(
         {
             "arrival_date": date_from_parts(year, month, day),
@@ -57,7 +57,7 @@ def bookings(raw: DataFrame) -> DataFrame:
             "room_upgrade": F.col("reserved_room_type") != F.col("assigned_room_type"),
             "is_premium_meal": F.col("meal").isin(*labels.PREMIUM_MEALS),
             "revenue_bucket": labels.revenue_bucket(),
-            "reservation_status_date": to_day("reservation_status_date"),
+            "reservation_status_date": to_day(raw, "reservation_status_date"),
         }
     ).withColumnsRenamed({"meal": "meal_plan", "total_of_special_requests": "special_requests"})
     return quality(shaped.select(*COLUMNS).dropna(subset=["adr", "arrival_date"]))
@@ -103,7 +103,7 @@ def with_quick_id(df: DataFrame) -> DataFrame:
 def feedback(raw: DataFrame) -> DataFrame:
     """Typed feedback with NPS category and the mean of the four scores."""
     typed = raw.withColumns(
-        {c: to_whole(c) for c in ("nps_score", *SCORES)} | {"stay_date": to_day("stay_date")}
+        {c: to_whole(raw, c) for c in ("nps_score", *SCORES)} | {"stay_date": to_day(raw, "stay_date")}
     )
     score = F.lit(0)
     for c in SCORES:

@@ -49,7 +49,7 @@ def clean(bookings: DataFrame) -> DataFrame:
                 "arrival_date": date_from_parts(
                     "arrival_date_year", month_number("arrival_date_month"), "arrival_date_day_of_month"
                 ),
-                "reservation_status_date": to_day("reservation_status_date"),
+                "reservation_status_date": to_day(bookings, "reservation_status_date"),
                 "total_nights": nights,
                 "is_day_use": is_day_use(nights),
             }

@@ -48,7 +48,7 @@ def guests(bookings: DataFrame, order: Sequence[str] = ("reservation_status_date
         most_common("meal").alias("preferred_meal"),
         most_common("reserved_room_type").alias("preferred_room"),
         F.sum("total_of_special_requests").alias("total_special_requests"),
-        F.min(to_day("reservation_status_date")).alias("first_booking"),
+        F.min(to_day(known, "reservation_status_date")).alias("first_booking"),
     )
     return profile.select(
         labels.guest_id().alias("guest_id"),

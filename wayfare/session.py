@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # profile aggregates keep this many guests in a hash map before they sort
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
 }
 
 
