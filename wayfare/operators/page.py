@@ -128,47 +128,43 @@ def hotel_compare(bookings: DataFrame, feedback: DataFrame) -> DataFrame:
 
 
 def kpi_tiles(raw: DataFrame, bookings: DataFrame, feedback: DataFrame) -> DataFrame:
-    """All tiles in one row. Figures of other groupings come as scalar
-    subqueries, each a single value from an aggregate."""
-    stays = kept(bookings)
-    premium = F.col("is_premium_meal")
+    """All tiles in one row, from one pass over the curated bookings. Figures
+    of other groupings come as scalar subqueries over their aggregates."""
+    premium, stayed = F.col("is_premium_meal"), ~F.col("is_canceled")
 
     def adr_where(condition: Column) -> Column:
-        return mean(F.when(condition, F.col("adr")))
+        return mean(F.when(stayed & condition, F.col("adr")))
+
+    def at_hotel(name: str) -> Column:
+        return premium & (F.col("hotel") == name)
 
-    monthly = stays.filter(premium).groupBy(F.month("arrival_date").alias("m")).agg(mean("adr").alias("adr"))
     # the first month, and the first segment by name, among equals
-    peak = monthly.agg(F.min_by("m", F.struct((-F.col("adr")).alias("a"), "m")).alias("m"), F.max("adr").alias("adr"))
-    shares = bookings.groupBy("market_segment").agg(pct_where(premium).alias("pct"))
-    top = shares.filter(F.col("market_segment").isNotNull()).agg(
-        F.min_by("market_segment", F.struct((-F.col("pct")).alias("p"), "market_segment")).alias("s"),
-        F.max("pct").alias("pct"),
-    )
-    by_stay = stays.agg(
-        adr_where(premium).alias("premium_adr"),
-        adr_where(~premium).alias("standard_adr"),
-        adr_where(premium & (F.col("hotel") == "Resort Hotel")).alias("resort_premium_adr"),
-        adr_where(premium & (F.col("hotel") == "City Hotel")).alias("city_premium_adr"),
+    monthly = bookings.filter(stayed & premium).groupBy(F.month("arrival_date").alias("m")).agg(mean("adr").alias("v"))
+    peak = monthly.agg(F.min_by(F.struct("m", "v"), F.struct((-F.col("v")).alias("a"), "m")).alias("best")).scalar()
+    shares = (
+        bookings.filter(F.col("market_segment").isNotNull())
+        .groupBy(F.col("market_segment").alias("s"))
+        .agg(pct_where(premium).alias("v"))
     )
-    overall = bookings.agg(
+    top = shares.agg(F.min_by(F.struct("s", "v"), F.struct((-F.col("v")).alias("a"), "s")).alias("best")).scalar()
+    tiles = bookings.agg(
         rows().alias("curated_rows"),
         pct_where(premium).alias("premium_conversion_pct"),
         pct_where(F.col("is_canceled")).alias("cancellation_pct"),
         mean("lead_time", 0).alias("avg_lead_time"),
         pct_where(F.col("is_repeated_guest")).alias("repeat_guest_pct"),
         mean("special_requests").alias("avg_special_requests"),
+        adr_where(premium).alias("premium_adr"),
+        adr_where(~premium).alias("standard_adr"),
+        adr_where(at_hotel("Resort Hotel")).alias("resort_premium_adr"),
+        adr_where(at_hotel("City Hotel")).alias("city_premium_adr"),
     )
-
-    def value(df: DataFrame, c: str, name: str | None = None) -> Column:
-        return df.select(c).scalar().alias(name or c)
-
-    return overall.select(
-        "*",
-        *[value(by_stay, c) for c in by_stay.columns],
-        value(peak, "m", "peak_month"),
-        value(peak, "adr", "peak_month_adr"),
-        value(top, "s", "top_segment"),
-        value(top, "pct", "top_segment_pct"),
-        value(feedback.agg(mean("nps_score", 1).alias("n")), "n", "avg_nps"),
-        value(raw.agg(rows().alias("n")), "n", "raw_rows"),
+    return tiles.select("*", peak.alias("_peak"), top.alias("_top")).select(
+        *tiles.columns,
+        F.col("_peak.m").alias("peak_month"),
+        F.col("_peak.v").alias("peak_month_adr"),
+        F.col("_top.s").alias("top_segment"),
+        F.col("_top.v").alias("top_segment_pct"),
+        feedback.agg(mean("nps_score", 1).alias("n")).scalar().alias("avg_nps"),
+        raw.agg(rows().alias("n")).scalar().alias("raw_rows"),
     )
