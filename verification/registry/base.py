@@ -10,7 +10,7 @@ from verification.ctes import (
 )
 from wayfare.functions import coerce, dates, labels
 from wayfare.functions.numeric import round_half_up, rows
-from wayfare.operators import curated, flight, hotel, kpi_hotel, lookups, profiles, reports
+from wayfare.operators import curated, flight, hotel, kpi_hotel, lookups, page, profiles, reports
 from wayfare.sources import catalogues
 from wayfare.sources.spec import FLIGHTS
 
@@ -336,6 +336,20 @@ R.add(
     "SELECT email, CASE loyalty_tier WHEN 'Platinum' THEN 0 WHEN 'Gold' THEN 1 WHEN 'Silver' THEN 2 ELSE 3 END AS tier_order FROM guests",
 )
 
+R.add(
+    "drv_opportunity_label",
+    lambda t: page.segment_table(t.curated).select("market_segment", "opportunity"),
+    "SELECT market_segment, CASE WHEN premium_pct >= 22 THEN 'High' WHEN premium_pct >= 15 THEN 'Medium' "
+    "WHEN premium_pct >= 10 THEN 'Low' ELSE 'None' END AS opportunity FROM funnel",
+)
+R.add(
+    "drv_best_hotel",
+    lambda t: t.curated.groupBy("market_segment").agg(
+        F.max_by("hotel", F.struct(F.col("adr"), F.col("hotel"))).alias("best_hotel"), F.max("adr").alias("best_adr")
+    ),
+    "SELECT market_segment, arg_max(hotel, (adr, hotel)) AS best_hotel, max(adr) AS best_adr FROM curated GROUP BY 1",
+)
+
 # -- joins --------------------------------------------------------------------
 
 R.add("jn_lookup_guests", lambda t: lookups.guest_lookup(t.guests),

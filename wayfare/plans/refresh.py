@@ -41,9 +41,12 @@ def _detect(store: Store, sources: dict[str, DataFrame], compare_content: bool)
     return found
 
 
-def _bronze(store: Store, sources: dict[str, DataFrame], moment: Column, run: Refresh) -> None:
+def _bronze(
+    store: Store, sources: dict[str, DataFrame], moment: Column, run: Refresh, origins: dict[str, str] | None
+) -> None:
     for name, df in sources.items():
-        run.rows[f"bronze_{name}"] = store.write(audit(df, name, moment), f"bronze_{name}")
+        origin = (origins or {}).get(name, name)
+        run.rows[f"bronze_{name}"] = store.write(audit(df, origin, moment), f"bronze_{name}")
 
 
 def refresh_hotel(
@@ -52,12 +55,16 @@ def refresh_hotel(
     store: Store,
     moment: Column | None = None,
     compare_content: bool = False,
+    origins: dict[str, str] | None = None,
 ) -> Refresh:
-    """``sources``: bookings, guests, packages. Rebuilds even if nothing is new."""
+    """``sources``: bookings, guests, packages. Rebuilds even if nothing is new.
+
+    ``origins`` names where each source came from (a path, a database table).
+    """
     moment = F.current_timestamp() if moment is None else moment
     run = Refresh()
     run.detected = _detect(store, sources, compare_content)
-    _bronze(store, sources, moment, run)
+    _bronze(store, sources, moment, run, origins)
     bronze = {n: store.read(f"bronze_{n}").drop(*hotel.AUDIT) for n in sources}
     silver = hotel.silver(bronze["bookings"], bronze["guests"], bronze["packages"], moment=moment)
     run.rows["silver_bookings"] = store.write(silver, "silver_bookings")
@@ -87,12 +94,13 @@ def refresh_flight(
     store: Store,
     moment: Column | None = None,
     compare_content: bool = False,
+    origins: dict[str, str] | None = None,
 ) -> Refresh:
     """``sources``: flights, passengers, routes."""
     moment = F.current_timestamp() if moment is None else moment
     run = Refresh()
     run.detected = _detect(store, sources, compare_content)
-    _bronze(store, sources, moment, run)
+    _bronze(store, sources, moment, run, origins)
     bronze = {n: store.read(f"bronze_{n}").drop(*hotel.AUDIT) for n in sources}
     silver = flight.silver(bronze["flights"], bronze["passengers"], bronze["routes"], moment=moment)
     run.rows["silver_flights"] = store.write(silver, "silver_flights")
