@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labels import MONTHS
+from .labels import MONTHS, ordinal
 from .numeric import col
 
 # Profile dates fall back to this day when no booking date parses.
@@ -15,8 +15,7 @@ JOINED_MIN_DAYS, JOINED_MAX_DAYS = 30, 365
 
 def month_number(name: str | Column, unknown: int | None = None) -> Column:
     """1..12 for an English month name; ``unknown`` (default NULL) otherwise."""
-    numbers = F.create_map(*[F.lit(v) for i, m in enumerate(MONTHS, 1) for v in (m, i)])
-    found = numbers[col(name)]
+    found = ordinal(name, MONTHS, start=1)
     return found if unknown is None else F.coalesce(found, F.lit(unknown))
 
 

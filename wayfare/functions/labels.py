@@ -91,10 +91,16 @@ def interval_label(value: str | Column, intervals: Sequence[tuple]) -> Column:
     return out.otherwise(other)
 
 
-def ordinal(value: str | Column, order: Sequence[str], other: int | None = None) -> Column:
-    """0-based place of a label in a fixed order; NULL (or ``other``) if absent."""
-    place = F.create_map(*[F.lit(v) for i, label in enumerate(order) for v in (label, i)])[col(value)]
-    return place if other is None else F.coalesce(place, F.lit(other))
+def ordinal(value: str | Column, order: Sequence[str], start: int = 0) -> Column:
+    """Place of a label in a fixed order, counted from ``start``; NULL if absent.
+
+    Not a map literal: two of those are never equal to the planner, which then
+    runs equal parts of a plan twice instead of reusing their exchange.
+    """
+    if any("," in label for label in order):
+        raise ValueError("labels with a comma cannot be searched")
+    place = F.find_in_set(col(value), F.lit(",".join(order)))
+    return F.nullif(place, F.lit(0)) + F.lit(start - 1)
 
 
 def label_order(steps: Sequence[tuple]) -> tuple[str, ...]:
@@ -152,8 +158,10 @@ def threshold_band(value: str | Column, high: float, low: float, labels: Sequenc
 
 
 def guest_value_segment(c: str | Column = "g_loyalty_tier") -> Column:
-    names = F.create_map(*[F.lit(v) for pair in GUEST_VALUE.items() for v in pair])
-    return F.coalesce(names[col(c)], F.lit(GUEST_VALUE_OTHER))
+    out = F
+    for tier, segment in GUEST_VALUE.items():
+        out = out.when(col(c) == tier, segment)
+    return out.otherwise(GUEST_VALUE_OTHER)
 
 
 def loyalty_tier(
