@@ -78,20 +78,17 @@ def with_booking_id(df: DataFrame) -> DataFrame:
 
     ``monotonically_increasing_id`` changes when files are split differently.
     Here equal rows are first combined and counted (so a row copied a billion
-    times travels once per task), then re-emitted with copy numbers 1..n. Rows
-    with few copies, normally all, are spelled out in place; the others are
-    cut into blocks that are dealt over the cluster first. Both branches read
-    the same exchange.
+    times travels once per task), then re-emitted with copy numbers 1..n. The
+    numbers are cut into blocks, and the blocks dealt over the cluster before
+    they are spelled out, so that the copies of one row leave from many tasks.
     """
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    one = F.lit(1).cast("bigint")
-    few = counted.filter(F.col("_n") <= KEY_BLOCK).withColumn("_copy", F.explode(F.sequence(one, F.col("_n"))))
-    starts = F.sequence(one, F.col("_n"), F.lit(KEY_BLOCK).cast("bigint"))
-    many = counted.filter(F.col("_n") > KEY_BLOCK).withColumn("_start", F.explode(starts)).repartition("_start")
+    one, block = F.lit(1).cast("bigint"), F.lit(KEY_BLOCK).cast("bigint")
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_key", content_hash(df))
+    blocks = counted.withColumn("_start", F.explode(F.sequence(one, F.col("_n"), block))).repartition("_key", "_start")
     end = F.least(F.col("_n"), F.col("_start") + (KEY_BLOCK - 1))
-    many = many.withColumn("_copy", F.explode(F.sequence(F.col("_start"), end)))
-    key = F.concat(F.lit("BK"), content_hash(df), F.lit("-"), F.col("_copy").cast("string")).alias("booking_id")
-    return few.select(key, *df.columns).unionByName(many.select(key, *df.columns))
+    copies = blocks.withColumn("_copy", F.explode(F.sequence(F.col("_start"), end)))
+    key = F.concat(F.lit("BK"), F.col("_key"), F.lit("-"), F.col("_copy").cast("string"))
+    return copies.select(key.alias("booking_id"), *df.columns)
 
 
 def with_quick_id(df: DataFrame) -> DataFrame:
