@@ -13,11 +13,13 @@ import json
 import os
 import shutil
 import sqlite3
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
@@ -182,20 +184,27 @@ class SqliteSource(DataSource):
         return SqliteWriter(schema, dict(self.options), overwrite)
 
 
+def _register(spark: SparkSession) -> None:
+    """Make the source known; its classes travel inside the job, so executors
+    need not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(SqliteSource)
+
+
 def read_sqlite(spark: SparkSession, path: str, table: str, partitions: int = 8) -> DataFrame:
     """A table of one SQLite file, or of a folder written by ``write_sqlite``."""
-    spark.dataSource.register(SqliteSource)
+    _register(spark)
     return spark.read.format("sqlite").options(path=path, table=table, numPartitions=partitions).load()
 
 
 def count_sqlite(spark: SparkSession, path: str, table: str, partitions: int = 8) -> DataFrame:
     """Row count: each task asks SQLite to count its range."""
-    spark.dataSource.register(SqliteSource)
+    _register(spark)
     counts = spark.read.format("sqlite").options(path=path, table=table, numPartitions=partitions, count="true").load()
     return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
 def write_sqlite(df: DataFrame, path: str, table: str) -> None:
     """Replace the table in a folder of SQLite shards on a shared file system."""
-    df.sparkSession.dataSource.register(SqliteSource)
+    _register(df.sparkSession)
     df.write.format("sqlite").mode("overwrite").options(path=path, table=table).save()
