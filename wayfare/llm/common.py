@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.session import scratch_path
@@ -48,3 +51,17 @@ def n_words(text: Column) -> Column:
 
 def blank_trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACES))
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per context, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if getattr(context, "_wayfare_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="wayfare-")) / "wayfare_package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._wayfare_shipped = True

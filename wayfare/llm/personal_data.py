@@ -167,7 +167,7 @@ def find(
     text: str = "text",
     reach: int = 120,
     disclosure: float = 0.9,
-    support: int = 3,
+    support: int = 2,
 ) -> DataFrame:
     """(doc_id, row, base, terms) per row of ``docs``: ``terms`` is an array of (start, end, part)."""
     base = find_base(docs, id, text, reach)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, personal_data, quality_rules, repeated_passages, site_lines
+from . import main_text, mixing, packing, personal_data, quality_rules, repeated_passages, site_lines
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,24 @@ def op4_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def tokenizer_path() -> str:
+    """The vocabulary that the packing query is defined with; it lies beside the library of that name."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return packed.select(
+        F.col("id").alias("doc_id"), F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -52,7 +70,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pareto_mix, op2_repeated_lines, op3_personal_data, op4_site_lines, op10_quality_rules)
+    for f in (
+        op1_pareto_mix, op2_repeated_lines, op3_personal_data, op4_site_lines, op5_packing, op6_main_text, op10_quality_rules,
+    )
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

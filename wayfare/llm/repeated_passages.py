@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, saved
+from .common import col, saved, ship
 
 UNITS = "doc_id long, row long, unit long, start long, end long, n_words long, digest binary"
 _SCHEMA = pa.schema(
@@ -78,6 +78,7 @@ def repeats(
     ``row`` tells rows of one id apart: it is a digest of the text, so it doesn't
     depend on how the table is read.
     """
+    ship(docs.sparkSession)
     read = docs.select(
         col(id).cast("long").alias("doc_id"), F.xxhash64(col(text)).alias("row"), col(text).alias("text")
     ).filter(F.length("text") > 0)
