@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import main_text, mixing, near_duplicates, packing, personal_data, quality_rules, repeated_passages, site_lines
+from . import main_text, mixing, near_duplicates, packing, personal_data, quality_model, quality_rules, repeated_passages, site_lines, vector_links
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,15 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op7_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.links(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality_model.score(documents, labels).withColumnRenamed("id", "doc_id")
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     four_words = near_duplicates.Settings(words=4)
     found = near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), settings=four_words)
@@ -77,7 +86,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_pareto_mix, op2_repeated_lines, op3_personal_data, op4_site_lines, op5_packing, op6_main_text, op9_near_duplicates,
+        op1_pareto_mix, op2_repeated_lines, op3_personal_data, op4_site_lines, op5_packing, op6_main_text, op7_vector_links,
+        op8_quality_model, op9_near_duplicates,
         op10_quality_rules,
     )
 }
