@@ -39,9 +39,9 @@ from .near_duplicates import forest
 @dataclass(frozen=True)
 class Settings:
     cosine: float = 0.9
-    trees: int = 6
+    trees: int = 4
     leaf: int = 1000
-    spill: float = 0.3
+    spill: float = 0.25
     block: int = 2048
     sample: int = 20_000
     seed: int = 5
@@ -152,22 +152,15 @@ def _routed(forests: dict[int, list[Tree]], trees: int):
     return run
 
 
-def first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For rows of ascending leaves (padded by -1 and -2) the first that both have."""
-    out = np.empty(len(a), np.int64)
-    for begin in range(0, len(a), 10_000):
-        x, y = a[begin : begin + 10_000], b[begin : begin + 10_000]
-        both = (x[:, :, None] == y[:, None, :]).any(axis=2)
-        out[begin : begin + 10_000] = x[np.arange(len(x)), both.argmax(axis=1)]
-    return out
-
-
-def _padded(lists: pa.ChunkedArray, pad: int) -> np.ndarray:
-    sizes = np.array([len(x) for x in lists])
-    out = np.full((len(sizes), sizes.max()), pad, np.int64)
-    for k, x in enumerate(lists):
-        out[k, : sizes[k]] = x.values
-    return out
+def met_before(leaves: pa.Array, leaf: int) -> np.ndarray:
+    """Which rows share a leaf with a smaller number: their links are counted there."""
+    sizes = np.asarray(leaves.value_lengths())
+    flat, owner = np.asarray(leaves.flatten()), np.repeat(np.arange(len(sizes)), sizes)
+    earlier = flat < leaf
+    names, codes = np.unique(flat[earlier], return_inverse=True)
+    held = np.zeros((len(sizes), len(names)), np.float32)
+    held[owner[earlier], codes] = 1
+    return held @ held.T > 0
 
 
 def _compare(cosine: float):
@@ -179,23 +172,22 @@ def _compare(cosine: float):
         one_block = table["b1"][0].as_py() == table["b2"][0].as_py()
         left = np.flatnonzero(side == 0)
         right = left if one_block else np.flatnonzero(side == 1)
-        n = len(side)
-        linked = np.zeros((n, n), bool)
-        linked[np.ix_(left, right)] = unit[left] @ unit[right].T >= cosine
+        close = unit[left] @ unit[right].T >= cosine
+        if one_block:
+            np.fill_diagonal(close, False)
+        # most vectors have no link: the rest is about those that have
+        some = np.union1d(left[close.any(axis=1)], right[close.any(axis=0)])
+        place = np.full(len(side), -1)
+        place[some] = np.arange(len(some))
+        i, j = np.nonzero(close)
+        linked = np.zeros((len(some), len(some)), bool)
+        linked[place[left[i]], place[right[j]]] = True
         linked |= linked.T
-        np.fill_diagonal(linked, False)
-        i, j = np.nonzero(np.triu(linked))
-        counts = np.zeros(n, np.int64)
-        if len(i):
-            ours, theirs = _padded(table["leaves"], -1), _padded(table["leaves"], -2)
-            here = first_common(ours[i], theirs[j]) == leaf
-            copies = table["copies"].to_numpy()
-            np.add.at(counts, i[here], copies[j[here]])
-            np.add.at(counts, j[here], copies[i[here]])
         label = forest(linked)
-        at = np.flatnonzero((counts > 0) | (label < np.arange(n)))
-        ids = table["id"]
-        return pa.table({"id": ids.take(pa.array(at)), "links": pa.array(counts[at]), "to": ids.take(pa.array(label[at]))})
+        copies = table["copies"].to_numpy()[some].astype(float)
+        here = linked & ~met_before(table["leaves"].combine_chunks().take(pa.array(some)), leaf)
+        ids = table["id"].take(pa.array(some))
+        return pa.table({"id": ids, "links": pa.array((here @ copies).astype(np.int64)), "to": ids.take(pa.array(label))})
 
     return run
 
