@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import WORD, col, let, saved, ship
+from .common import WORD, col, fresh, let, saved, ship
 from .components import components
 
 
@@ -264,9 +264,10 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", settings:
     gone = found.filter(~F.col("kept")).select("id").distinct()
     often = found.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     often = saved(often.select("id"), "near-often")
-    gone = gone.select(F.col("id").alias("_gone_id"))
-    rows = docs.join(gone, col(id) == F.col("_gone_id"), "left_anti")
-    again = often.select(F.col("id").alias("_often_id"))
-    once = rows.join(again, col(id) == F.col("_often_id"), "left_anti")
-    copies = rows.join(again, col(id) == F.col("_often_id"), "left_semi").dropDuplicates([id, text])
+    name = fresh(docs, "its_id")
+    same = col(id) == F.col(name)
+    rows = docs.join(gone.withColumnRenamed("id", name), same, "left_anti")
+    again = often.withColumnRenamed("id", name)
+    once = rows.join(again, same, "left_anti")
+    copies = rows.join(again, same, "left_semi").dropDuplicates([id, text])
     return once.union(copies)

@@ -172,7 +172,7 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 150, pair_rounds: int = 60,
 def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.asarray(batch["x"].flatten()).reshape(len(batch), -1)
+            x = np.asarray(batch["x"].flatten()).reshape(-1, len(FEATURES))
             scores = model.scores(x) if len(batch) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch["id"], batch["held_out"], pa.array(scores)], names=["id", "held_out", "score"])
 
@@ -190,7 +190,7 @@ def score(
     learnt = saved(rows.filter(~F.col("held_out")).join(known, "id").select("id", "x", "y"), "quality-labelled")
     part = min(1.0, max_rows / max(learnt.count(), 1))
     chosen = learnt.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(part * (1 << 30))).orderBy("id").toArrow()
-    x = np.asarray(chosen["x"].combine_chunks().flatten()).reshape(len(chosen), -1)
+    x = np.asarray(chosen["x"].combine_chunks().flatten()).reshape(-1, len(FEATURES))
     model = fit(x, (chosen["y"].to_numpy() >= 0.5).astype(float))
     schema = T.StructType([T.StructField("id", docs.schema[id].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(_scored(model), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
