@@ -85,7 +85,8 @@ def repeats(
     units = saved(read.mapInArrow(_units(paragraphs), UNITS), "units")
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "unit", "start")
     groups = units.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    found = units.join(groups, "digest")
+    # written, so that the join deals both sides by itself and can split a hot digest
+    found = units.join(saved(groups.drop("n"), "unit-groups"), "digest")
     again = found.filter(~(F.struct("doc_id", "row", "unit").eqNullSafe(F.struct("first.doc_id", "first.row", "first.unit"))))
     doc = Window.partitionBy("doc_id", "row").orderBy("unit")
     runs = again.distinct().withColumn("run", F.col("unit") - F.row_number().over(doc))
