@@ -15,8 +15,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     its smaller ones, on the smallest of its neighbourhood, until nothing changes. The
     minima are combined in the map tasks; the joins back are equi-joins, whose hot
     keys (a centre with many neighbours) AQE can split. Edges never exceed the
-    input's, and each round is written to the shared folder. The driver sees a count
-    and a sum per round.
+    input's, and each half round is written to the shared folder. The driver sees a
+    count and a sum per round.
     """
     now = saved(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
@@ -24,12 +24,13 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(most_rounds):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # the minima are written, so that the joins deal both sides anew and can split a hot centre
+        least = saved(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "edge-minima")
         # large star: (neighbour, least) for neighbours above the node itself
         large = now.select(F.col("b").alias("a"), F.col("a").alias("v")).join(least, "a").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
+        large = saved(large.distinct(), "edges")
         # small star: the node and its smaller neighbours hang on the smallest of them
-        small_least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small_least = saved(large.groupBy("a").agg(F.min("b").alias("m")), "edge-minima")
         small = large.join(small_least, "a").select(F.col("b").alias("v"), "m", "a")
         hung = small.select(F.col("v").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
         now = saved(hung.filter("a <> b").distinct(), "edges")
