@@ -41,7 +41,7 @@ def values(spark, kind, data, expression):
         ("string", coerce.to_float, {"3": 3.0, "1e2": 100.0, "nan": None, "x": None, None: None}),
         ("string", coerce.to_text, {"a": "a", "nan": None, None: None, "None": "None"}),
         ("string", coerce.null_token, {"NULL": None, "": None, "NA": None, "PRT": "PRT", "null": None}),
-        ("double", numeric.round_half_up, {1.005: 1.0, 2.675: 2.68, 0.125: 0.13, -0.125: -0.13, 5.0: 5.0, None: None}),
+        ("double", numeric.round_half_up, {1.005: 1.01, 2.675: 2.68, 0.125: 0.13, -0.125: -0.13, 5.0: 5.0, None: None}),
         ("string", labels.guest_id, {"a@b.c": "G-5D60D4E2", None: None}),
         ("string", lambda c: labels.ordinal(c, labels.TIER_ORDER), {"Platinum": 0, "Bronze": 3, "Other": None, None: None}),
         ("double", lambda c: labels.threshold_band(c, 110, 80, ("a", "b", "c"), True), {110.0: "a", 109.9: "b", 80.0: "b", 79.9: "c"}),

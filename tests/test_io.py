@@ -89,7 +89,7 @@ def test_audit_and_listing(spark, tmp_path):
 def test_stream_updates_inserts_and_then_rests(spark, tmp_path):
     root, landing, log = (str(tmp_path / n) for n in ("table", "landing", "log"))
     schema = "k string, o int, v int"
-    ingest.write_version(spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], schema), root, 0)
+    sinks.Versions(spark, root).write(spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], schema))
 
     def run():
         return ingest.ingest(spark.readStream.schema(schema).parquet(landing), root, log, ["k"], ["o"])
@@ -97,7 +97,7 @@ def test_stream_updates_inserts_and_then_rests(spark, tmp_path):
     spark.createDataFrame([("a", 2, 10), ("c", 1, 3)], schema).write.parquet(landing)
     assert sorted(map(tuple, run().collect())) == [("a", 2, 10), ("b", 1, 2), ("c", 1, 3)]
     assert sorted(map(tuple, run().collect())) == [("a", 2, 10), ("b", 1, 2), ("c", 1, 3)]
-    assert ingest.last_version(spark, root) == 1
+    assert sinks.Versions(spark, root).last() == 1
     spark.createDataFrame([("b", 5, 20)], schema).write.mode("append").parquet(landing)
     assert sorted(map(tuple, run().collect())) == [("a", 2, 10), ("b", 5, 20), ("c", 1, 3)]
 
@@ -105,12 +105,52 @@ def test_stream_updates_inserts_and_then_rests(spark, tmp_path):
 def test_a_batch_run_again_gives_the_same_version(spark, tmp_path):
     root = str(tmp_path / "table")
     schema = "k string, o int, v int"
-    ingest.write_version(spark.createDataFrame([("a", 1, 1)], schema), root, 0)
+    sinks.Versions(spark, root).write(spark.createDataFrame([("a", 1, 1)], schema))
     batch = spark.createDataFrame([("a", 2, 5), (None, 1, 1)], schema)
     apply = ingest.merge_batch(root, ["k"], ["o"])
     apply(batch, 0)
     apply(batch, 0)
-    assert ingest.read_current(spark, root).count() == 2
+    assert sinks.Versions(spark, root).read().count() == 2
+
+
+def test_a_batch_rewrites_only_its_parts(spark, tmp_path):
+    root, schema = str(tmp_path / "table"), "y int, k string, o int, v int"
+    table = sinks.Versions(spark, root)
+    table.write(spark.createDataFrame([(1, "a", 1, 1), (2, "a", 1, 2), (None, "c", 1, 3)], schema))
+    merge = ingest.merge_batch(root, ["y", "k"], ["o"], ["y"])
+    merge(spark.createDataFrame([(2, "a", 2, 20), (3, "d", 1, 4)], schema), 0)  # a whole table becomes one with parts
+    before = table.parts()
+    merge(spark.createDataFrame([(1, "a", 5, 10), (1, "b", 1, 5)], schema), 1)
+    merge(spark.createDataFrame([(1, "a", 5, 10), (1, "b", 1, 5)], schema), 1)
+    changed = [p for p, folder in table.parts().items() if before.get(p) != folder]
+    assert len(before) == 4 and len(changed) == 1 and table.last() == 2
+    got = sorted(map(tuple, table.read().select("y", "k", "o", "v").collect()), key=str)
+    assert got == [(1, "a", 5, 10), (1, "b", 1, 5), (2, "a", 2, 20), (3, "d", 1, 4), (None, "c", 1, 3)]
+
+
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    root, schema = str(tmp_path / "table"), "k string, o int, v int"
+    for name in ("first", "second"):
+        landing = str(tmp_path / name)
+        spark.createDataFrame([(name, 1, 1)], schema).write.parquet(landing)
+        stream = spark.readStream.schema(schema).parquet(landing)
+        got = ingest.ingest(stream, root, str(tmp_path / f"{name}-log"), ["k"], ["o"])
+    assert sorted(r.k for r in got.collect()) == ["first", "second"]
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    bad = spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    store, path = sinks.Store(spark, str(tmp_path / "store")), str(tmp_path / "folder")
+    store.write(spark.range(3), "t")
+    sinks.overwrite_path(spark.range(3), path)
+    sinks.overwrite_table(spark.range(3), "kept_table")
+    try:
+        for again in (lambda: store.write(bad, "t"), lambda: sinks.overwrite_path(bad, path), lambda: sinks.overwrite_table(bad, "kept_table")):
+            with pytest.raises(Exception, match="no"):
+                again()
+        assert store.read("t").count() == spark.read.parquet(path).count() == spark.table("kept_table").count() == 3
+    finally:
+        spark.sql("DROP TABLE kept_table")
 
 
 def test_refreshes(spark, sf_dir, tmp_path):
@@ -135,6 +175,6 @@ def test_report_refresh_twice(spark, sf_dir, tmp_path):
     first = refresh.refresh_reports(spark, t.bookings, t.feedback, store, day, now)
     second = refresh.refresh_reports(spark, t.bookings, t.feedback, store, day, now)
     assert first.rows == second.rows
-    assert store.read("premium_revenue").count() == first["premium_revenue"]
+    assert spark.read.parquet(f"{store.root}/premium_revenue").count() == first["premium_revenue"]
     keys = store.read("curated_bookings")
     assert keys.select("booking_id").distinct().count() == keys.count()

@@ -8,55 +8,53 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.operators import changes, curated, hotel, kpi_flight, lookups, profiles, quality, reports
+from wayfare.functions import numeric
+from wayfare.operators import page
 from wayfare.sources import catalogues
 
-# one booking as the CSV delivers it: text only
-BOOKING = dict(
-    hotel="City Hotel", reservation_status="Check-Out", reservation_status_date="2017-07-13", is_canceled="0",
-    arrival_date_year="2017", arrival_date_month="July", arrival_date_day_of_month="9",
-    stays_in_weekend_nights="1", stays_in_week_nights="3", adults="1", children="2", babies="0",
-    meal="FB", country="PRT", adr="98.75", lead_time="12", booking_changes="1", days_in_waiting_list="0",
-    is_repeated_guest="0", previous_cancellations="0", total_of_special_requests="1",
-    reserved_room_type="D", assigned_room_type="D", market_segment="Direct", distribution_channel="Direct",
-    customer_type="Contract", deposit_type="Refundable",
-)
-
-
-def raw(spark, *overrides):
-    rows = [{**BOOKING, **o} for o in overrides]
-    return spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{c} string" for c in BOOKING))
-
-
-def test_text_booking_becomes_curated(spark):
-    row = curated.bookings(raw(spark, {"stays_in_week_nights": "6", "assigned_room_type": "E", "children": "1.0"})).first()
-    assert (row.total_nights, row.room_upgrade, row.is_premium_meal, row.revenue_bucket) == (7, True, True, "Mid")
-    assert (row.children, row.is_canceled, str(row.arrival_date), row.special_requests) == (1, False, "2017-07-09", 1)
+from samples import booking, table
+
+def test_curated_rows_follow_from_their_text(spark):
+    rng = random.Random(11)
+    rows = [booking(rng, agent=str(k)) for k in range(60)]
+    got = curated.bookings(table(spark, rows)).collect()
+    kept = [r for r in rows if int(r["stays_in_weekend_nights"]) + int(r["stays_in_week_nights"]) > 0]
+    assert len(got) == len(kept)
+    want = collections.Counter(
+        (r["hotel"], int(r["stays_in_weekend_nights"]) + int(r["stays_in_week_nights"]), r["reserved_room_type"] != r["assigned_room_type"],
+         r["meal"] in ("HB", "FB"), float(r["adr"]), r["is_canceled"] == "1", int(r["children"]))
+        for r in kept
+    )
+    assert want == collections.Counter(
+        (r.hotel, r.total_nights, r.room_upgrade, r.is_premium_meal, r.adr, r.is_canceled, r.children) for r in got
+    )
 
 
-def test_curated_drops_bad_rows(spark):
-    bad = [{"adr": "-1"}, {"adr": "x"}, {"stays_in_weekend_nights": "0", "stays_in_week_nights": "0"}, {"arrival_date_day_of_month": "32"}]
-    assert curated.bookings(raw(spark, {}, *bad)).count() == 1
-    # an unknown month counts as January here
-    assert str(curated.bookings(raw(spark, {"arrival_date_month": "Smarch"})).first().arrival_date) == "2017-01-09"
+@pytest.mark.parametrize(
+    "fixed",
+    [
+        {"adr": "-4"}, {"adr": "free"}, {"adr": "Infinity"}, {"arrival_date_day_of_month": "40"},
+        {"stays_in_weekend_nights": "0", "stays_in_week_nights": "0"},
+    ],
+)
+def test_curated_leaves_out_what_is_not_valid(spark, fixed):
+    rng = random.Random(12)
+    assert curated.bookings(table(spark, [booking(rng), booking(rng, **fixed)])).count() == 1
 
 
-def test_reports_follow_new_data(spark):
-    base = [
-        {"meal": "SC"},
-        {"hotel": "Resort Hotel", "is_canceled": "1", "adr": "171.2"},
-    ]
+def test_more_rows_never_lower_counts_or_cancellation_rates(spark):
+    rng = random.Random(13)
+    rows = [booking(rng) for _ in range(40)]
+    canceled = [booking(rng, is_canceled="1") for _ in range(10)]
 
-    def run(*extra):
-        bookings = curated.bookings(raw(spark, *base, *extra))
-        counts = {r.hotel: r.total_bookings for r in reports.premium_by_meal(bookings).groupBy("hotel").agg(
-            F.sum("total_bookings").alias("total_bookings")).collect()}
-        rates = {r.hotel: r.cancellation_rate for r in reports.cancellation_by_hotel(bookings).collect()}
-        return counts, rates
+    def figures(these):
+        bookings = curated.bookings(table(spark, these))
+        counts = collections.Counter({r.hotel: r["count"] for r in bookings.groupBy("hotel").count().collect()})
+        return counts, {r.hotel: r.cancellation_rate for r in reports.cancellation_by_hotel(bookings).collect()}
 
-    before, rates = run()
-    assert before == {"City Hotel": 1} and rates == {"City Hotel": 0.0, "Resort Hotel": 1.0}
-    assert run({"meal": "HB", "adr": "230.1"})[0]["City Hotel"] == 2
-    assert run({"meal": "BB", "adr": "64.0", "is_canceled": "1"})[1]["City Hotel"] > rates["City Hotel"]
+    (counts, rates), (more, higher) = figures(rows), figures(rows + canceled)
+    assert all(more[h] >= n for h, n in counts.items()) and sum(more.values()) == sum(counts.values()) + 10
+    assert all(higher[h] >= rate for h, rate in rates.items())
 
 
 def test_booking_ids_are_unique_and_stable(spark, monkeypatch):
@@ -209,3 +207,40 @@ def test_silver_keeps_every_booking_and_no_personal_columns(spark, sf_dir):
     silver = hotel.silver(t.bookings.withColumn("credit_card", F.lit("4111")), t.guests, t.packages)
     assert silver.count() == t.bookings.count()
     assert not {"name", "credit_card", "phone-number"} & set(silver.columns)
+
+
+def test_rounding_is_of_the_number_as_written(spark):
+    df = spark.createDataFrame([(1.005,), (8.575,), (0.285,), (-1.005,), (2.5,)], "x double")
+    assert [r.y for r in df.select(numeric.round_half_up("x").alias("y")).collect()] == [1.01, 8.58, 0.29, -1.01, 2.5]
+    means = spark.createDataFrame([(7.004, 1.0), (7.004, 1.01), (7.013, None), (float("inf"), float("nan"))], "x double, m double")
+    assert tuple(means.agg(numeric.mean("x", 3), numeric.mean("m")).first()) == (7.007, 1.01)
+
+
+def test_two_guests_with_one_id_stay_two(spark):
+    schema = "guest_id string, email string, total_stays int"
+    stored = spark.createDataFrame([("G-1", "a@x", 1)], schema)
+    incoming = spark.createDataFrame([("G-1", "a@x", 2), ("G-1", "b@x", 3)], schema)
+    got = changes.upsert_guests(stored, incoming).collect()
+    assert sorted(map(tuple, got)) == [("G-1", "a@x", 2), ("G-1", "b@x", 3)]
+
+
+def test_a_third_hotel_is_shown_or_an_error(spark):
+    rows = [(h, "BB", 100.0 + k, False) for k, h in enumerate(("City Hotel", "Resort Hotel", "Lake Hotel"))]
+    df = spark.createDataFrame(rows, "hotel string, meal_plan string, adr double, is_canceled boolean")
+    row = page.meal_adr_by_hotel(df, page.HOTELS | {"Lake Hotel": "lake"}).first()
+    assert (row.city, row.resort, row.lake) == (100.0, 101.0, 102.0)
+    with pytest.raises(Exception, match="Lake Hotel"):
+        page.meal_adr_by_hotel(df).collect()
+
+
+def test_distinct_guests_by_default(spark):
+    b = spark.createDataFrame([("PRT", "Direct", "BB", "City", False, 10.0)], "country string, market_segment string, meal_plan string, hotel string, is_canceled boolean, adr double")
+    g = spark.createDataFrame([(1, "PRT", "Gold", 5.0, "Direct")] * 2, "guest_id int, country string, loyalty_tier string, total_spend_eur double, preferred_segment string")
+    assert reports.loyalty_cross(b, g).first().guests == 1
+
+
+def test_checks_of_missing_columns_fail_by_name(spark):
+    df = spark.createDataFrame([("City Hotel",)], "hotel string")
+    got = {r.check: (r.passed, r.observed, r.expected) for r in quality.booking_checks(df, min_rows=0).collect()}
+    assert not got["required_columns"][0] and "is_canceled" in got["required_columns"][2]
+    assert got["non_negative:adr"][:2] == (False, None) and got["allowed_values:hotel"][0]

@@ -9,20 +9,20 @@ from wayfare.sources.fixtures import VIEWS
 
 
 def rnd(x: str, n: int = 2) -> str:
-    p = f"1e{n}"
-    return f"(sign({x})*floor(abs({x})*{p}+0.5)/{p} + 0.0E0)"
+    # half away from zero of the number as it is written, as Spark rounds
+    return f"(CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)), {n}) AS DOUBLE) + 0.0E0)"
 
 
-def total(x: str, scale: int = 2) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+def total(x: str) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(24,6))) AS DOUBLE)"
 
 
-def avg(x: str, scale: int = 2) -> str:
-    return f"({total(x, scale)}/nullif(count({x}),0))"
+def avg(x: str) -> str:
+    return f"({total(x)}/nullif(count({x}),0))"
 
 
-def mean(x: str, n: int = 2, scale: int = 2) -> str:
-    return rnd(avg(x, scale), n)
+def mean(x: str, n: int = 2) -> str:
+    return rnd(avg(x), n)
 
 
 def tally(flag: str) -> str:

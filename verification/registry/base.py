@@ -10,7 +10,9 @@ from verification.ctes import (
 )
 from wayfare.functions import coerce, dates, labels
 from wayfare.functions.numeric import round_half_up, rows
-from wayfare.operators import curated, flight, hotel, kpi_hotel, lookups, page, profiles, reports
+from wayfare.operators import (
+    curated, flight, hotel, kpi_flight, kpi_hotel, lookups, page, profiles, quality, reports, rollups,
+)
 from wayfare.sources import catalogues
 from wayfare.sources.spec import FLIGHTS
 
@@ -166,7 +168,7 @@ R.add("cln_drop_audit", lambda t: hotel.clean(
 R.add("cln_curated_select", lambda t: t.curated, "SELECT * FROM curated")
 R.add(
     "cln_dropna",
-    lambda t: t.hotel_clean.dropna(subset=["adr", "arrival_date"]).agg(rows().alias("n")),
+    lambda t: curated.complete(t.hotel_clean).agg(rows().alias("n")),
     "SELECT count(*) AS n FROM hotel_clean WHERE adr IS NOT NULL AND arrival_date IS NOT NULL",
 )
 _HASHED = ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in curated.COLUMNS)
@@ -204,15 +206,14 @@ R.add(
 )
 R.add(
     "flt_having_min_flights",
-    lambda t: t.flights.groupBy("Airline", "Departure_Airport", "Arrival_Airport", "Travel_Purpose").agg(
-        rows().alias("total_flights")).filter(F.col("total_flights") >= 5),
-    "SELECT Airline, Departure_Airport, Arrival_Airport, Travel_Purpose, count(*) AS total_flights FROM flights "
-    "GROUP BY ALL HAVING count(*) >= 5",
+    lambda t: kpi_flight.satisfaction_by_route(t.flown, min_flights=8).select("r_route_id", "total_flights"),
+    "SELECT r_route_id, total_flights FROM air_route WHERE total_flights >= 8",
 )
 R.add(
     "flt_not_complementary",
-    _per_hotel(lambda t: t.bookings.filter(F.col("market_segment") != "Complementary")),
-    _COUNT.format("bookings WHERE market_segment <> 'Complementary'"),
+    lambda t: rollups.segment_adr(kpi_hotel.revenue_by_segment(t.stays)).select("market_segment", "total_revenue"),
+    f"SELECT market_segment, {total('total_revenue')} AS total_revenue FROM gold_segment "
+    "WHERE market_segment <> 'Complementary' GROUP BY 1",
 )
 R.add(
     "flt_flag",
@@ -224,26 +225,30 @@ R.add(
     )
     + " FROM flown",
 )
+_GUEST_KEYS = ("guest_id", "name", "email", "country", "preferred_meal", "preferred_room")
 R.add(
     "flt_null_keys",
-    lambda t: t.bookings.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in ("email", "adr", "country")]),
-    "SELECT count(*) FILTER (WHERE email IS NULL) AS email_nulls, count(*) FILTER (WHERE adr IS NULL) AS adr_nulls, "
-    "count(*) FILTER (WHERE country IS NULL) AS country_nulls FROM bookings",
+    lambda t: quality.run_checks("guests", t.guests, [quality.null_count(c) for c in _GUEST_KEYS]).select("check", "observed"),
+    " UNION ALL ".join(
+        f"SELECT 'null_keys:{c}' AS \"check\", CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) AS observed FROM guests" for c in _GUEST_KEYS
+    ),
 )
 R.add(
     "flt_in_set",
-    _per_hotel(lambda t: t.bookings.filter(F.col("meal").isin(*labels.PREMIUM_MEALS))),
-    _COUNT.format("bookings WHERE meal IN ('HB', 'FB')"),
+    lambda t: quality.unexpected_values(t.bookings, "meal", labels.PREMIUM_MEALS),
+    "SELECT meal AS value, count(*) AS n FROM bookings WHERE meal IS NULL OR meal NOT IN ('HB', 'FB') GROUP BY 1",
 )
 R.add(
     "flt_between",
-    lambda t: t.feedback.filter(F.col("nps_score").between(0, 10)).groupBy("package_name").agg(rows().alias("n")),
-    "SELECT package_name, count(*) AS n FROM feedback WHERE nps_score BETWEEN 0 AND 10 GROUP BY 1",
+    lambda t: quality.run_checks("feedback", t.feedback, [quality.in_range(c, 2, 4) for c in quality.SCORES]).select("check", "observed"),
+    " UNION ALL ".join(
+        f"SELECT 'range:{c}' AS \"check\", CAST(count(*) FILTER (WHERE {c} IS NULL OR {c} NOT BETWEEN 2 AND 4) AS DOUBLE) AS observed "
+        "FROM feedback" for c in quality.SCORES
+    ),
 )
 R.add(
     "flt_contains",
-    lambda t: t.feedback.filter(F.coalesce(F.col("package_name").contains("Standard"), F.lit(False)))
-    .groupBy("package_name").agg(rows().alias("n")),
+    lambda t: t.feedback.filter(quality.standard_package()).groupBy("package_name").agg(rows().alias("n")),
     "SELECT package_name, count(*) AS n FROM feedback WHERE package_name LIKE '%Standard%' GROUP BY 1",
 )
 
@@ -342,14 +347,6 @@ R.add(
     "SELECT market_segment, CASE WHEN premium_pct >= 22 THEN 'High' WHEN premium_pct >= 15 THEN 'Medium' "
     "WHEN premium_pct >= 10 THEN 'Low' ELSE 'None' END AS opportunity FROM funnel",
 )
-R.add(
-    "drv_best_hotel",
-    lambda t: t.curated.groupBy("market_segment").agg(
-        F.max_by("hotel", F.struct(F.col("adr"), F.col("hotel"))).alias("best_hotel"), F.max("adr").alias("best_adr")
-    ),
-    "SELECT market_segment, arg_max(hotel, (adr, hotel)) AS best_hotel, max(adr) AS best_adr FROM curated GROUP BY 1",
-)
-
 # -- joins --------------------------------------------------------------------
 
 R.add("jn_lookup_guests", lambda t: lookups.guest_lookup(t.guests),
@@ -431,12 +428,7 @@ R.add(
 )
 R.add(
     "p_packages_summary",
-    lambda t: _booked_packages(t).agg(
-        F.count_if(F.col("is_premium") == 1).alias("premium_packages"),
-        F.count_if(F.col("is_premium") == 0).alias("standard_packages"),
-        F.sum(F.when(F.col("is_premium") == 1, F.col("bookings"))).alias("premium_package_bookings"),
-        F.sum(F.when(F.col("is_premium") == 0, F.col("bookings"))).alias("standard_package_bookings"),
-    ),
+    lambda t: profiles.packages_summary(_booked_packages(t)),
     "SELECT count(*) FILTER (WHERE is_premium = 1) AS premium_packages, count(*) FILTER (WHERE is_premium = 0) AS "
     "standard_packages, CAST(sum(bookings) FILTER (WHERE is_premium = 1) AS BIGINT) AS premium_package_bookings, "
     "CAST(sum(bookings) FILTER (WHERE is_premium = 0) AS BIGINT) AS standard_package_bookings FROM booked_packages",
@@ -496,22 +488,22 @@ R.add(
     .orderBy("hotel", labels.ordinal("lead_time_bucket", labels.label_order(labels.LEAD_DAYS))),
     f"SELECT hotel, {_LEAD_SQL} AS lead_time_bucket, count(*) AS n FROM bookings GROUP BY 1, 2",
 )
+_SHOWN = ("src_key", "hotel", "meal", "reserved_room_type", "adr", "is_canceled", "email")
 R.add(
     "s_limit_preview",
-    lambda t: t.hotel_clean.select("src_key", "hotel", "meal", "reserved_room_type", "adr", "is_canceled", "email")
-    .orderBy("src_key", "adr", "meal", "reserved_room_type", "email", "hotel", "is_canceled").limit(3),
+    lambda t: profiles.preview(t.hotel_clean, _SHOWN, 3, "src_key", "adr", "meal", "reserved_room_type", "email", "hotel", "is_canceled"),
     "SELECT src_key, hotel, meal, reserved_room_type, adr, is_canceled, email FROM hotel_clean ORDER BY src_key, adr, "
     "meal, reserved_room_type, email NULLS FIRST, hotel, is_canceled LIMIT 3",
 )
+_RATED = ("route_id", "avg_satisfaction", "avg_delay_minutes", "no_show_rate", "pct_on_time", "performance_tier")
 R.add(
     "s_topk",
-    lambda t: t.routes.select("route_id", "avg_satisfaction", "avg_delay_minutes", "no_show_rate", "pct_on_time", "performance_tier")
-    .orderBy(F.desc("avg_satisfaction"), "route_id").limit(5),
+    lambda t: profiles.preview(t.routes, _RATED, 5, F.desc("avg_satisfaction"), "route_id"),
     "SELECT route_id, avg_satisfaction, avg_delay_minutes, no_show_rate, pct_on_time, performance_tier FROM routes "
     "ORDER BY avg_satisfaction DESC, route_id LIMIT 5",
 )
 R.add(
     "s_sorted_catalogue",
-    lambda t: _booked_packages(t).orderBy("hotel_type", "base_price"),
+    lambda t: profiles.by_price(_booked_packages(t)),
     "SELECT * FROM booked_packages ORDER BY hotel_type, base_price",
 )

@@ -59,7 +59,7 @@ R.add(
     "d_segment_adr",
     lambda t: rollups.segment_adr(_gold("revenue_by_segment")(t)),
     f"SELECT s.*, {rnd('m.m')} AS overall_avg_adr FROM (SELECT market_segment, {avg('avg_adr')} AS avg_adr, {_REV} "
-        f"FROM gold_segment WHERE market_segment <> 'Complementary' GROUP BY 1) s, (SELECT {avg('avg_adr', 6)} AS m "
+        f"FROM gold_segment WHERE market_segment <> 'Complementary' GROUP BY 1) s, (SELECT {avg('avg_adr')} AS m "
         f"FROM (SELECT {avg('avg_adr')} AS avg_adr FROM gold_segment WHERE market_segment <> 'Complementary' "
         "GROUP BY market_segment)) m",
 )
@@ -98,7 +98,7 @@ R.add(
     f"SELECT *, {pct('satisfied_count', 'passengers', 1)} AS satisfaction_rate_pct, CASE p_frequent_flyer_status "
     "WHEN 'Platinum' THEN 0 WHEN 'Gold' THEN 1 WHEN 'Silver' THEN 2 WHEN 'Non-Member' THEN 3 END AS \"order\" "
     f"FROM (SELECT p_frequent_flyer_status, {isum('passengers')} AS passengers, {avg('avg_satisfaction')} AS "
-    f"avg_satisfaction, {avg('no_show_rate', 3)} AS no_show_rate, {isum('satisfied_count')} AS satisfied_count, "
+    f"avg_satisfaction, {avg('no_show_rate')} AS no_show_rate, {isum('satisfied_count')} AS satisfied_count, "
     f"{isum('dissatisfied_count')} AS dissatisfied_count FROM air_segment "
     "WHERE p_frequent_flyer_status IS NOT NULL GROUP BY 1)",
 )
@@ -129,7 +129,7 @@ R.add(
     "d_delay",
     lambda t: rollups.delay(_air("delay_impact")(t)),
     f"SELECT delay_bucket, {isum('flights')} AS flights, {avg('avg_satisfaction')} AS avg_satisfaction, "
-    f"{avg('no_show_rate', 3)} AS no_show_rate, {isum('dissatisfied_count')} AS dissatisfied_count, CASE delay_bucket "
+    f"{avg('no_show_rate')} AS no_show_rate, {isum('dissatisfied_count')} AS dissatisfied_count, CASE delay_bucket "
     "WHEN 'No Delay' THEN 0 WHEN '< 15 min' THEN 1 WHEN '15-30 min' THEN 2 WHEN '30-60 min' THEN 3 ELSE 4 END AS "
     '"order" FROM air_delay GROUP BY delay_bucket',
 )
@@ -137,7 +137,7 @@ R.add(
     "d_class",
     lambda t: rollups.seat_class(_air("satisfaction_by_segment")(t)),
     f"SELECT Seat_Class, {isum('passengers')} AS passengers, {avg('avg_satisfaction')} AS avg_satisfaction, "
-    f"{avg('no_show_rate', 3)} AS no_show_rate, {avg('avg_price_paid')} AS avg_price_paid FROM air_segment "
+    f"{avg('no_show_rate')} AS no_show_rate, {avg('avg_price_paid')} AS avg_price_paid FROM air_segment "
     "WHERE Seat_Class IS NOT NULL GROUP BY 1",
 )
 R.add(
@@ -257,6 +257,11 @@ FROM (SELECT metric, lower, max(CASE WHEN hotel = 'City Hotel' THEN figure END)
    FROM curated GROUP BY hotel) b LEFT JOIN nps_hotel v ON b.hotel = v.hotel_type) s,
   LATERAL (VALUES {_COMPARE}) AS x(metric, figure, lower)) GROUP BY metric, lower)""",
 )
+R.add(
+    "drv_best_hotel",
+    lambda t: page.hotel_compare(t.curated, t.voices).select("metric", "best"),
+    f"SELECT metric, best FROM ({SQL['h_hotel_compare']})",
+)
 R.add(
     "h_kpi_tiles",
     lambda t: page.kpi_tiles(t.bookings, t.curated, t.voices),

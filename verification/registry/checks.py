@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from verification.ctes import rnd
-from wayfare.operators import quality, reports
+from wayfare.operators import profiles, quality, reports
 from wayfare.sources import catalogues
 
 from .common import Registry
@@ -88,8 +88,30 @@ def _one(name, dataset, table, check, sql):
     R.add(name, lambda t: quality.run_checks(dataset, getattr(t, table), [check(getattr(t, table))]), sql)
 
 
-_one("dq_required_columns", "bookings", "bookings", lambda df: quality.required_columns(df, quality.BOOKING_COLUMNS),
-     _check("bookings", "required_columns", "0", "true", "0 missing", "(SELECT count(*) FROM bookings)"))
+_CUT = ("meal", "arrival_date_year")
+
+
+def _without_columns(t):
+    """The booking suite over a table that lacks two of its columns."""
+    return quality.booking_checks(t.bookings.drop(*_CUT), min_rows=1)
+
+
+R.add(
+    "dq_required_columns",
+    _without_columns,
+    _union(
+        _check("bookings", "required_columns", f"{len(_CUT)}", "false", "0 missing: arrival_date_year, meal", "(SELECT count(*) FROM bookings)"),
+        _check("bookings", "min_rows", "count(*)", "count(*) > 1", "> 1", "bookings"),
+        _bad("bookings", "allowed_values:hotel", _listed("hotel", quality.HOTELS), "0 outside the list", "bookings"),
+        _bad("bookings", "allowed_values:is_canceled", _listed("is_canceled", ("0", "1")), "0 outside the list", "bookings"),
+        _bad("bookings", "non_negative:adr", "adr < 0", "0 below zero", "bookings"),
+        *[_check("bookings", f"{n}:arrival_date_year", "NULL", "false", e, "(SELECT count(*) FROM bookings)")
+          for n, e in (("min", ">= 2015"), ("max", "<= 2020"))],
+        _check("bookings", "allowed_values:meal", "NULL", "false", "0 outside the list", "(SELECT count(*) FROM bookings)"),
+        _check("bookings", "duplicate_fraction", rnd("(CAST(d AS DOUBLE)/t)", 6), "CAST(d AS DOUBLE)/t < 0.01", "< 0.01",
+               _distinct_groups("(SELECT * EXCLUDE (meal, arrival_date_year) FROM bookings)")),
+    ),
+)
 _one("dq_min_rows", "bookings", "bookings", lambda df: quality.row_count(low=100_000),
      _check("bookings", "min_rows", "count(*)", "count(*) > 100000", "> 100000", "bookings"))
 _one("dq_exact_rows", "feedback", "feedback", lambda df: quality.row_count(exact=8_000),
@@ -113,6 +135,9 @@ R.add("dq_duplicate_fraction", lambda t: quality.duplicate_fraction("bookings",
       _check("bookings", "duplicate_fraction", rnd("(CAST(d AS DOUBLE)/t)", 6), "CAST(d AS DOUBLE)/t < 0.01", "< 0.01", _distinct_groups("bookings")))
 _one("dq_share_below", _P, "guest_profiles", lambda df: quality.share_below("loyalty_tier", "Platinum", 0.10),
      _check(_P, "share_below:Platinum", rnd(f"({_PLAT})", 6), f"{_PLAT} < 0.1", "< 0.1", _P))
+_GAPMARGIN = (
+    "(avg(margin_pct) FILTER (WHERE package_name = 'Premium All-Inclusive') - avg(margin_pct) FILTER (WHERE package_name = 'Half Board'))"
+)
 R.add(
     "dq_compare_groups",
     lambda t: quality.run_checks("feedback", t.feedback.join(catalogues.margin_catalogue(t.spark), "package_name", "left"), [
@@ -123,13 +148,36 @@ R.add(
     ]),
     _union(
         _check("feedback", "premium_nps_higher", rnd(_GAPNPS, 6), f"{_GAPNPS} > 0", "> 0", "feedback"),
-        _check("feedback", "premium_margin_higher", "0.15E0", "count(*) > 0", "> 0", "feedback"),
+        _check("feedback", "premium_margin_higher", rnd(_GAPMARGIN, 6), f"{_GAPMARGIN} > 0", "> 0",
+               "(SELECT f.package_name, m.margin_pct FROM feedback f LEFT JOIN margins m ON f.package_name = m.package_name)"),
     ),
 )
+_KEYS = (
+    "src_key", "hotel", "is_canceled", "lead_time", "arrival_date_year", "arrival_date_month", "arrival_date_day_of_month",
+    "stays_in_weekend_nights", "stays_in_week_nights", "adults", "children", "babies", "meal", "country",
+    "market_segment", "distribution_channel", "is_repeated_guest", "previous_cancellations", "booking_changes",
+    "reserved_room_type", "assigned_room_type", "deposit_type", "days_in_waiting_list", "customer_type", "adr",
+    "total_of_special_requests", "reservation_status", "reservation_status_date", "name", "email",
+)
 R.add(
     "dq_null_keys",
-    lambda t: quality.run_checks("bookings", t.bookings, [quality.null_count(c) for c in ("email", "adr")]),
-    _union(*[_bad("bookings", f"null_keys:{c}", f"{c} IS NULL", "0 missing", "bookings") for c in ("email", "adr")]),
+    lambda t: quality.run_checks("bookings", t.bookings, [quality.null_count(c) for c in _KEYS]),
+    _union(*[_bad("bookings", f"null_keys:{c}", f"{c} IS NULL", "0 missing", "bookings") for c in _KEYS]),
+)
+_GAPCATALOGUE = (
+    "(avg(margin_pct) FILTER (WHERE package_name = 'Premium All-Inclusive') - avg(margin_pct) FILTER (WHERE package_name = 'Standard Room'))"
+)
+R.add(
+    "dq_catalogue",
+    lambda t: quality.catalogue_checks(
+        catalogues.margin_catalogue(t.spark).join(t.feedback.groupBy("package_name").agg(F.count(F.lit(1)).alias("n")), "package_name", "left")
+    ),
+    _union(
+        _check("package_catalog", "exact_rows", "count(*)", "count(*) = 8", "= 8", "margins"),
+        _bad("package_catalog", "range:margin_pct", "margin_pct IS NULL OR margin_pct NOT BETWEEN 0 AND 1", "0 outside 0.0..1.0", "margins"),
+        _check("package_catalog", "premium_margin_higher", rnd(_GAPCATALOGUE, 6), f"{_GAPCATALOGUE} > 0", "> 0", "margins"),
+        _check("package_catalog", "unique:pkg_id", "count(*)", "count(*) = 0", "0 repeated", "(SELECT pkg_id FROM margins GROUP BY 1 HAVING count(*) > 1)"),
+    ),
 )
 
 # -- profiles -----------------------------------------------------------------
@@ -151,8 +199,18 @@ _DESCRIBE = _union(
     ],
 )
 R.add("dq_profile_describe", lambda t: quality.describe(t.guest_profiles).drop("p25", "p50", "p75"), _DESCRIBE)
-R.add("dq_profile_quartiles", lambda t: quality.describe(t.bookings).select("column", "p25", "p50", "p75"))
-_NULLS = ("email", "country", "children", "adr", "hotel")
+_MEASURES = ("lead_time", "stays_in_week_nights", "adults", "adr", "total_of_special_requests", "src_key")
+R.add(
+    "dq_profile_quartiles",
+    # as many distinct values as the accuracy: the quartiles are exact
+    lambda t: quality.describe(t.bookings.select(*_MEASURES), accuracy=1_000_000).select("column", "p25", "p50", "p75"),
+    _union(*[
+        f"SELECT '{c}' AS \"column\", "
+        + ", ".join(f"CAST(quantile_disc({c}, 0.{q}) AS DOUBLE) AS p{q}" for q in ("25", "50", "75")) + " FROM bookings"
+        for c in _MEASURES
+    ]),
+)
+_NULLS = _KEYS
 R.add(
     "dq_profile_nulls",
     lambda t: quality.null_profile(t.bookings.select(*_NULLS)),
@@ -161,7 +219,7 @@ R.add(
 R.add("dq_profile_dupes", lambda t: quality.duplicate_rows(t.bookings),
       f"SELECT t AS total_rows, d AS duplicate_rows FROM {_distinct_groups('bookings')}")
 R.add("dq_profile_shape", lambda t: quality.shape(t.bookings), "SELECT count(*) AS n_rows, 30 AS n_columns FROM bookings")
-R.add("dq_preview", lambda t: t.feedback.orderBy("feedback_id").limit(5), "SELECT * FROM feedback ORDER BY feedback_id LIMIT 5")
+R.add("dq_preview", lambda t: profiles.preview(t.feedback, ["*"], 5, "feedback_id"), "SELECT * FROM feedback ORDER BY feedback_id LIMIT 5")
 
 
 def _monotone(t):
@@ -177,6 +235,6 @@ def _monotone(t):
 R.add(
     "dq_downstream_monotone",
     _monotone,
-    "SELECT hotel, c / n AS before, 2 * c / (n + c) AS after, true AS passed FROM (SELECT hotel, CAST(count(*) FILTER "
+    "SELECT hotel, c / n AS before, 2 * c / (n + c) AS after, 2 * c / (n + c) >= c / n AS passed FROM (SELECT hotel, CAST(count(*) FILTER "
     "(WHERE is_canceled) AS DOUBLE) AS c, count(*) AS n FROM curated GROUP BY 1)",
 )

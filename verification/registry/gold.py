@@ -159,14 +159,14 @@ R.add(
 R.add(
     "f_checkin_preview",
     lambda t: kpi_flight.checkin_preview(kpi_flight.friction_by_checkin(t.flown)),
-    f"SELECT Check_in_Method, {isum('passengers')} AS total, {mean('no_show_rate', 3, 3)} AS avg_no_show_rate, "
+    f"SELECT Check_in_Method, {isum('passengers')} AS total, {mean('no_show_rate', 3)} AS avg_no_show_rate, "
     f"{mean('avg_satisfaction')} AS avg_satisfaction FROM air_checkin GROUP BY Check_in_Method",
 )
 R.add(
     "f_delay_preview",
     lambda t: kpi_flight.delay_preview(kpi_flight.delay_impact(t.flown)),
     f"SELECT delay_bucket, {isum('flights')} AS total_flights, {mean('avg_satisfaction')} AS avg_satisfaction, "
-    f"{mean('no_show_rate', 3, 3)} AS avg_no_show_rate FROM air_delay GROUP BY delay_bucket",
+    f"{mean('no_show_rate', 3)} AS avg_no_show_rate FROM air_delay GROUP BY delay_bucket",
 )
 CTES["bands"] = "SELECT satisfaction_band, count(*) AS n FROM flown GROUP BY satisfaction_band"
 R.add("f_band_counts", lambda t: kpi_flight.band_counts(t.flown), "SELECT * FROM bands")

@@ -17,6 +17,7 @@ from wayfare.sources import tables as sources
 from wayfare.sources.spec import FLIGHTS, GUESTS, PACKAGES, PASSENGERS, ROUTES, TableSpec
 from wayfare.streaming import ingest as stream
 
+from .boards import SQL as BOARDS
 from .common import Registry
 from .sql_reports import SNAPSHOT, STAMP
 
@@ -78,11 +79,11 @@ R.add(
     lambda t: files.read_typed_csv(t.spark, _csv(t, t.guest_profiles, "profiles-csv"), _PROFILE),
     "SELECT * FROM guest_profiles",
 )
+_ALL = (*BOOKINGS_VIEW.ints, *BOOKINGS_VIEW.floats, *BOOKINGS_VIEW.texts)
 R.add(
     "src_csv_all_string",
-    lambda t: files.read_text_columns(t.spark, _csv(t, t.bookings.select("src_key", "hotel", "country", "children", "email"), "text-csv")),
-    "SELECT CAST(src_key AS VARCHAR) AS src_key, hotel, coalesce(country, '') AS country, "
-    "coalesce(CAST(children AS VARCHAR), '') AS children, coalesce(email, '') AS email FROM bookings",
+    lambda t: files.read_text_columns(t.spark, _csv(t, t.bookings.select(*_ALL), "text-csv")),
+    "SELECT " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in _ALL) + " FROM bookings",
 )
 R.add(
     "src_csv_count_pruned",
@@ -143,7 +144,24 @@ def _connector(t):
 R.add("src_warehouse", _connector, "SELECT * FROM voices")
 R.add("snk_warehouse", lambda t: _connector(t).groupBy("hotel_type").agg(F.count(F.lit(1)).alias("n")),
       "SELECT hotel_type, count(*) AS n FROM voices GROUP BY 1")
-R.add("src_volume_list", lambda t: files.list_files(t.spark, t.sf_dir).select("file", "size_mb"))
+_GIVEN = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
+def _listing(t):
+    """The given tables' files as the listing has them, with the rows that each holds."""
+    counted = None
+    for name in _GIVEN:
+        held = t.spark.read.parquet(f"{t.sf_dir}/{name}.parquet").groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+        counted = held if counted is None else counted.unionByName(held)
+    listed = files.list_files(t.spark, t.sf_dir).select(F.element_at(F.split("file", "/"), -1).alias("file"), (F.col("size_mb") > 0).alias("has_size"))
+    return counted.join(listed, "file", "left")
+
+
+R.add("src_volume_list", _listing, " UNION ALL ".join(
+    f"SELECT '{n}.parquet' AS file, count(*) AS rows, count(*) > 0 AS has_size FROM {n}" for n in _GIVEN))
 
 
 def _namespace(t):
@@ -179,8 +197,8 @@ R.add(
 )
 R.add(
     "snk_audit_cols",
-    lambda t: files.audit(t.bookings.select("src_key"), "bookings.csv", _now()),
-    f"SELECT src_key, {_NOW} AS _ingested_at, 'bookings.csv' AS _source_file FROM bookings",
+    lambda t: files.audit(t.bookings, "bookings.csv", _now()),
+    f"SELECT *, {_NOW} AS _ingested_at, 'bookings.csv' AS _source_file FROM bookings",
 )
 R.add(
     "snk_audit_file_path",
@@ -309,14 +327,15 @@ R.add(
 def _streamed(t):
     """Initial load, one arrival of files, and a run that finds nothing new."""
     root, landing, log = (scratch_path(t.spark, n) for n in ("stream-table", "stream-landing", "stream-log"))
-    stream.write_version(_early(t), root, 0)
+    sinks.Versions(t.spark, root).write(_early(t))
     _today(t).write.parquet(landing)
 
     def arrivals():
         return t.spark.readStream.schema(t.bookings.schema).parquet(landing)
 
-    stream.ingest(arrivals(), root, log, changes.BOOKING_KEY, _ORDER)
-    return stream.ingest(arrivals(), root, log, changes.BOOKING_KEY, _ORDER)
+    parts = ("arrival_date_year", "arrival_date_month")
+    stream.ingest(arrivals(), root, log, changes.BOOKING_KEY, _ORDER, parts)
+    return stream.ingest(arrivals(), root, log, changes.BOOKING_KEY, _ORDER, parts)
 
 
 R.add("inc_stream_ingest", _streamed, "SELECT * FROM bookings_merged")
@@ -357,6 +376,28 @@ R.add("inc_full_refresh_flight", _refreshed_flight, _counts_sql({
 }))
 
 
+def _refreshed_boards(t):
+    """The roll-ups over the KPI tables that a refresh stored, here of the rooms."""
+    store = sinks.Store(t.spark, scratch_path(t.spark, "hotel"))
+    refresh.refresh_hotel(t.spark, {"bookings": t.bookings, "guests": t.guests, "packages": t.packages}, store, _now())
+    boards = refresh.hotel_boards(store)
+    return boards["room"].select("reserved_room_type", "is_premium_room", "avg_adr", "total_revenue")
+
+
+R.add("inc_full_refresh_hotel_boards", _refreshed_boards, BOARDS["d_room"])
+
+
+def _refreshed_reports(t):
+    """The premium snapshot as the report refresh stored it, run twice."""
+    store = sinks.Store(t.spark, scratch_path(t.spark, "reports"))
+    for _ in range(2):
+        refresh.refresh_reports(t.spark, t.bookings, t.feedback, store, _day(), _now())
+    return t.spark.read.parquet(f"{store.root}/premium_revenue").select(*reports.premium_snapshot(t.curated, _day()).columns)
+
+
+R.add("inc_refresh_reports", _refreshed_reports, "SELECT * FROM premium_snapshot")
+
+
 def _refreshed_table(t):
     """A KPI table as the refresh stored it."""
     store = sinks.Store(t.spark, scratch_path(t.spark, "hotel"))

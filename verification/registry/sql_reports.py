@@ -64,7 +64,7 @@ R.add(
     f"""SELECT meal_plan, hotel, bookings, avg_daily_rate, {rnd('revenue', 0)} AS total_revenue,
   {share('revenue', 'hotel_revenue')} AS pct_of_hotel_revenue FROM (SELECT *, sum(revenue) OVER (PARTITION BY hotel)
   AS hotel_revenue FROM (SELECT meal_plan, hotel, count(*) AS bookings, {mean('adr')} AS avg_daily_rate,
-  {total('adr')} AS revenue FROM kept GROUP BY 1, 2))""".replace("sum(revenue) OVER", "sum(CAST(revenue AS DECIMAL(18,2))) OVER")
+  {total('adr')} AS revenue FROM kept GROUP BY 1, 2))""".replace("sum(revenue) OVER", "sum(CAST(revenue AS DECIMAL(24,6))) OVER")
     .replace("AS hotel_revenue FROM (SELECT meal", "AS hotel_dec FROM (SELECT meal")
     .replace("hotel_revenue,0", "CAST(hotel_dec AS DOUBLE),0"),
 )
@@ -90,8 +90,8 @@ FROM kept b JOIN guest_profiles gp ON b.country = gp.country AND b.market_segmen
 GROUP BY ALL"""
 R.add("q_bo1_loyalty_cross", lambda t: reports.loyalty_cross(t.curated, t.guest_profiles), _CROSS)
 R.add(
-    "q_bo1_loyalty_cross_distinct",
-    lambda t: reports.loyalty_cross(t.curated, t.guest_profiles, unique_guests=False),
+    "q_bo1_loyalty_cross_unique",
+    lambda t: reports.loyalty_cross(t.curated, t.guest_profiles, unique_guests=True),
     _CROSS,
 )
 R.add(
@@ -223,7 +223,7 @@ R.add(
 R.add(
     "w_share_of_partition",
     lambda t: reports.meal_share(t.curated).select("hotel", "meal_plan", "pct_of_hotel_revenue"),
-    f"SELECT hotel, meal_plan, {share(total('adr'), 'CAST(sum(sum(CAST(adr AS DECIMAL(18,2)))) OVER (PARTITION BY hotel) AS DOUBLE)')} "
+    f"SELECT hotel, meal_plan, {share(total('adr'), 'CAST(sum(sum(CAST(adr AS DECIMAL(24,6)))) OVER (PARTITION BY hotel) AS DOUBLE)')} "
     "AS pct_of_hotel_revenue FROM kept GROUP BY hotel, meal_plan",
 )
 R.add(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .numeric import col
+from .numeric import col, finite
 
 # Texts that mean "missing" in the CSV sources (the two explicit
 # ones and the usual defaults of the CSV reader the sources were made for).
@@ -20,8 +20,7 @@ def null_token(c: str | Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column
 
 
 def to_float(c: str | Column) -> Column:
-    number = col(c).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return finite(col(c).try_cast("double"))
 
 
 def to_int(c: str | Column) -> Column:

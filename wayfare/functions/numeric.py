@@ -1,9 +1,8 @@
 """Rounding, exact sums and means, percentages.
 
 Double sums depend on the order in which partitions arrive. Money, scores and
-minutes are therefore summed as scaled ``bigint`` values: exact, order-free,
-kept in the hash aggregate's fixed-width buffer, and an overflow raises under
-ANSI instead of wrapping.
+minutes are therefore summed as decimals with ``SCALE`` places: exact and
+order-free, combined in the map tasks, and an overflow is an error.
 """
 
 from __future__ import annotations
@@ -16,27 +15,36 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Places that are kept of every input before it is summed: more than any source has.
+SCALE = 6
+
+
+def finite(value: str | Column) -> Column:
+    """The value as a double; NaN and the infinities are no measurements and become NULL."""
+    x = col(value).cast("double")
+    return F.when(F.abs(x) < float("inf"), x)
+
+
 def round_half_up(value: str | Column, digits: int = 2) -> Column:
-    """Round half away from zero with plain IEEE steps; never returns -0.0."""
-    x, p = col(value), F.lit(float(10**digits))
-    return F.signum(x) * F.floor(F.abs(x) * p + 0.5) / p + F.lit(0.0)
+    """Half away from zero of the number as it is written (1.005 gives 1.01); never returns -0.0."""
+    return F.round(col(value).cast("double"), digits) + F.lit(0.0)
 
 
-def scaled(value: str | Column, scale: int = 2) -> Column:
-    """``value`` as a whole number of 10**-scale units."""
-    return F.rint(col(value).cast("double") * F.lit(float(10**scale))).cast("bigint")
+def exact(value: str | Column, scale: int = SCALE) -> Column:
+    """``value`` as a decimal."""
+    return finite(value).cast(f"decimal(24,{scale})")
 
 
-def exact_sum(value: str | Column, scale: int = 2) -> Column:
-    return F.sum(scaled(value, scale)) / F.lit(float(10**scale))
+def exact_sum(value: str | Column, scale: int = SCALE) -> Column:
+    return F.sum(exact(value, scale)).cast("double")
 
 
-def exact_mean(value: str | Column, scale: int = 2) -> Column:
-    """Mean of the non-NULL values; NULL when there are none."""
-    return F.try_divide(exact_sum(value, scale), F.count(col(value)))
+def exact_mean(value: str | Column, scale: int = SCALE) -> Column:
+    """Mean of the finite values; NULL when there are none."""
+    return F.try_divide(exact_sum(value, scale), F.count(exact(value, scale)))
 
 
-def mean(value: str | Column, digits: int = 2, scale: int = 2) -> Column:
+def mean(value: str | Column, digits: int = 2, scale: int = SCALE) -> Column:
     return round_half_up(exact_mean(value, scale), digits)
 
 

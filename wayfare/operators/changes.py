@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from .lookups import attach
 
-# Keys that identify a row to the upserts.
+# Keys that identify a row to the upserts. A guest's id has 32 bits of the e-mail's
+# hash, which two guests can share: it is a label, and the e-mail is the key.
 BOOKING_KEY = ("email", "arrival_date_year", "arrival_date_month", "arrival_date_day_of_month")
-GUEST_KEY = ("guest_id",)
+GUEST_KEY = ("email",)
 
 
 def count_gap(name: str, source: DataFrame, stored: DataFrame | None) -> DataFrame:
@@ -31,21 +32,26 @@ def count_gap(name: str, source: DataFrame, stored: DataFrame | None) -> DataFra
 
 
 def content_gap(name: str, source: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows only in the source and only in the stored table, with multiplicity.
+    """Counts of both sides, and rows only in one of them, with multiplicity.
 
-    Equal counts hide edited rows; this does not. Each row is counted +1 or -1
+    Equal counts hide edited rows; this does not. Each row is counted on its side
     under its whole content, with partial sums before the shuffle, so copies of
-    one row do not pile up in a task.
+    one row do not pile up in a task. Each side is read once.
     """
     columns = source.columns
-    signed = source.select("*", F.lit(1).alias("_side")).unionByName(
-        stored.select(*columns, F.lit(-1).alias("_side"))
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    both = source.select("*", one.alias("_here"), none.alias("_there")).unionByName(
+        stored.select(*columns, none.alias("_here"), one.alias("_there"))
     )
-    net = signed.groupBy(*columns).agg(F.sum("_side").alias("_net"))
+    net = both.groupBy(*columns).agg(F.sum("_here").alias("_here"), F.sum("_there").alias("_there"))
+    more, less = F.greatest(F.col("_here") - F.col("_there"), none), F.greatest(F.col("_there") - F.col("_here"), none)
     return net.agg(
-        F.coalesce(F.sum(F.when(F.col("_net") > 0, F.col("_net"))), F.lit(0)).alias("only_in_source"),
-        F.coalesce(F.sum(F.when(F.col("_net") < 0, -F.col("_net"))), F.lit(0)).alias("only_in_bronze"),
-    ).select(F.lit(name).alias("source"), "only_in_source", "only_in_bronze")
+        *[F.coalesce(F.sum(c), none).alias(n) for n, c in (("in_source", F.col("_here")), ("in_bronze", F.col("_there")))],
+        *[F.coalesce(F.sum(c), none).alias(n) for n, c in (("only_in_source", more), ("only_in_bronze", less))],
+    ).select(
+        F.lit(name).alias("source"), "in_source", "in_bronze", (F.col("in_source") - F.col("in_bronze")).alias("new_rows"),
+        "only_in_source", "only_in_bronze",
+    )
 
 
 def detect(sources: dict[str, DataFrame], stored: dict[str, DataFrame]) -> DataFrame:
@@ -53,19 +59,14 @@ def detect(sources: dict[str, DataFrame], stored: dict[str, DataFrame]) -> DataF
 
     A source with no stored counterpart is counted on its side only.
     """
-    parts = []
+    unknown = F.lit(None).cast("bigint")
+    out = None
     for name, source in sources.items():
-        bronze = stored.get(name)
-        row = count_gap(name, source, bronze)
-        if bronze is None:
-            gap = row.select("source", F.lit(None).cast("bigint").alias("only_in_source"),
-                             F.lit(None).cast("bigint").alias("only_in_bronze"))
-            parts.append(row.join(gap, "source"))
+        if name in stored:
+            part = content_gap(name, source, stored[name])
         else:
-            parts.append(row.join(content_gap(name, source, bronze), "source"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+            part = count_gap(name, source, None).withColumns({"only_in_source": unknown, "only_in_bronze": unknown})
+        out = part if out is None else out.unionByName(part)
     return out
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.coerce import to_flag, to_whole
 from ..functions.dates import date_from_parts, month_number, to_day
-from ..functions.numeric import round_half_up
+from ..functions.numeric import finite, round_half_up
 from .hotel import total_nights
 
 # Numeric columns cast, month used for an unknown name, column
@@ -37,7 +37,7 @@ def cast_columns(df: DataFrame) -> dict[str, Column]:
     return casts | {
         "children": F.coalesce(to_whole(df, "children"), F.lit(0)),
         # double, not float: 32 bits lose cents above 131,072
-        "adr": F.col("adr").try_cast("double"),
+        "adr": finite(F.col("adr").try_cast("double")),
     }
 
 
@@ -60,7 +60,12 @@ def bookings(raw: DataFrame) -> DataFrame:
             "reservation_status_date": to_day(raw, "reservation_status_date"),
         }
     ).withColumnsRenamed({"meal": "meal_plan", "total_of_special_requests": "special_requests"})
-    return quality(shaped.select(*COLUMNS).dropna(subset=["adr", "arrival_date"]))
+    return quality(complete(shaped.select(*COLUMNS)))
+
+
+def complete(df: DataFrame) -> DataFrame:
+    """Rows with a rate and an arrival date."""
+    return df.dropna(subset=["adr", "arrival_date"])
 
 
 def quality(df: DataFrame) -> DataFrame:
@@ -78,15 +83,18 @@ def with_booking_id(df: DataFrame) -> DataFrame:
 
     ``monotonically_increasing_id`` changes when files are split differently.
     Here equal rows are first combined and counted (so a row copied a billion
-    times travels once per task), then re-emitted with copy numbers 1..n. The
-    numbers are cut into blocks, and the blocks dealt over the cluster before
-    they are spelled out, so that the copies of one row leave from many tasks.
+    times travels once per task), then re-emitted with copy numbers 1..n. Numbers
+    beyond one block are cut into blocks that are dealt over the cluster before
+    they are spelled out, so that the copies of one row leave from many tasks;
+    all other rows stay where they are.
     """
     one, block = F.lit(1).cast("bigint"), F.lit(KEY_BLOCK).cast("bigint")
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_key", content_hash(df))
-    blocks = counted.withColumn("_start", F.explode(F.sequence(one, F.col("_n"), block))).repartition("_key", "_start")
+    few = counted.filter(F.col("_n") <= KEY_BLOCK).withColumn("_copy", F.explode(F.sequence(one, F.col("_n"))))
+    blocks = counted.filter(F.col("_n") > KEY_BLOCK).withColumn("_start", F.explode(F.sequence(one, F.col("_n"), block)))
     end = F.least(F.col("_n"), F.col("_start") + (KEY_BLOCK - 1))
-    copies = blocks.withColumn("_copy", F.explode(F.sequence(F.col("_start"), end)))
+    many = blocks.repartition("_key", "_start").withColumn("_copy", F.explode(F.sequence(F.col("_start"), end))).drop("_start")
+    copies = few.unionByName(many)
     key = F.concat(F.lit("BK"), F.col("_key"), F.lit("-"), F.col("_copy").cast("string"))
     return copies.select(key.alias("booking_id"), *df.columns)
 

@@ -55,8 +55,6 @@ ROUTE_COLUMNS = {
 # ---------------------------------------------------------------------------
 
 ROUTE_KEYS = ("Departure_Airport", "Arrival_Airport", "Airline")
-# rows without a key go to this many groups instead of one
-NULL_KEY_GROUPS = 512
 
 
 def project(df: DataFrame, keys: Sequence[str], columns: dict[str, str]) -> DataFrame:
@@ -83,9 +81,9 @@ def attach(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], spread_by:
     """LEFT equi-join that stays balanced when many rows have no key.
 
     A NULL key matches nothing, yet a plain shuffle join sends all such rows to
-    one task. They are dealt over ``NULL_KEY_GROUPS`` groups by a hash of the
-    ``spread_by`` columns (stable when a task is re-run), through a second join
-    column that is 0 on every row with a key. On the lookup side that zero is
+    one task. They are dealt by a hash of the ``spread_by`` columns (stable when
+    a task is re-run), through a second join column that is 0 on every row with a
+    key. On the lookup side that zero is
     computed: the optimizer would turn a literal into a filter and shuffle by
     the key alone. Because the column is part of the join key, both inputs are
     shuffled for this join, the shape in which AQE can split a hot key. Nothing
@@ -94,8 +92,7 @@ def attach(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], spread_by:
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    deal = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_GROUPS)) + 1
-    left = facts.withColumn("_group", F.when(no_key, deal).otherwise(F.lit(0).cast("bigint")))
+    left = facts.withColumn("_group", F.when(no_key, F.xxhash64(*spread_by)).otherwise(F.lit(0).cast("bigint")))
     right = lookup.withColumn("_group", F.pmod(F.xxhash64(*keys), F.lit(1).cast("bigint")))
     return left.join(right, [*keys, "_group"], "left").drop("_group")
 

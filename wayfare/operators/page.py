@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from ..functions import labels
 from ..functions.numeric import mean, pct_where, rows, share_pct
 from .reports import kept, nps_by_hotel, segment_funnel
 
-# The two hotels and their column names, NPS column names.
+# The page's hotels and their column names, NPS column names. Another
+# mapping can be given; a hotel outside it is an error, never left out.
 HOTELS = {"City Hotel": "city", "Resort Hotel": "resort"}
 NPS_COLUMNS = {"Promoter": "promoter_pct", "Passive": "passive_pct", "Detractor": "detractor_pct"}
 # The page labels the opportunity by hand; these limits on the premium share
@@ -26,13 +29,19 @@ METRICS = {
 }
 
 
-def _by_hotel(df: DataFrame, key: str | Column, figure: Column) -> DataFrame:
-    out = df.groupBy(key).pivot("hotel", list(HOTELS)).agg(figure)
-    return out.withColumnsRenamed(HOTELS)
+def listed(hotels: Mapping[str, str], column: str = "hotel") -> Column:
+    """The hotel, or an error where it is not in the list."""
+    unknown = F.raise_error(F.concat(F.lit("hotel not in the list: "), F.coalesce(F.col(column), F.lit("NULL")))).cast("string")
+    return F.when(F.col(column).isin(*hotels), F.col(column)).otherwise(unknown)
+
+
+def _by_hotel(df: DataFrame, key: str | Column, figure: Column, hotels: Mapping[str, str]) -> DataFrame:
+    out = df.withColumn("hotel", listed(hotels)).groupBy(key).pivot("hotel", list(hotels)).agg(figure)
+    return out.withColumnsRenamed(dict(hotels))
 
 
-def meal_adr_by_hotel(bookings: DataFrame) -> DataFrame:
-    return _by_hotel(kept(bookings), "meal_plan", mean("adr")).orderBy("meal_plan")
+def meal_adr_by_hotel(bookings: DataFrame, hotels: Mapping[str, str] = HOTELS) -> DataFrame:
+    return _by_hotel(kept(bookings), "meal_plan", mean("adr"), hotels).orderBy("meal_plan")
 
 
 def segment_rates(bookings: DataFrame) -> DataFrame:
@@ -65,9 +74,9 @@ def revenue_bucket_share(bookings: DataFrame) -> DataFrame:
     )
 
 
-def lead_cancel_matrix(bookings: DataFrame) -> DataFrame:
+def lead_cancel_matrix(bookings: DataFrame, hotels: Mapping[str, str] = HOTELS) -> DataFrame:
     out = _by_hotel(
-        bookings, labels.lead_days_bucket().alias("lead_time_bucket"), pct_where(F.col("is_canceled"))
+        bookings, labels.lead_days_bucket().alias("lead_time_bucket"), pct_where(F.col("is_canceled")), hotels
     )
     return out.orderBy(labels.ordinal("lead_time_bucket", labels.label_order(labels.LEAD_DAYS)))
 
@@ -107,9 +116,9 @@ def segment_table(bookings: DataFrame, limits: tuple = OPPORTUNITY) -> DataFrame
     return segment_funnel(bookings).withColumn("opportunity", opportunity(limits=limits))
 
 
-def hotel_compare(bookings: DataFrame, feedback: DataFrame) -> DataFrame:
+def hotel_compare(bookings: DataFrame, feedback: DataFrame, hotels: Mapping[str, str] = HOTELS) -> DataFrame:
     """Metric x hotel with the better hotel; long form, then one column each."""
-    stays = bookings.groupBy("hotel").agg(
+    stays = bookings.groupBy(listed(hotels).alias("hotel")).agg(
         pct_where(F.col("is_canceled")).alias("cancellation_pct"),
         mean("lead_time", 1).alias("avg_lead_time"),
         pct_where(F.col("is_repeated_guest")).alias("repeat_guest_pct"),
@@ -119,17 +128,20 @@ def hotel_compare(bookings: DataFrame, feedback: DataFrame) -> DataFrame:
         F.col("hotel_type").alias("hotel"), "avg_nps", F.col("avg_sat").alias("avg_satisfaction")
     )
     long = stays.join(voices, "hotel", "left").unpivot("hotel", list(METRICS), "metric", "figure")
-    wide = long.groupBy("metric").pivot("hotel", list(HOTELS)).agg(F.max("figure")).withColumnsRenamed(HOTELS)
+    wide = long.groupBy("metric").pivot("hotel", list(hotels)).agg(F.max("figure"))
     lower_is_better = F.col("metric").isin([m for m, lower in METRICS.items() if lower])
-    city, resort = F.col("city"), F.col("resort")
-    city_wins = F.when(lower_is_better, city < resort).otherwise(city > resort)
-    best = F.when(city == resort, "Equal").when(city_wins, "City Hotel").when(~city_wins, "Resort Hotel")
-    return wide.withColumn("best", best)
+    figures = [F.col(f"`{h}`") for h in hotels]
+    # hotels with the best figure; NULL figures take no part
+    best_figure = F.when(lower_is_better, F.least(*figures)).otherwise(F.greatest(*figures))
+    winners = F.filter(F.array(*[F.when(x == best_figure, F.lit(h)) for h, x in zip(hotels, figures)]), lambda h: h.isNotNull())
+    complete = F.forall(F.array(*figures), lambda x: x.isNotNull())
+    best = F.when(complete, F.when(F.size(winners) == 1, F.get(winners, F.lit(0))).otherwise("Equal"))
+    return wide.withColumn("best", best).withColumnsRenamed(dict(hotels))
 
 
 def kpi_tiles(raw: DataFrame, bookings: DataFrame, feedback: DataFrame) -> DataFrame:
-    """All tiles in one row, from one pass over the curated bookings. Figures
-    of other groupings come as scalar subqueries over their aggregates."""
+    """All tiles in one row. The figures of other groupings (month, segment) and of
+    the other tables come as scalar subqueries, each an aggregate of its own."""
     premium, stayed = F.col("is_premium_meal"), ~F.col("is_canceled")
 
     def adr_where(condition: Column) -> Column:

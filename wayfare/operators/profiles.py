@@ -149,3 +149,23 @@ def example_per_group(df: DataFrame, group: str, metric: str, tie: str, columns:
     best = F.min_by(row, F.struct((-F.col(metric)).alias("_metric"), F.col(tie).alias("_tie")))
     picked = df.filter(F.col(metric).isNotNull()).groupBy(group).agg(best.alias("_row")).select("_row.*")
     return picked.orderBy(F.desc(metric), tie).limit(n)
+
+
+def packages_summary(packages: DataFrame) -> DataFrame:
+    """Packages and their bookings, premium and standard, in one row."""
+    premium, standard = F.col("is_premium") == 1, F.col("is_premium") == 0
+    return packages.agg(
+        F.count_if(premium).alias("premium_packages"),
+        F.count_if(standard).alias("standard_packages"),
+        F.sum(F.when(premium, F.col("bookings"))).alias("premium_package_bookings"),
+        F.sum(F.when(standard, F.col("bookings"))).alias("standard_package_bookings"),
+    )
+
+
+def preview(df: DataFrame, columns: Sequence[str], n: int, *order: str | Column) -> DataFrame:
+    """The first ``n`` rows of an order: each task keeps its own first ``n``."""
+    return df.select(*columns).orderBy(*order).limit(n)
+
+
+def by_price(packages: DataFrame) -> DataFrame:
+    return packages.orderBy("hotel_type", "base_price")

@@ -37,17 +37,26 @@ SCORES = ("checkin_satisfaction", "room_satisfaction", "food_satisfaction", "val
 
 @dataclass(frozen=True)
 class Check:
-    """``observed`` is an aggregate, ``passed`` a condition on such aggregates."""
+    """``observed`` is an aggregate, ``passed`` a condition on such aggregates.
+
+    ``column`` is what it reads: without that column the check fails.
+    """
 
     name: str
     observed: Column
     passed: Column
     expected: str
+    column: str | None = None
+
+
+def missing_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    return [c for c in columns if c not in df.columns]
 
 
 def required_columns(df: DataFrame, columns: Sequence[str]) -> Check:
-    missing = len([c for c in columns if c not in df.columns])
-    return Check("required_columns", F.lit(missing), F.lit(missing == 0), "0 missing")
+    """Names the missing columns."""
+    missing = missing_columns(df, columns)
+    return Check("required_columns", F.lit(len(missing)), F.lit(not missing), f"0 missing{': ' if missing else ''}{', '.join(missing)}")
 
 
 def row_count(low: int | None = None, exact: int | None = None) -> Check:
@@ -60,46 +69,46 @@ def row_count(low: int | None = None, exact: int | None = None) -> Check:
 def allowed(column: str, values: Sequence) -> Check:
     """Every value listed; a missing value is an unlisted one."""
     bad = F.count_if(F.coalesce(~F.col(column).cast("string").isin([str(v) for v in values]), F.lit(True)))
-    return Check(f"allowed_values:{column}", bad, bad == 0, "0 outside the list")
+    return Check(f"allowed_values:{column}", bad, bad == 0, "0 outside the list", column)
 
 
 def non_negative(column: str) -> Check:
     bad = F.count_if(to_float(column) < 0)
-    return Check(f"non_negative:{column}", bad, bad == 0, "0 below zero")
+    return Check(f"non_negative:{column}", bad, bad == 0, "0 below zero", column)
 
 
 def positive(column: str) -> Check:
     bad = F.count_if(F.coalesce(~(F.col(column) > 0), F.lit(True)))
-    return Check(f"positive:{column}", bad, bad == 0, "0 not above zero")
+    return Check(f"positive:{column}", bad, bad == 0, "0 not above zero", column)
 
 
 def in_range(column: str, low: float, high: float) -> Check:
     bad = F.count_if(F.coalesce(~F.col(column).between(low, high), F.lit(True)))
-    return Check(f"range:{column}", bad, bad == 0, f"0 outside {low}..{high}")
+    return Check(f"range:{column}", bad, bad == 0, f"0 outside {low}..{high}", column)
 
 
 def bounds(column: str, low: float, high: float) -> list[Check]:
     x = to_float(column)
     return [
-        Check(f"min:{column}", F.min(x), F.min(x) >= low, f">= {low}"),
-        Check(f"max:{column}", F.max(x), F.max(x) <= high, f"<= {high}"),
+        Check(f"min:{column}", F.min(x), F.min(x) >= low, f">= {low}", column),
+        Check(f"max:{column}", F.max(x), F.max(x) <= high, f"<= {high}", column),
     ]
 
 
 def share_below(column: str, value: str, limit: float) -> Check:
     share = F.try_divide(F.count_if(F.col(column) == value), F.count(F.lit(1)))
-    return Check(f"share_below:{value}", round_half_up(share, 6), share < limit, f"< {limit}")
+    return Check(f"share_below:{value}", round_half_up(share, 6), share < limit, f"< {limit}", column)
 
 
 def greater_mean(name: str, column: str, high: Column, low: Column) -> Check:
     """The mean over the rows of ``high`` exceeds that over ``low``."""
     gap = F.avg(F.when(high, F.col(column))) - F.avg(F.when(low, F.col(column)))
-    return Check(name, round_half_up(gap, 6), gap > 0, "> 0")
+    return Check(name, round_half_up(gap, 6), gap > 0, "> 0", column)
 
 
 def null_count(column: str) -> Check:
     bad = F.count_if(F.col(f"`{column}`").isNull())
-    return Check(f"null_keys:{column}", bad, bad == 0, "0 missing")
+    return Check(f"null_keys:{column}", bad, bad == 0, "0 missing", column)
 
 
 def _row(dataset: str, name: str, passed: Column, observed: Column, expected: str) -> Column:
@@ -113,12 +122,18 @@ def _row(dataset: str, name: str, passed: Column, observed: Column, expected: st
 
 
 def run_checks(dataset: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All checks in one aggregation, then one output row each."""
+    """All checks in one aggregation, then one output row each. A check of a
+    column that isn't there is a failed row without a figure."""
+    known = [c.column is None or c.column in df.columns for c in checks]
     measured = df.agg(
-        *[c.observed.alias(f"o{i}") for i, c in enumerate(checks)],
-        *[c.passed.alias(f"p{i}") for i, c in enumerate(checks)],
+        F.count(F.lit(1)).alias("n"),
+        *[c.observed.alias(f"o{i}") for i, c in enumerate(checks) if known[i]],
+        *[c.passed.alias(f"p{i}") for i, c in enumerate(checks) if known[i]],
     )
-    listed = [_row(dataset, c.name, F.col(f"p{i}"), F.col(f"o{i}"), c.expected) for i, c in enumerate(checks)]
+    listed = [
+        _row(dataset, c.name, F.col(f"p{i}") if known[i] else F.lit(False), F.col(f"o{i}") if known[i] else F.lit(None), c.expected)
+        for i, c in enumerate(checks)
+    ]
     return measured.select(F.inline(F.array(*listed)))
 
 
@@ -189,14 +204,17 @@ def catalogue_checks(df: DataFrame) -> DataFrame:
     return run_checks("package_catalog", df, checks).unionByName(unique("package_catalog", df, "pkg_id"))
 
 
+def standard_package(column: str = "package_name") -> Column:
+    return F.coalesce(F.col(column).contains(STANDARD_PACKAGE), F.lit(False))
+
+
 def feedback_checks(df: DataFrame, exact_rows: int = FEEDBACK_ROWS) -> DataFrame:
     name = F.col("package_name")
-    standard = F.coalesce(name.contains(STANDARD_PACKAGE), F.lit(False))
     checks = [
         row_count(exact=exact_rows),
         in_range("nps_score", 0, 10),
         *[in_range(c, 1, 5) for c in SCORES],
-        greater_mean("premium_nps_higher", "nps_score", name == PREMIUM_PACKAGE, standard),
+        greater_mean("premium_nps_higher", "nps_score", name == PREMIUM_PACKAGE, standard_package()),
         allowed("hotel_type", HOTELS),
     ]
     return run_checks("feedback", df, checks)

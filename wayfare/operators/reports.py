@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.numeric import (
-    exact_mean, exact_sum, mean, pct_where, round_half_up, rows, scaled, share_pct, share_where,
+    exact, exact_mean, exact_sum, mean, pct_where, round_half_up, rows, share_pct, share_where,
 )
 
 # Fixed value: key under which the feedback figures are joined.
@@ -38,16 +38,17 @@ def meal_share(bookings: DataFrame) -> DataFrame:
     The window runs over the aggregate, one row per hotel and meal plan.
     """
     per_meal = kept(bookings).groupBy("meal_plan", "hotel").agg(
-        rows().alias("bookings"), mean("adr").alias("avg_daily_rate"), F.sum(scaled("adr")).alias("_cents")
+        rows().alias("bookings"), mean("adr").alias("avg_daily_rate"), F.sum(exact("adr")).alias("_paid")
     )
-    hotel_cents = F.sum("_cents").over(Window.partitionBy("hotel"))
+    hotel_paid = F.sum("_paid").over(Window.partitionBy("hotel")).cast("double")
+    paid = F.col("_paid").cast("double")
     return per_meal.select(
         "meal_plan",
         "hotel",
         "bookings",
         "avg_daily_rate",
-        round_half_up(F.col("_cents") / 100.0, 0).alias("total_revenue"),
-        share_pct("_cents", hotel_cents).alias("pct_of_hotel_revenue"),
+        round_half_up(paid, 0).alias("total_revenue"),
+        share_pct(paid, hotel_paid).alias("pct_of_hotel_revenue"),
     ).orderBy("hotel", F.desc("total_revenue"))
 
 
@@ -108,36 +109,36 @@ def profile_matches(bookings: DataFrame, guests: DataFrame) -> DataFrame:
     return left.join(right, ["country", "market_segment"]).withColumn("pairs", F.col("bookings") * F.col("guests"))
 
 
-def loyalty_cross(bookings: DataFrame, guests: DataFrame, unique_guests: bool = True) -> DataFrame:
+def loyalty_cross(bookings: DataFrame, guests: DataFrame, unique_guests: bool = False) -> DataFrame:
     """Tier x meal plan x hotel over bookings joined to guests of the same
     country and segment.
 
     The join pairs every booking with every such guest, billions of rows for a
     popular key. Both sides are summed per join key first, and the sums are
     multiplied: a booking counts once per guest, a guest once per booking.
-    ``unique_guests`` says that guest_id identifies a profile row (checked by
-    the quality rules); otherwise distinct guests are counted from the rows.
+    Distinct guests are counted from the rows, unless ``unique_guests`` says that
+    guest_id identifies a profile row (the quality rules check that).
     """
     stays = (
         kept(bookings)
         .groupBy("country", "market_segment", "meal_plan", "hotel")
-        .agg(rows().alias("n_stays"), F.sum(scaled("adr")).alias("adr_sum"), F.count("adr").alias("n_adr"))
+        .agg(rows().alias("n_stays"), F.sum(exact("adr")).alias("adr_sum"), F.count(exact("adr")).alias("n_adr"))
     )
     profiles = guests.groupBy("country", F.col("preferred_segment").alias("market_segment"), "loyalty_tier").agg(
         rows().alias("n_guests"),
         F.count("guest_id").alias("n_ids"),
-        F.sum(scaled("total_spend_eur")).alias("spend_sum"),
-        F.count("total_spend_eur").alias("n_spend"),
+        F.sum(exact("total_spend_eur")).alias("spend_sum"),
+        F.count(exact("total_spend_eur")).alias("n_spend"),
     )
     keys = ["country", "market_segment"]
     group = ["loyalty_tier", "meal_plan", "hotel"]
 
     def weighted(total: str, n: str, weight: str) -> Column:
-        # decimal: the number of pairs, and cents times a count, can pass 64 bits
+        # decimal: the number of pairs can pass 64 bits
         times = F.col(weight).cast("decimal(15,0)")
         over = F.sum(F.col(n).cast("decimal(20,0)") * times).cast("double")
-        cents = F.sum(F.col(total).cast("decimal(20,0)") * times).cast("double")
-        return round_half_up(F.try_divide(cents / 100.0, over), 2)
+        paid = F.sum(F.col(total) * times).cast("double")
+        return round_half_up(F.try_divide(paid, over), 2)
 
     out = (
         stays.join(profiles, keys)

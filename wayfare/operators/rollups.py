@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.dates import year_month
-from ..functions.numeric import exact_mean, exact_sum, ratio_pct, round_half_up, scaled
+from ..functions.numeric import exact, exact_mean, exact_sum, ratio_pct, round_half_up
 
 # Left out of the segment chart; number of routes listed; colour limits.
 NO_CHARGE_SEGMENT = "Complementary"
@@ -25,12 +25,10 @@ def month_label() -> Column:
     return year_month("arrival_date_year", "arrival_month_num").alias("year_month")
 
 
-def weighted_mean(value: str, weight: str, scale: int = 2) -> Column:
+def weighted_mean(value: str, weight: str) -> Column:
     """Exact sum(value * weight) / sum(weight) over rows with a value."""
-    p = F.lit(float(10**scale))
-    return F.try_divide(
-        F.sum(scaled(value, scale) * F.col(weight)) / p, F.sum(F.when(F.col(value).isNotNull(), F.col(weight)))
-    )
+    total = F.sum(exact(value) * F.col(weight)).cast("double")
+    return F.try_divide(total, F.sum(F.when(exact(value).isNotNull(), F.col(weight))))
 
 
 # -- hotel ------------------------------------------------------------------
@@ -94,7 +92,7 @@ def segment_adr(by_segment: DataFrame) -> DataFrame:
         .groupBy("market_segment")
         .agg(exact_mean("avg_adr").alias("avg_adr"), exact_sum("total_revenue").alias("total_revenue"))
     )
-    line = per_segment.agg(round_half_up(exact_mean("avg_adr", 6), 2).alias("m")).scalar()
+    line = per_segment.agg(round_half_up(exact_mean("avg_adr"), 2).alias("m")).scalar()
     return per_segment.select("*", line.alias("overall_avg_adr")).orderBy("avg_adr")
 
 
@@ -143,22 +141,20 @@ def kpi_hotel(conversion: DataFrame, opportunity: DataFrame) -> DataFrame:
 def kpi_flight(by_segment: DataFrame, no_show: DataFrame) -> DataFrame:
     """Totals; satisfaction weighted by passengers; share of no-shows."""
     shows = no_show.agg(
-        F.sum("no_shows").alias("total_no_shows"),
-        F.try_divide(F.sum("no_shows"), F.sum("passengers")).alias("overall_no_show"),
-    )
+        F.struct(
+            F.sum("no_shows").alias("total_no_shows"),
+            F.try_divide(F.sum("no_shows"), F.sum("passengers")).alias("overall_no_show"),
+        ).alias("s")
+    ).scalar()
     return by_segment.agg(
         F.sum("passengers").alias("total_passengers"),
         # rows without a score weigh in the divisor, as in the card's formula
         round_half_up(
-            F.try_divide(F.sum(scaled("avg_satisfaction") * F.col("passengers")) / 100.0, F.sum("passengers")), 4
+            F.try_divide(F.sum(exact("avg_satisfaction") * F.col("passengers")).cast("double"), F.sum("passengers")), 4
         ).alias("avg_satisfaction"),
         F.sum("satisfied_count").alias("satisfied_count"),
         F.sum("dissatisfied_count").alias("dissatisfied_count"),
-    ).select(
-        "*",
-        shows.select("total_no_shows").scalar().alias("total_no_shows"),
-        shows.select("overall_no_show").scalar().alias("overall_no_show"),
-    )
+    ).withColumn("_shows", shows).select("*", "_shows.total_no_shows", "_shows.overall_no_show").drop("_shows")
 
 
 def flight_tier(by_segment: DataFrame) -> DataFrame:
@@ -168,7 +164,7 @@ def flight_tier(by_segment: DataFrame) -> DataFrame:
         .agg(
             F.sum("passengers").alias("passengers"),
             exact_mean("avg_satisfaction").alias("avg_satisfaction"),
-            exact_mean("no_show_rate", 3).alias("no_show_rate"),
+            exact_mean("no_show_rate").alias("no_show_rate"),
             F.sum("satisfied_count").alias("satisfied_count"),
             F.sum("dissatisfied_count").alias("dissatisfied_count"),
         )
@@ -237,7 +233,7 @@ def delay(delays: DataFrame) -> DataFrame:
         .agg(
             F.sum("flights").alias("flights"),
             exact_mean("avg_satisfaction").alias("avg_satisfaction"),
-            exact_mean("no_show_rate", 3).alias("no_show_rate"),
+            exact_mean("no_show_rate").alias("no_show_rate"),
             F.sum("dissatisfied_count").alias("dissatisfied_count"),
         )
         .withColumn("order", labels.ordinal("delay_bucket", labels.label_order(labels.DELAY)))
@@ -252,7 +248,7 @@ def seat_class(by_segment: DataFrame) -> DataFrame:
         .agg(
             F.sum("passengers").alias("passengers"),
             exact_mean("avg_satisfaction").alias("avg_satisfaction"),
-            exact_mean("no_show_rate", 3).alias("no_show_rate"),
+            exact_mean("no_show_rate").alias("no_show_rate"),
             exact_mean("avg_price_paid").alias("avg_price_paid"),
         )
         .orderBy(F.desc("avg_satisfaction"))

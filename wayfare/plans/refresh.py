@@ -28,25 +28,25 @@ class Refresh:
         return self.rows[table]
 
 
-def _detect(store: Store, sources: dict[str, DataFrame], compare_content: bool) -> list[dict]:
-    """Counts before the rebuild: a handful of rows, one per source."""
-    stored = {n: store.read(f"bronze_{n}") for n in sources if store.exists(f"bronze_{n}")}
-    parts = [changes.count_gap(n, df, stored.get(n)) for n, df in sources.items()]
-    found = [row.asDict() for part in parts for row in part.collect()]
-    if compare_content:
-        for row in found:
-            if row["source"] in stored:
-                name = row["source"]
-                row |= changes.content_gap(name, sources[name], stored[name].drop(*hotel.AUDIT)).first().asDict()
-    return found
-
-
 def _bronze(
-    store: Store, sources: dict[str, DataFrame], moment: Column, run: Refresh, origins: dict[str, str] | None
+    store: Store, sources: dict[str, DataFrame], moment: Column, run: Refresh, origins: dict[str, str] | None, compare_content: bool
 ) -> None:
+    """Store the sources, and note what is new in each.
+
+    A source's rows are counted by its own write, and the stored table's from its
+    files' footers, so nothing is scanned for the counts. Comparing contents reads
+    both sides, before the stored one is replaced.
+    """
     for name, df in sources.items():
-        origin = (origins or {}).get(name, name)
-        run.rows[f"bronze_{name}"] = store.write(audit(df, origin, moment), f"bronze_{name}")
+        table = f"bronze_{name}"
+        stored = store.read(table) if store.exists(table) else None
+        gap = None
+        if compare_content and stored is not None:
+            gap = changes.content_gap(name, df, stored.drop(*hotel.AUDIT)).first().asDict()
+        before = None if stored is None else stored.count()
+        n = run.rows[table] = store.write(audit(df, (origins or {}).get(name, name), moment), table)
+        counted = {"source": name, "in_source": n, "in_bronze": before, "new_rows": None if before is None else n - before}
+        run.detected.append(gap or counted)
 
 
 def refresh_hotel(
@@ -63,8 +63,7 @@ def refresh_hotel(
     """
     moment = F.current_timestamp() if moment is None else moment
     run = Refresh()
-    run.detected = _detect(store, sources, compare_content)
-    _bronze(store, sources, moment, run, origins)
+    _bronze(store, sources, moment, run, origins, compare_content)
     bronze = {n: store.read(f"bronze_{n}").drop(*hotel.AUDIT) for n in sources}
     silver = hotel.silver(bronze["bookings"], bronze["guests"], bronze["packages"], moment=moment)
     run.rows["silver_bookings"] = store.write(silver, "silver_bookings")
@@ -99,8 +98,7 @@ def refresh_flight(
     """``sources``: flights, passengers, routes."""
     moment = F.current_timestamp() if moment is None else moment
     run = Refresh()
-    run.detected = _detect(store, sources, compare_content)
-    _bronze(store, sources, moment, run, origins)
+    _bronze(store, sources, moment, run, origins, compare_content)
     bronze = {n: store.read(f"bronze_{n}").drop(*hotel.AUDIT) for n in sources}
     silver = flight.silver(bronze["flights"], bronze["passengers"], bronze["routes"], moment=moment)
     run.rows["silver_flights"] = store.write(silver, "silver_flights")
@@ -144,7 +142,7 @@ def refresh_reports(
     }
     for name, (snapshot, to_json) in snapshots.items():
         run.rows[name] = replace_snapshot(snapshot, f"{store.root}/{name}")
-        current = store.read(name).filter(F.col("snapshot_date") == snapshot_date)
+        current = spark.read.format(store.fmt).load(f"{store.root}/{name}").filter(F.col("snapshot_date") == snapshot_date)
         export = to_json(current, generated_at).withColumn("snapshot_date", snapshot_date)
         run.rows[f"{name}_json"] = replace_snapshot(export, f"{store.root}/json_export/{name}")
     return run

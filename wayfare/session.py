@@ -31,13 +31,19 @@ def session(app: str = "wayfare", master: str | None = None, **extra: str) -> Sp
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``.
+    """The shared folder named in ``spark.checkpoint.dir``, or set on the context.
 
-    Executors must all see it. Only when the session names none (local tests)
-    is a temporary folder made, and then remembered in the session.
+    Executors must all see it. Only a local session that names none (as in tests)
+    gets a temporary one, which is then remembered; elsewhere that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("wayfare.scratch", None)
     if not root:
+        folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = folder.get() if folder.isDefined() else None
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="wayfare-")
         spark.conf.set("wayfare.scratch", root)
     return root.rstrip("/")
@@ -48,7 +54,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Asked of Hadoop's file system, so folders and object stores look alike."""
+def _place(spark: SparkSession, path: str):
+    """A path and its file system: Hadoop's, so folders and object stores look alike."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _place(spark, path)
+    return files.exists(place)
+
+
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    place, files = _place(spark, path)
+    if not files.rename(place, _place(spark, to)[0]):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    place, files = _place(spark, path)
+    files.delete(place, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``."""
+    place, files = _place(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(place) if f.isDirectory())

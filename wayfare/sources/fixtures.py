@@ -113,23 +113,10 @@ _TEXT = {"bookings": BOOKINGS, "flights": FLIGHTS, "feedback": FEEDBACK, "guest_
 VIEWS = {name: text.format(**{t: t for t in _TABLES[name]}) for name, text in _TEXT.items()}
 
 
-# the table with the rows, and the column to deal it by
-_ROWS = {"bookings": ("lineitem", "l_orderkey"), "flights": ("events", "event_id"), "feedback": ("events", "event_id"),
-         "guest_profiles": ("customer", "c_custkey")}
-
-
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One source built over the parquet tables in ``sf_dir``.
 
     No join is hinted: a table is broadcast only while its measured size is
-    under the session's threshold, and sort-merge joined beyond it. The small
-    test files are one split each, which would leave all cores but one idle;
-    such a file is dealt out first. A large table has more splits than cores
-    and is read as it is.
+    under the session's threshold, and sort-merge joined beyond it.
     """
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES[name]}
-    main, key = _ROWS[name]
-    cores = spark.sparkContext.defaultParallelism
-    if tables[main].rdd.getNumPartitions() < cores:
-        tables[main] = tables[main].repartition(cores, key)
-    return spark.sql(_TEXT[name], **tables)
+    return spark.sql(_TEXT[name], **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES[name]})

@@ -2,62 +2,64 @@
 
 The stream's own checkpoint knows which files were read, in place of comparing
 row counts. Each micro-batch is merged into the last committed version of the
-table and written to a new folder; then its number is added to the commits. A
-batch that is run again after a failure starts from the version before it and
-writes its own folder anew, so nothing is applied twice. Readers see committed
-versions only. Old versions are left for the owner to expire.
+table, written whole as the next version, and committed together with the
+stream's query and batch number. A batch that is run again after its commit is
+skipped, and one that failed before it starts from the last commit: nothing is
+applied twice or lost, also when a new checkpoint counts batches from 0 again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.changes import upsert
-from ..session import path_exists
+from ..sinks.tables import Versions
 
 
-def last_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
-    if not path_exists(spark, f"{root}/commits"):
-        return None
-    commits = spark.read.parquet(f"{root}/commits")
-    if before is not None:
-        commits = commits.filter(F.col("version") < before)
-    return commits.agg(F.max("version")).first()[0]
+def part_of(columns: Sequence[str]) -> Column:
+    """The part of a row: a digest of the columns' values, NULL told from any text."""
+    values = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns]
+    return F.md5(F.concat_ws("\x1f", *values))
 
 
-def write_version(df: DataFrame, root: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    number = df.sparkSession.range(version, version + 1).select(F.col("id").alias("version"))
-    number.coalesce(1).write.mode("append").parquet(f"{root}/commits")
+def merge_batch(
+    root: str, keys: Sequence[str], order: Sequence[str], parts: Sequence[str] = ()
+) -> Callable[[DataFrame, int], None]:
+    if not set(parts) <= set(keys):
+        raise ValueError("parts must be columns of the key")
 
-
-def read_current(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    version = last_version(spark, root, before)
-    return None if version is None else spark.read.parquet(f"{root}/version={version}")
-
-
-def merge_batch(root: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
     def apply(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1  # version 0 is the initial load
-        base = read_current(batch.sparkSession, root, before=version)
-        write_version(upsert(batch.limit(0) if base is None else base, batch, keys, order), root, version)
+        spark = batch.sparkSession
+        table = Versions(spark, root)
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or root
+        if table.committed(query, batch_id):
+            return
+        part = part_of(parts) if parts else None
+        # a row's part is in its key, so all other parts stay as they are
+        touched = None if part is None else {r[0] for r in batch.select(part.alias("p")).distinct().collect()}
+        base = table.read(touched)
+        table.write(upsert(batch.limit(0) if base is None else base, batch, keys, order), query, batch_id, part)
 
     return apply
 
 
 def ingest(
-    files: DataFrame, root: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]
+    files: DataFrame, root: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], parts: Sequence[str] = ()
 ) -> DataFrame:
-    """Merge everything that is new in a ``readStream`` source, then stop."""
+    """Merge everything that is new in a ``readStream`` source, then stop.
+
+    ``parts`` are columns of the key (say year and month) that divide the table:
+    a batch then reads and writes only the parts that its rows are in.
+    """
     query = (
-        files.writeStream.foreachBatch(merge_batch(root, keys, order))
+        files.writeStream.foreachBatch(merge_batch(root, keys, order, parts))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    current = read_current(files.sparkSession, root)
+    current = Versions(files.sparkSession, root).read()
     return files.sparkSession.createDataFrame([], files.schema) if current is None else current
