@@ -211,6 +211,18 @@ def test_main_text_of_a_page():
     )
 
 
+@pytest.mark.parametrize(
+    ("attributes", "kept"),
+    [
+        ('class="story"', True), ('style="overflow:hidden"', True), ('data-id="nav"', True), ("id=text-1 lang=en", True),
+        ('class="social-share"', False), ("id='sidebarLeft'", False), ('role="navigation"', False), ("hidden", False), ('style="display: none"', False),
+    ],
+)
+def test_elements_left_out(attributes, kept):
+    found = main_text.main_text(f"<body><p>One, two, three, four.</p><div {attributes}><p>Five, six, seven, eight.</p></div></body>")
+    assert ("Five" in found) == kept and "One" in found
+
+
 def test_main_text_of_all_pages(spark, sf_dir):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     for r in queries.op6_main_text(spark, sf_dir).collect():

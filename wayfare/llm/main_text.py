@@ -34,7 +34,7 @@ BLOCKS = frozenset(
 )
 OUT_TAGS = frozenset("nav header footer aside form menu dialog button select option label fieldset input head".split())
 OUT_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu "
+    "ad ads adsbygoogle advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs header masthead footer sidebar aside rail widget widgets comment comments disqus replies respond "
     "notice notices cookie cookies consent gdpr alert popup modal overlay subscribe subscription newsletter signup login share "
     "sharing social related recommended pagination pager form search toolbar".split()
@@ -48,7 +48,8 @@ SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 
 _TAG = re.compile(r"/?([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 _LOOSE_TAG = re.compile(r"/?([A-Za-z][^\s/>]*)([^>]*+)>")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -68,7 +69,7 @@ def left_out(tag: str, attributes: str) -> bool:
         return False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _UNSEEN.search(value):
             return True
         if name == "role":
             if value.strip().lower() in OUT_ROLES:
