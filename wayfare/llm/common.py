@@ -53,6 +53,33 @@ def blank_trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACES))
 
 
+#: Bits of a bitmap of ids: 8 MB, whatever the number of ids.
+BITMAP_BITS = 1 << 26
+
+
+def bitmaps(ids: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
+    """(bucket, bitmap) of the hashes of the column ``id``: at most ``bits`` / 8 bytes in all."""
+    place = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
+    placed = ids.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("at"))
+    return placed.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bitmap"))
+
+
+def perhaps_in(df: DataFrame, id: Column, maps: DataFrame, name: str, bits: int = BITMAP_BITS) -> DataFrame:
+    """``df`` with a boolean ``name``: false only where the id is surely not among those of ``maps``.
+
+    ``maps`` is broadcast, as its size is bounded. It saves shuffling the rows that
+    an exact join by id would not touch; the caller makes that join on the others.
+    """
+    place = F.pmod(F.xxhash64(id), F.lit(bits)) + 1
+    bucket, bitmap = fresh(df, "its_bucket"), fresh(df, "its_bitmap")
+    small = F.broadcast(maps.select(F.col("bucket").alias(bucket), F.col("bitmap").alias(bitmap)))
+    joined = df.join(small, F.bitmap_bucket_number(place) == F.col(bucket), "left")
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(1) == 1
+    return joined.withColumn(name, F.coalesce(held, F.lit(False))).drop(bucket, bitmap)
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once per context, as ``--py-files`` would."""
     context = spark.sparkContext

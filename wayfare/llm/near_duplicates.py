@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import WORD, col, fresh, let, saved, ship
+from .common import WORD, bitmaps, col, fresh, let, perhaps_in, saved, ship
 from .components import components
 
 
@@ -238,7 +238,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", set
     # full sets, of the documents that are compared only; an id may have several texts
     asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(clusters.select("id")).distinct()
     asked = saved(asked.join(classes.select("id", "n", "k1", "k2"), "id"), "near-asked")
-    compared = docs.select(col(id).alias("id"), col(text).alias("text")).join(asked.select("id").distinct(), "id", "left_semi")
+    wanted = asked.select("id").distinct()
+    read = perhaps_in(docs.select(col(id).alias("id"), col(text).alias("text")), F.col("id"), bitmaps(wanted), "perhaps")
+    compared = read.filter("perhaps").join(wanted, "id", "left_semi")
     sets = compared.select("id", F.sort_array(shingles(F.col("text"), s.words)).alias("set"))
     keyed = sets.select("id", "set", F.size("set").cast("long").alias("n"), F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"))
     sets = saved(keyed.join(asked, ["id", "n", "k1", "k2"], "left_semi").dropDuplicates(["id"]).select("id", "set"), "near-sets")
@@ -261,12 +263,17 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", settings:
     Rows equal in id and text count as copies too, and one stays. Rows without an id stay.
     """
     found = saved(near_duplicates(docs, id, text, settings), "near-result")
-    gone = found.filter(~F.col("kept")).select("id").distinct()
+    gone = saved(found.filter(~F.col("kept")).select("id").distinct(), "near-gone")
     often = found.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     often = saved(often.select("id"), "near-often")
-    name = fresh(docs, "its_id")
+    name, perhaps = fresh(docs, "its_id"), fresh(docs, "perhaps")
     same = col(id) == F.col(name)
-    rows = docs.join(gone.withColumnRenamed("id", name), same, "left_anti")
+    # only rows that the bitmap can't clear are shuffled
+    read = perhaps_in(docs, col(id), bitmaps(gone), perhaps)
+    surely = read.filter(~F.col(perhaps)).drop(perhaps)
+    rows = read.filter(perhaps).drop(perhaps).join(gone.withColumnRenamed("id", name), same, "left_anti").union(surely)
+    if often.isEmpty():
+        return rows
     again = often.withColumnRenamed("id", name)
     once = rows.join(again, same, "left_anti")
     copies = rows.join(again, same, "left_semi").dropDuplicates([id, text])
