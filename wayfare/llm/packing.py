@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from .common import col, saved, ship
 
 #: Words that a worker remembers; beyond that it forgets all and begins anew. No result depends on it.
-MEMORY = 700_000
+MEMORY = 600_000
 #: Characters of text that are tokenized at once.
 CHUNK = 8_000_000
 #: Texts with other characters (these are composed and have plain small letters), or with a
@@ -50,7 +50,13 @@ class Memory:
         self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.flat, self.used = np.zeros(1 << 18, "<u4"), 0
 
-    def learn(self, strings: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def places(self, strings: list[str]) -> np.ndarray:
+        """Where each string is, -1 for the unknown."""
+        get = self.place.get
+        return np.array([get(s, -1) for s in strings], np.int64)
+
+    def learn(self, strings: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Remembers new strings with their ids, one after the other; returns their places."""
         n = len(self.place)
         while n + len(strings) > len(self.start):
             self.start, self.size = np.resize(self.start, 2 * len(self.start)), np.resize(self.size, 2 * len(self.size))
@@ -61,11 +67,10 @@ class Memory:
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
         self.place.update(zip(strings, range(n, n + len(strings))))
+        return np.arange(n, n + len(strings))
 
-    def gather(self, lists: pa.ListArray, coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all lists of strings in turn, and where each list's begin and end."""
-        known = np.array([self.place[s] for s in coded.dictionary.to_pylist()], np.int64)
-        at = known[coded.indices.to_numpy()] if len(known) else np.zeros(0, np.int64)
+    def gather(self, at: np.ndarray, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all lists of strings, given by place, in turn; and where each list's begin and end."""
         sizes = self.size[at]
         through = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.flat[np.repeat(self.start[at] - through[:-1], sizes) + np.arange(through[-1])]
@@ -90,28 +95,30 @@ class Tokens:
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.words, self.pieces = Memory(), Memory()
 
-    def _learn(self, words: list[str]) -> None:
-        if not words:
-            return
-        spaced = pc.replace_substring_regex(pc.utf8_lower(pa.array(words, pa.string())), NO_LETTERS, r" \1 ")
-        pieces = pc.utf8_split_whitespace(spaced)
-        coded = pieces.flatten().dictionary_encode()
-        new = [p for p in coded.dictionary.to_pylist() if p not in self.pieces.place]
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
-            found = [e.ids for e in self.plain.encode_batch_fast(some, add_special_tokens=False)]
-            sizes = np.array([len(x) for x in found], np.int64)
-            self.pieces.learn(some, np.fromiter(itertools.chain.from_iterable(found), "<u4", int(sizes.sum())), sizes)
-        ids, ends = self.pieces.gather(pieces, coded)
-        self.words.learn(words, ids, np.diff(ends))
+    def _gather(self, memory: Memory, lists: pa.ListArray, learn) -> tuple[np.ndarray, np.ndarray]:
+        coded = lists.flatten().dictionary_encode()
+        strings = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = memory.places(strings)
+        if len(new := np.flatnonzero(at < 0)):
+            at[new] = learn([strings[k] for k in new.tolist()])
+        return memory.gather(at[coded.indices.to_numpy()] if len(at) else at, lists)
+
+    def _learn_pieces(self, pieces: list[str]) -> np.ndarray:
+        found = []
+        for k in range(0, len(pieces), 20_000):
+            found += [e.ids for e in self.plain.encode_batch_fast(pieces[k : k + 20_000], add_special_tokens=False)]
+        sizes = np.array([len(x) for x in found], np.int64)
+        return self.pieces.learn(pieces, np.fromiter(itertools.chain.from_iterable(found), "<u4", int(sizes.sum())), sizes)
+
+    def _learn_words(self, words: list[str]) -> np.ndarray:
+        pieces = pc.utf8_split_whitespace(pc.replace_substring_regex(pa.array(words, pa.string()), NO_LETTERS, r" \1 "))
+        ids, ends = self._gather(self.pieces, pieces, self._learn_pieces)
+        return self.words.learn(words, ids, np.diff(ends))
 
     def _usual(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.words.place) > MEMORY:
             self.words, self.pieces = Memory(), Memory()
-        words = pc.utf8_split_whitespace(texts)
-        coded = words.flatten().dictionary_encode()
-        self._learn([w for w in coded.dictionary.to_pylist() if w not in self.words.place])
-        ids, ends = self.words.gather(words, coded)
+        ids, ends = self._gather(self.words, pc.utf8_split_whitespace(pc.utf8_lower(texts)), self._learn_words)
         return [ids[a:b] for a, b in itertools.pairwise(ends.tolist())]
 
     def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
