@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from .common import col, saved, ship
 
 #: Words that a worker remembers; beyond that it forgets all and begins anew. No result depends on it.
-MEMORY = 600_000
+MEMORY = 400_000
 #: Characters of text that are tokenized at once.
 CHUNK = 8_000_000
 #: Texts with other characters (these are composed and have plain small letters), or with a
