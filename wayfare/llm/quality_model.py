@@ -17,6 +17,7 @@ of good ones, or 0.5 without any; equal rows get equal scores.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,45 +27,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACES, WORD, col, let, saved, ship
+from .common import SPACES, WORD, blank_trimmed, col, let, saved, ship
 
 FEATURES = (
     "words", "word_length", "symbols", "capitals", "digits", "stops", "bangs", "pipes", "distinct_words", "line_words",
-    "repeated_lines", "stopped_lines", "long_words", "other_letters",
+    "repeated_lines", "stopped_lines", "long_words", "more_bytes",
 )
 
 
 def features(text: Column) -> Column:
-    """The features as an array of doubles, each 0 for an empty text."""
-    text = F.coalesce(text, F.lit(""))
-    chars = F.length(F.translate(text, SPACES, ""))
-    part = lambda n: n / F.greatest(chars, F.lit(1))
-    without = lambda these: F.length(text) - F.length(F.translate(text, these, ""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
-
-    def of(w: Column) -> Column:
-        n = F.size(w)
-        many = F.greatest(n, F.lit(1))
-
-        def by_line(x: Column) -> list[Column]:
-            k = F.greatest(F.size(x), F.lit(1))
-            ends = F.size(F.filter(x, lambda s: F.substring(s, -1, 1).isin(".", "?", ":", '"')))
-            return [many / k, (F.size(x) - F.size(F.array_distinct(x))) / k, ends / k]
+    """The features as an array of doubles, each 0 for an empty text.
 
+    One pass takes the small letters out; the other counts are of what is left.
+    """
+    text = F.coalesce(text, F.lit(""))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.length(blank_trimmed(x)) > 0)
+    parts = F.struct(
+        F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"),
+        let(F.translate(text, string.ascii_lowercase, ""), lambda r: F.struct(r.alias("spaced"), F.translate(r, SPACES, "").alias("signs"))).alias("rest"),
+    )
+
+    def by_line(x: Column, words: Column) -> Column:
+        k = F.greatest(F.size(x), F.lit(1))
+        ends = F.size(F.filter(x, lambda s: F.substring(s, -1, 1).isin(".", "?", ":", '"')))
+        return F.array(words / k, (F.size(x) - F.size(F.array_distinct(x))) / k, ends / k)
+
+    def of(p: Column) -> Column:
+        w, signs = p["words"], p["rest"]["signs"]
+        n, many = F.size(w), F.greatest(F.size(w), F.lit(1))
+        chars = F.length(text) - F.length(p["rest"]["spaced"]) + F.length(signs)
+        part = lambda k: k / F.greatest(chars, F.lit(1))
+        count = lambda these: F.length(signs) - F.length(F.translate(signs, these, ""))
         long = F.size(F.filter(w, lambda s: F.length(s) > 16))
-        per_line = let(lines, lambda x: F.array(*by_line(x)))
-        ascii_letters = F.length(F.regexp_replace(text, "[^A-Za-z]", ""))
-        letters = F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
         return F.concat(
             F.array(
-                F.log1p(n.cast("double")), chars / many, part(without("#*$%&<>@^~_=\\{}[]")), part(F.length(F.regexp_replace(text, "[^A-Z]", ""))),
-                part(without("0123456789")), part(without(".,;")), part(without("!")), part(without("|")),
-                F.size(F.array_distinct(w)) / F.sqrt(many.cast("double")), long / many, part(letters - ascii_letters),
+                F.log1p(n.cast("double")), chars / many, part(count("#*$%&<>@^~_=\\{}[]")), part(count(string.ascii_uppercase)),
+                part(count(string.digits)), part(count(".,;")), part(count("!")), part(count("|")),
+                F.size(F.array_distinct(w)) / F.sqrt(many.cast("double")), long / many, part(F.octet_length(text) - F.length(text)),
             ),
-            per_line,
+            let(lines, lambda x: by_line(x, many)),
         )
 
-    return let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), of)
+    return let(parts, of)
 
 
 @dataclass
