@@ -136,7 +136,9 @@ def _quadrants(g: np.ndarray, h: np.ndarray, ridge: float) -> tuple[float, np.nd
 
 
 def fit(x: np.ndarray, y: np.ndarray, rounds: int = 150, pair_rounds: int = 60, pairs: int = 10, bins: int = 64, rate: float = 0.15, ridge: float = 5.0) -> Model:
-    mean = float(y.mean()) if len(y) else 0.5
+    if not len(y):
+        return Model(base=0.0)
+    mean = float(y.mean())
     if not 0 < mean < 1:
         return Model(base=float(np.log((mean + 1e-3) / (1 - mean + 1e-3))))
     quantiles = np.linspace(0, 1, bins + 1)[1:-1]
