@@ -95,6 +95,20 @@ def test_repeated_passages(docs, none):
     assert repeated_passages.repeats(none).count() == 0
 
 
+def test_passages_inside_lines(spark, docs, none):
+    words = [f"w{k}" for k in range(400)]
+    shared = " ".join(words[:60])
+    rows = [(1, "a b\n" + shared + " c"), (2, "x y " + shared.upper().replace(" W30 ", "\n\nW30  ") + " z"), (3, " ".join(words[11:60])), (4, " ".join(words[200:]))]
+    found = repeated_passages.passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    (r,) = found.collect()
+    assert (r["doc_id"], r["n_words"], r["first_doc_id"], r["first_start"]) == (2, 60, 1, 4)
+    assert rows[1][1][r["start"] : r["end"]].lower().split() == words[:60]
+    assert repeated_passages.passages(none).count() == 0
+    # a text that repeats itself keeps its begin
+    spans = {(r["doc_id"], r["start"]) for r in repeated_passages.passages(docs).collect()}
+    assert (7, 200) in spans and (8, len(PROSE) + 1) in spans and (5, 0) in spans and not any(d == 4 for d, _ in spans)
+
+
 def test_paragraph_units():
     assert list(repeated_passages.spans("a\nb\n\n c \n\n", paragraphs=True)) == [(0, 3, "a\nb"), (5, 8, " c ")]
     assert list(repeated_passages.spans("", paragraphs=True)) == []

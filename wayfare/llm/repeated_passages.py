@@ -9,6 +9,11 @@ also when it has several lines. Grouping is combined in the map tasks, hence a
 unit in a third of all documents is one row per task; the join back is an
 equi-join whose hot key AQE can split.
 
+Units are whole lines or paragraphs, so a passage that begins or ends inside one is
+found by ``passages`` only, which has a window of words at each word: sparse
+fingerprints (winnowing) say which windows can be shared at all, these are grouped
+by digest like the units, and neighbouring repeats merged to spans.
+
 Defined results: null and empty texts have no units; blank units are skipped; a
 unit that a document repeats is a repeat too; equal rows of one id are one
 document; rows with a null id rank last.
@@ -16,8 +21,10 @@ document; rows with a null id rank last.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -98,6 +105,113 @@ def repeats(
     )
 
 
+#: Words of a fingerprint; with windows of ``min_words`` each window holds at least one that is picked by content alone.
+GRAM = 25
+_WORD = re.compile(r"\S+")
+_PRIME = 0x9E3779B97F4A7C15
+_SEEDS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("at", pa.int64()), ("seed", pa.int64())])
+_WINDOWS = pa.schema(
+    [("doc_id", pa.int64()), ("row", pa.int64()), ("at", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())]
+)
+
+
+def _words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, hashes) of the words; two hashes a word."""
+    found = [(m.start(), m.end(), xxhash.xxh3_128_digest(m[0].lower())) for m in _WORD.finditer(text)]
+    if not found:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros((0, 2), np.uint64)
+    starts, ends, digests = zip(*found)
+    return np.array(starts), np.array(ends), np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+
+
+def _rolled(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each window of ``n`` words: a polynomial modulo 2^64 and a mix of its bits."""
+    if len(hashes) < n:
+        return np.zeros(0, np.uint64)
+    powers = np.full(len(hashes), _PRIME, np.uint64).cumprod(dtype=np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), (hashes * powers).cumsum(dtype=np.uint64)])
+    back = np.full(len(hashes), pow(_PRIME, -1, 1 << 64), np.uint64).cumprod(dtype=np.uint64)
+    x = (sums[n:] - sums[:-n]) * back[: len(hashes) - n + 1]
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def _picked(grams: np.ndarray, of: int) -> np.ndarray:
+    """For each ``of`` neighbours, the place of the smallest hash (the last of equals)."""
+    if len(grams) < of:
+        return np.zeros(0, int)
+    windows = np.lib.stride_tricks.sliding_window_view(grams, of)[:, ::-1]
+    return np.arange(len(windows)) + of - 1 - windows.argmin(axis=1)
+
+
+def _seeds(min_words: int):
+    gram = min(GRAM, min_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, row, text in zip(batch["doc_id"].to_pylist(), batch["row"].to_pylist(), batch["text"], strict=True):
+                grams = _rolled(_words(text.as_py())[2][:, 0], gram)
+                at = np.unique(_picked(grams, min_words - gram + 1))
+                if len(at):
+                    same = [pa.array([x] * len(at), pa.int64()) for x in (doc, row)]
+                    yield pa.RecordBatch.from_arrays([*same, pa.array(at), pa.array(grams[at].view(np.int64))], schema=_SEEDS)
+
+    return run
+
+
+def _windows(min_words: int):
+    gram = min(GRAM, min_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch["doc_id"].to_pylist(), batch["row"].to_pylist(), batch["text"], batch["shared"], strict=True)
+            for doc, row, text, shared in rows:
+                starts, ends, hashes = _words(text.as_py())
+                elsewhere = np.zeros(len(starts), bool)
+                elsewhere[np.array(shared.as_py())] = True
+                at = np.flatnonzero(elsewhere[_picked(_rolled(hashes[:, 0], gram), min_words - gram + 1)])
+                if len(at):
+                    k1, k2 = (_rolled(hashes[:, k], min_words)[at].view(np.int64) for k in (0, 1))
+                    same = [pa.array([x] * len(at), pa.int64()) for x in (doc, row)]
+                    columns = [at, starts[at], ends[at + min_words - 1], k1, k2]
+                    yield pa.RecordBatch.from_arrays([*same, *map(pa.array, columns)], schema=_WINDOWS)
+
+    return run
+
+
+def passages(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:
+    """One row per repeated passage of ``min_words`` words or more, wherever in a line it begins or ends.
+
+    doc_id, row, start, end, n_words, and document and start of the first occurrence
+    of its first ``min_words`` words; case and white space don't matter. A passage is
+    as long as each window of ``min_words`` words in it occurs earlier, be it in
+    several documents. Windows that overlap their own first occurrence aren't repeats.
+    """
+    ship(docs.sparkSession)
+    read = docs.select(
+        col(id).cast("long").alias("doc_id"), F.xxhash64(col(text)).alias("row"), col(text).alias("text")
+    ).filter(F.length("text") > 0)
+    seeds = saved(read.mapInArrow(_seeds(min_words), "doc_id long, row long, at long, seed long").distinct(), "passage-seeds")
+    often = saved(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"), "passage-often")
+    shared = seeds.join(often, "seed").groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.collect_list("at").alias("shared"))
+    held = read.join(saved(shared, "passage-places"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
+    kind = "doc_id long, row long, at long, start long, end long, k1 long, k2 long"
+    windows = saved(held.select("doc_id", "row", "text", "shared").mapInArrow(_windows(min_words), kind), "passage-windows")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "at", "start")
+    groups = windows.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
+    found = windows.join(saved(groups.drop("last"), "passage-groups"), ["k1", "k2"])
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))
+    again = found.filter(~own | (F.col("at") >= F.col("first.at") + min_words)).dropDuplicates(["doc_id", "row", "at"])
+    run = F.col("at") - F.row_number().over(Window.partitionBy("doc_id", "row").orderBy("at"))
+    merged = again.withColumn("run", run).groupBy("doc_id", "row", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.count(F.lit(1)) + min_words - 1).alias("n_words"),
+        F.min_by("first", "at").alias("first"),
+    )
+    return merged.select(
+        "doc_id", "row", "start", "end", "n_words", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start")
+    )
+
+
 def cleaned(docs: DataFrame, found: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text, spans): texts of documents with repeats, these taken out; ``spans`` has their offsets."""
     gone = found.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
