@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import numpy as np
 import public_tokenizers
 from wayfare.llm import (
     main_text, mixing, near_duplicates, packing, personal_data, quality_model, quality_rules, repeated_passages, site_lines, vector_links,
@@ -177,3 +178,23 @@ def test_vector_links(spark):
     alone = [(k, 0, k) for k in (7, 8, 9, 10, 11, 12, 13, 14)]
     assert found == [(0, 0, None), (3, 3, 3), (4, 3, 3), (4, 3, 3), (5, 3, 3), *alone]
     assert vector_links.links(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [12_000, 48_000])
+def test_forest_keeps_a_loose_group_together(n):
+    random_ = np.random.default_rng(1)
+    centre = random_.standard_normal(64)
+    loose = centre / np.linalg.norm(centre) + np.sqrt((1 / 0.92 - 1) / 64) * random_.standard_normal((n // 3, 64))
+    x = np.concatenate([loose, random_.standard_normal((n - n // 3, 64))])
+    unit = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    s = vector_links.Settings()
+    pairs = random_.integers(0, n // 3, (4000, 2))
+    pairs = pairs[(unit[pairs[:, 0]] * unit[pairs[:, 1]]).sum(axis=1) >= s.cosine]
+    sample = random_.random(n) < s.sample / n
+    met = np.zeros(len(pairs), bool)
+    for k in range(s.trees):
+        rows, leaves = vector_links.route(vector_links.grow(unit[sample], max(n / s.sample, 1), s, k), unit)
+        held = np.zeros((n // 3, leaves.max() + 1), bool)
+        held[rows[rows < n // 3], leaves[rows < n // 3]] = True
+        met |= (held[pairs[:, 0]] & held[pairs[:, 1]]).any(axis=1)
+    assert met.mean() > 0.99
