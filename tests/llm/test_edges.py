@@ -126,6 +126,15 @@ def test_personal_data(docs, none):
     assert personal_data.find(none).count() == 0
 
 
+def test_words_of_single_and_distant_evidence(spark):
+    far = "plain words of all " * 40
+    rows = [(0, f"zanzibar {far}at ann@x.org naïveann@x.org plain"), (1, f"hapax {far}")] + [(k, far) for k in range(2, 400)]
+    found = personal_data.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: [(rows[r["doc_id"]][1][t["start"] : t["end"]], t["part"] < 1) for t in r["terms"]] for r in found.collect()}
+    # "zanzibar" stands once, far from the address; "na" goes on into an address
+    assert got[0] == [("zanzibar", True), ("at", True)] and not any(got[k] for k in range(1, 400))
+
+
 def test_near_duplicates(docs, none):
     rows = near_duplicates.near_duplicates(docs).collect()
     assert len(rows) == len(ROWS)

@@ -1,19 +1,20 @@
 """Personal data: patterns find protected entities, corpus statistics find the words that give them away.
 
-Base spans (email, ip, card, phone) are regular expressions with checks. Around
-each span the words within ``reach`` characters are its context. Over the corpus,
+Base spans (email, ip, card, phone) are regular expressions with checks. All words
+of a document outside its spans are the context of its entities. Over the corpus,
 with N documents, a word t and an entity e:
 
     pmi(t, e) = log2(N * together / (with_e * with_t)),   ic(e) = log2(N / with_e)
 
-``together`` counts the documents with t in a context of e, ``with_t`` those with t
-anywhere. pmi / ic is the part of e's information that t discloses. From
-``disclosure`` on, and with ``support`` documents as evidence, t in a context of e
-becomes a span of kind "term". ``sanitised`` replaces base spans by their kind,
+``together`` counts the documents with both, ``with_t`` those with t. pmi / ic is the
+part of e's information that t discloses. Where fewer than ``support`` documents are
+the evidence, half a document with the entity at its usual rate is added to those
+with t: p(e|t) = (together + with_e / 2N) / (with_t + 1/2), so one document discloses
+less than all. From ``disclosure`` on, t becomes a span of kind "term" in e's documents. ``sanitised`` replaces base spans by their kind,
 generalises such words to ``[WORD]`` and removes those that disclose everything.
 
-Only counts and contexts are shuffled, not texts; all counts are combined in the
-map tasks, so a word or an entity in a third of all documents is no hot spot.
+Only counts and the distinct words of documents with entities are shuffled, and
+the texts of those with such words; all counts are combined in the map tasks, so a word or an entity in a third of all documents is no hot spot.
 The patterns have possessive quantifiers and start at the begin of a run, so the
 time is linear in the text also for runs of 100,000 letters or digits.
 
@@ -99,92 +100,116 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*kinds))
 
 
-def contexts(text: Column, spans: Column, reach: int) -> Column:
-    """Array of (entity, term, start, end): whole words near a span that lie outside all spans."""
+MARK = "\ufdd0"
 
-    def side(s: Column, begin: Column, end: Column) -> Column:
-        piece = F.substring(text, (begin + 1).cast("int"), (end - begin).cast("int"))
-        words = F.filter(matches(piece, TERM), lambda w: whole(w, begin, end))
-        return F.transform(
-            words,
-            lambda w: F.struct(
-                s["entity"].alias("entity"), F.lower(w["value"]).alias("term"),
-                (w["start"] + begin).alias("start"), (w["end"] + begin).alias("end"),
-            ),
-        )
 
-    def whole(w: Column, begin: Column, end: Column) -> Column:
-        # a word that touches the edge of the piece may go on beyond it
-        from_start = (w["start"] > 0) | (begin == 0)
-        to_end = (w["end"] < end - begin) | (end == F.length(text))
-        return from_start & to_end
+def masked(text: Column, spans: Column) -> Column:
+    """``text`` with blanks for the spans, of the same length; a letter at a span's edge leaves a mark there."""
+    edge = lambda c: F.when(c.rlike(r"^\p{L}"), F.lit(MARK)).otherwise(F.lit(" "))
+    at = lambda p: edge(F.substring(text, (p + 1).cast("int"), F.lit(1)))
 
-    def near(s: Column) -> Column:
-        left = side(s, F.greatest(s["start"] - reach, F.lit(0)), s["start"])
-        right = side(s, s["end"], F.least(s["end"] + reach, F.length(text)))
-        return F.concat(left, right)
+    def step(acc: Column, s: Column) -> Column:
+        begin = F.greatest(acc["at"], s["start"])  # spans of two kinds may overlap
+        gap = F.substring(text, (acc["at"] + 1).cast("int"), (begin - acc["at"]).cast("int"))
+        blank = F.concat(at(begin), F.repeat(F.lit(" "), (s["end"] - begin - 2).cast("int")), F.when(s["end"] - begin > 1, at(s["end"] - 1)).otherwise(""))
+        out = F.struct(s["end"].alias("at"), F.array_append(acc["out"], F.concat(gap, blank)).alias("out"))
+        return F.when(s["end"] > acc["at"], out).otherwise(acc)
 
-    def outside(w: Column) -> Column:
-        return ~F.exists(spans, lambda s: (w["start"] < s["end"]) & (w["end"] > s["start"]))
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def end(acc: Column) -> Column:
+        return F.array_join(F.array_append(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))), "")
 
-    return F.filter(F.flatten(F.transform(spans, near)), outside)
+    return F.aggregate(spans, begin, step, end)
 
 
-def find_base(docs: DataFrame, id: str, text: str, reach: int) -> DataFrame:
-    """(doc_id, row, spans, near) per row of ``docs``; ``row`` is a digest of the text."""
+#: Whole words of a masked text: a word beside a mark goes on inside a span.
+OUTSIDE = rf"(?<![{MARK}\p{{L}}])\p{{L}}++(?!{MARK})"
+
+
+def find_base(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(doc_id, row, spans, words) per row of ``docs``; ``row`` is a digest of the text, ``words`` are those near entities."""
     whole = F.coalesce(col(text), F.lit(""))
-    found = let(base_spans(whole), lambda s: F.struct(s.alias("spans"), contexts(whole, s, reach).alias("near")))
+
+    def words(s: Column) -> Column:
+        found = F.array_distinct(F.transform(F.regexp_extract_all(masked(whole, s), F.lit(OUTSIDE), F.lit(0)), F.lower))
+        return F.when(F.size(s) > 0, found).otherwise(F.array().cast("array<string>"))
+
+    found = let(base_spans(whole), lambda s: F.struct(s.alias("spans"), words(s).alias("words")))
     read = docs.select(col(id).alias("doc_id"), F.xxhash64(whole).alias("row"), found.alias("found"))
-    return saved(read, "pii").select("doc_id", "row", "found.spans", "found.near")
+    return saved(read, "pii").select("doc_id", "row", "found.spans", "found.words")
+
+
+def _with_entities(base: DataFrame) -> DataFrame:
+    """(doc_id, row, entities, words): documents with entities, once each."""
+    names = F.array_distinct(F.transform("spans", lambda s: s["entity"]))
+    return base.filter(F.size("spans") > 0).dropDuplicates(["doc_id", "row"]).select("doc_id", "row", names.alias("entities"), "words")
 
 
-def disclosing(docs: DataFrame, base: DataFrame, text: str, disclosure: float, support: int) -> DataFrame:
+def disclosing(docs: DataFrame, held: DataFrame, text: str, disclosure: float, support: int) -> DataFrame:
     """(entity, term, part): words that disclose at least ``disclosure`` of an entity's information."""
-    n = docs.count()
-    mentions = base.filter(F.size("near") > 0).select("doc_id", "row", F.explode("near").alias("m"))
-    pairs = mentions.select("doc_id", "row", "m.entity", "m.term").distinct()
-    together = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("together"))
-    together = saved(together.filter(F.col("together") >= support), "pii-pairs")
-    entities = (
-        base.select("doc_id", "row", F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity"))
-        .distinct()
-        .groupBy("entity")
-        .agg(F.count(F.lit(1)).alias("with_e"))
-    )
+    n = F.lit(float(docs.count()))
+    entity = held.select(F.explode("entities").alias("entity"), "words")
+    together = entity.select("entity", F.explode("words").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("together"))
+    together = saved(together, "pii-pairs")
+    entities = entity.groupBy("entity").agg(F.count(F.lit(1)).alias("with_e"))
     words = F.array_distinct(F.regexp_extract_all(F.lower(col(text)), F.lit(TERM), F.lit(0)))
     terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("with_t"))
-    known = together.join(entities, "entity").join(terms, "term")
+    known = together.join(saved(entities, "pii-entities"), "entity").join(terms, "term")
     # a word may be counted more often together than alone where its small letters have another spelling
     alone = F.greatest("with_t", "together")
-    pmi = F.log2(F.lit(float(n)) * F.col("together") / (F.col("with_e") * alone))
-    part = pmi / F.log2(F.lit(float(n)) / F.col("with_e"))
+    rate = F.col("with_e") / n
+    few = F.col("together") < support
+    pmi = F.log2(F.when(few, (F.col("together") + rate / 2) / (alone + 0.5)).otherwise(F.col("together") / alone) / rate)
+    part = pmi / F.log2(1 / rate)
     return known.select("entity", "term", part.alias("part")).filter(F.col("part") >= disclosure)
 
 
-def find(
-    docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    reach: int = 120,
-    disclosure: float = 0.9,
-    support: int = 2,
-) -> DataFrame:
+def _placed(text: Column, spans: Column, terms: Column, parts: Column) -> Column:
+    """Array of (start, end, part) of the words of ``terms`` outside the spans, with the largest of their ``parts``."""
+    kind = "array<struct<start:bigint,end:bigint,part:double>>"
+
+    def of(masked_text: Column) -> Column:
+        words = F.regexp_extract_all(masked_text, F.lit(OUTSIDE), F.lit(0))
+        gaps = F.split(masked_text, OUTSIDE, -1)
+        pairs = F.zip_with(F.slice(gaps, 1, F.size(words)), words, lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("n"), F.array_position(terms, F.lower(v)).alias("k")))
+
+        def step(acc: Column, x: Column) -> Column:
+            start = acc["at"] + x["gap"]
+            end = start + x["n"]
+            span = F.struct(start.alias("start"), end.alias("end"), F.get(parts, (x["k"] - 1).cast("int")).alias("part"))
+            out = F.when(x["k"] > 0, F.array_append(acc["out"], span)).otherwise(acc["out"])
+            return F.struct(end.alias("at"), out.alias("out"))
+
+        begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(kind).alias("out"))
+        return F.aggregate(pairs, begin, step, lambda acc: acc["out"])
+
+    return let(masked(text, spans), of)
+
+
+def find(docs: DataFrame, id: str = "doc_id", text: str = "text", disclosure: float = 0.9, support: int = 2) -> DataFrame:
     """(doc_id, row, base, terms) per row of ``docs``: ``terms`` is an array of (start, end, part)."""
-    base = find_base(docs, id, text, reach)
-    telling = saved(disclosing(docs, base, text, disclosure, support), "pii-terms")
-    mentions = base.filter(F.size("near") > 0).select("doc_id", "row", F.explode("near").alias("m"))
+    base = find_base(docs, id, text)
+    held = saved(_with_entities(base), "pii-held")
+    telling = saved(disclosing(docs, held, text, disclosure, support), "pii-terms")
+    pairs = held.select("doc_id", "row", F.explode("entities").alias("entity"), "words").select("doc_id", "row", "entity", F.explode("words").alias("term"))
     marked = (
-        mentions.select("doc_id", "row", "m.*")
-        .join(telling, ["entity", "term"])
-        .groupBy("doc_id", "row", "start", "end")
+        pairs.join(telling, ["entity", "term"])
+        .groupBy("doc_id", "row", "term")
         .agg(F.max("part").alias("part"))
         .groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r"))
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end", "part"))).alias("terms"))
+        .agg(F.sort_array(F.collect_list(F.struct("term", "part"))).alias("telling"))
     )
+    marked = saved(marked, "pii-marked")
+    whole = F.coalesce(col(text), F.lit(""))
+    read = docs.select(col(id).alias("doc_id"), F.xxhash64(whole).alias("row"), whole.alias("text"))
+    mine = lambda a: a["doc_id"].eqNullSafe(F.col("d")) & (a["row"] == F.col("r"))
+    spans = base.filter(F.size("spans") > 0).dropDuplicates(["doc_id", "row"]).select(F.col("doc_id").alias("d2"), F.col("row").alias("r2"), "spans")
+    near = read.join(marked, mine(read)).join(spans, F.col("d").eqNullSafe(F.col("d2")) & (F.col("r") == F.col("r2")))
+    placed = _placed(F.col("text"), F.col("spans"), F.col("telling")["term"], F.col("telling")["part"])
+    terms = saved(near.select("d", "r", placed.alias("terms")).dropDuplicates(["d", "r"]), "pii-placed")
     none = F.array().cast("array<struct<start:bigint,end:bigint,part:double>>")
-    return base.join(marked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")), "left").select(
-        "doc_id", "row", F.col("spans").alias("base"), F.coalesce("terms", none).alias("terms")
-    )
+    return base.join(terms, mine(base), "left").select("doc_id", "row", F.col("spans").alias("base"), F.coalesce("terms", none).alias("terms"))
 
 
 def joined_spans(base: Column, terms: Column | None = None) -> Column:
