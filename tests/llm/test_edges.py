@@ -178,6 +178,22 @@ def test_main_text(spark):
     assert main_text.extract(spark.createDataFrame([], schema)).count() == 0
 
 
+FIVE = "".join(f"<p>Paragraph {k}, with commas, and words, to score well, {'and more ' * 12}</p>" for k in range(5))
+
+
+@pytest.mark.parametrize(
+    "opening",
+    ['<div class="content with-sidebar">', '<div id="page-has-nav">', '<section class="related-work">', '<div class="post-header">', '<div class="alert">', "<form id=aspnetForm>"],
+)
+def test_names_do_not_take_the_article(opening):
+    for inner in (FIVE, f"<article>{FIVE}</article>"):
+        text = main_text.main_text(f"<body>{opening}{inner}<div class='ad'>Buy, now, this</div></{opening[1:].split()[0]}></body>")
+        assert text.count("Paragraph") == 5 and "Buy" not in text
+    assert main_text.main_text("<body><article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p></article></body>") == "So x=1 holds."
+    menu = "<div class='nav'>" + "<li><a href=x>Somewhere, else</a></li>" * 60 + "</div>"
+    assert "Somewhere" not in main_text.main_text(f"<body><div>{menu}{FIVE}</div></body>")
+
+
 def test_vector_links(spark):
     unit = [1.0, 0.0, 0.0]
     rows = [(5, unit), (3, [2.0, 0.0, 0.0]), (4, unit), (4, unit), (7, None), (8, []), (9, [0.0, 0.0, 0.0]), (10, [1.0, None, 0.0]),

@@ -1,8 +1,10 @@
 """Main text of web pages by scoring the element tree.
 
 Pages are parsed in the tasks, one at a time. Elements that are no part of an
-article by their tag or class (menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts) are left out of the tree. Each paragraph gives
+article by their tag or role (menus, headers, footers, sidebars, dialogs, scripts)
+or unseen are left out of the tree. Those left out by class, id or as a form
+(notices, adverts, comments) are scored first, and stay if they hold an article or
+main element, or most of the page's points where there is no such element. Each paragraph gives
 points for its length and commas to its parent, and half of them to its
 grandparent; a container's points are discounted by the part of its text that
 is in links. The best container counts, widened to the article or main element
@@ -26,19 +28,25 @@ from pyspark.sql import types as T
 from .common import col, ship
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object canvas audio video".split())
+RAW = frozenset("script style noscript template iframe textarea title svg object canvas audio video".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead "
     "tr ul".split()
 )
-OUT_TAGS = frozenset("nav header footer aside form menu dialog button select option label fieldset input head".split())
+OUT_TAGS = frozenset("nav header footer aside menu dialog button select option label fieldset input head".split())
 OUT_NAMES = frozenset(
     "ad ads adsbygoogle advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs header masthead footer sidebar aside rail widget widgets comment comments disqus replies respond "
     "notice notices cookie cookies consent gdpr alert popup modal overlay subscribe subscription newsletter signup login share "
     "sharing social related recommended pagination pager form search toolbar".split()
 )
+# a name with one of these says what a page has, or names a part of the article
+LINKING = frozenset("has have is with without no not in on under over and or".split())
+ARTICLE_PARTS = frozenset("post article entry story content section text title".split())
+SIDES = frozenset("left right top bottom".split())
+#: So much of a page's points keeps an element that its name would leave out.
+MOST = 0.6
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 PARAGRAPHS = frozenset("p pre blockquote td li dd div section article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -54,29 +62,42 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("children", "links", "out", "parent", "points", "tag", "chars")
+    __slots__ = ("children", "links", "named", "out", "parent", "points", "tag", "chars")
 
-    def __init__(self, tag: str, parent: "Node | None", out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: "Node | None", out: bool, named: bool = False):
+        self.tag, self.parent, self.out, self.named = tag, parent, out, named
         self.children: list[Node | str] = []
         self.points, self.chars, self.links = 0.0, 0, 0
 
 
-def left_out(tag: str, attributes: str) -> bool:
+def out_name(token: str) -> bool:
+    """Whether a class or id names something outside the article: by its last part, as in reader-comments."""
+    parts = [w.lower() for w in _NAME.findall(token)]
+    while len(parts) > 1 and parts[-1] in SIDES:
+        parts.pop()
+    if not parts or parts[-1] not in OUT_NAMES or not LINKING.isdisjoint(parts):
+        return False
+    return parts[-1] not in ("header", "footer", "banner") or ARTICLE_PARTS.isdisjoint(parts)
+
+
+def left_out(tag: str, attributes: str) -> tuple[bool, bool]:
+    """(out whatever it holds, out by its name only)."""
     if tag in OUT_TAGS:
-        return True
+        return True, False
+    named = tag == "form"
     if not attributes or tag in ("html", "body", "article", "main") and "comment" not in attributes.lower():
-        return False
+        return False, named
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _UNSEEN.search(value):
-            return True
+            return True, False
         if name == "role":
-            if value.strip().lower() in OUT_ROLES:
-                return True
-        elif name in ("class", "id") and any(w.lower() in OUT_NAMES for w in _NAME.findall(value)):
-            return True
-    return False
+            named = named or value.strip().lower() == "form"
+            if value.strip().lower() in OUT_ROLES - {"form"}:
+                return True, False
+        elif name in ("class", "id") and not named:
+            named = any(map(out_name, value.split()))
+    return False, named
 
 
 def parse(page: str) -> Node:
@@ -128,7 +149,8 @@ def parse(page: str) -> Node:
                 at = n if end < 0 else end + 1
             continue
         here = _parent_for(tag, here)
-        node = Node(tag, here, here.out or left_out(tag, m[2]))
+        out, named = (True, False) if here.out else left_out(tag, m[2])
+        node = Node(tag, here, out, named)
         if not node.out:
             here.children.append(node)
         if not m[2].endswith("/") or tag in BLOCKS:
@@ -163,10 +185,13 @@ def _flat(root: Node) -> list[Node]:
     return found
 
 
-def score(nodes: list[Node]) -> None:
+def measure(nodes: list[Node]) -> dict[int, float]:
+    """The points of each paragraph; ``chars`` and ``links`` of all nodes are set."""
     own = {id(x): sum(len(c.split()) and len(c.strip()) for c in x.children if isinstance(c, str)) for x in nodes}
     commas = {id(x): sum(c.count(",") for c in x.children if isinstance(c, str)) for x in nodes}
     text, found = dict(own), dict(commas)
+    for x in nodes:
+        x.chars = x.links = 0
     for x in reversed(nodes):  # children first
         x.chars += own[id(x)]
         x.links = x.chars if x.tag == "a" else x.links
@@ -176,19 +201,45 @@ def score(nodes: list[Node]) -> None:
             if x.tag not in BLOCKS and x.tag:  # inline: part of its parent's paragraph
                 text[id(up)] = text.get(id(up), 0) + text[id(x)]
                 found[id(up)] = found.get(id(up), 0) + found[id(x)]
+    return {id(x): 1 + found[id(x)] + min(text[id(x)] / 100, 3) for x in nodes if x.tag in PARAGRAPHS and text[id(x)]}
+
+
+def score(nodes: list[Node]) -> None:
+    points = measure(nodes)
     for x in nodes:
-        if x.tag in PARAGRAPHS and text[id(x)]:
-            points = 1 + found[id(x)] + min(text[id(x)] / 100, 3)
+        if id(x) in points:
             takes = x if x.tag in ("div", "section", "article", "main") else x.parent
             if takes:
-                takes.points += points
+                takes.points += points[id(x)]
                 if takes.parent:
-                    takes.parent.points += points / 2
+                    takes.parent.points += points[id(x)] / 2
+
+
+def without_named(root: Node, nodes: list[Node]) -> list[Node]:
+    """Takes elements out by their name, unless they hold the article; those left, parents before children."""
+    points = measure(nodes)
+    held, anchors = {}, {}  # points but those of links, and article or main elements, with all below
+    for x in reversed(nodes):
+        own = points.get(id(x), 0.0) * (1 - x.links / x.chars if x.chars else 0)
+        held[id(x)] = own + sum(held[id(c)] for c in x.children if isinstance(c, Node))
+        anchor = x.tag in ("article", "main") and not x.named
+        anchors[id(x)] = anchor + sum(anchors[id(c)] for c in x.children if isinstance(c, Node))
+    gone: dict[int, tuple[Node, set[int]]] = {}
+    for x in nodes:
+        if x.named and x.parent:
+            most = not anchors[id(root)] and held[id(x)] > MOST * held[id(root)]
+            if not anchors[id(x)] and not most:
+                gone.setdefault(id(x.parent), (x.parent, set()))[1].add(id(x))
+    for up, lost in gone.values():
+        up.children = [c for c in up.children if id(c) not in lost]
+    return _flat(root)
 
 
 def main_nodes(root: Node) -> list[Node]:
     """The best container and the siblings kept with it, in page order."""
     nodes = _flat(root)
+    if any(x.named for x in nodes):
+        nodes = without_named(root, nodes)
     score(nodes)
     value = lambda x: x.points * (1 - x.links / x.chars if x.chars else 0)
     best = max(nodes, key=value)  # the first of equals
