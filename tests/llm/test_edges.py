@@ -194,6 +194,14 @@ def test_names_do_not_take_the_article(opening):
     assert "Somewhere" not in main_text.main_text(f"<body><div>{menu}{FIVE}</div></body>")
 
 
+def test_text_beside_the_best_container():
+    beside = "<p>Short one.</p><table><tbody><tr><td>A cell</td></tr></tbody></table><pre>x = 1</pre><figure><figcaption>Seen</figcaption></figure>"
+    links = "<ul>" + "<li><a href=x>Elsewhere</a></li>" * 5 + "</ul>"
+    page = f"<body><div class=post>Bare, with <a href=y>a link</a> in it.<div class=intro>{FIVE}</div>{beside}{links}</div></body>"
+    lines = main_text.main_text(page).split("\n")
+    assert lines[0] == "Bare, with a link in it." and lines[6:] == ["Short one.", "A cell", "x = 1", "Seen"]
+
+
 def test_vector_links(spark):
     unit = [1.0, 0.0, 0.0]
     rows = [(5, unit), (3, [2.0, 0.0, 0.0]), (4, unit), (4, unit), (7, None), (8, []), (9, [0.0, 0.0, 0.0]), (10, [1.0, None, 0.0]),

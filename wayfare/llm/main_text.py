@@ -8,7 +8,8 @@ main element, or most of the page's points where there is no such element. Each
 points for its length and commas to its parent, and half of them to its
 grandparent; a container's points are discounted by the part of its text that
 is in links. The best container counts, widened to the article or main element
-around it, with those siblings that score well themselves.
+around it with those siblings that score well themselves; on pages without such
+elements, with all of its siblings and the bare text beside it but what is mostly links.
 
 Defined results: null, empty and text-less pages give an empty text; unclosed
 and stray tags are tolerated; a page is read once from front to end, so very long
@@ -235,7 +236,29 @@ def without_named(root: Node, nodes: list[Node]) -> list[Node]:
     return _flat(root)
 
 
-def main_nodes(root: Node) -> list[Node]:
+def _beside(parent: Node, best: Node) -> list[Node | str]:
+    """All children but those that are mostly links; bare text and inline elements in a row count as one."""
+    keep: list[Node | str] = []
+    row: list[Node | str] = []
+
+    def close() -> None:
+        chars = sum(len(x.strip()) if isinstance(x, str) else x.chars for x in row)
+        if 2 * sum(x.links for x in row if isinstance(x, Node)) <= chars:
+            keep.extend(row)
+        row.clear()
+
+    for x in parent.children:
+        if isinstance(x, str) or x.tag and x.tag not in BLOCKS and x is not best:
+            row.append(x)
+            continue
+        close()
+        if x is best or 2 * x.links <= x.chars:
+            keep.append(x)
+    close()
+    return keep
+
+
+def main_nodes(root: Node) -> list[Node | str]:
     """The best container and the siblings kept with it, in page order."""
     nodes = _flat(root)
     if any(x.named for x in nodes):
@@ -252,6 +275,8 @@ def main_nodes(root: Node) -> list[Node]:
         up = up.parent
     if not best.parent:
         return [best]
+    if best.tag not in ("article", "main"):
+        return _beside(best.parent, best)
     least = 0.2 * value(best)
     keep = []
     for x in best.parent.children:
@@ -263,7 +288,7 @@ def main_nodes(root: Node) -> list[Node]:
     return keep
 
 
-def _blocks(nodes: list[Node]) -> Iterator[str]:
+def _blocks(nodes: list[Node | str]) -> Iterator[str]:
     line: list[str] = []
     todo: list[Node | str | None] = list(reversed(nodes))
     while todo:
