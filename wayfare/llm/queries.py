@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import main_text, mixing, near_duplicates, packing, personal_data, quality_model, quality_rules, repeated_passages, site_lines, vector_links
+from . import byte_pairs, main_text, mixing, near_duplicates, packing, personal_data, quality_model, quality_rules, repeated_passages, site_lines, vector_links
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,12 +83,30 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def byte_pairs_path() -> str:
+    """The vocabulary of the encoding query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = byte_pairs_path()
+    whole = byte_pairs.decode(byte_pairs.encode(_table(spark, sf_dir, "documents"), path), path)
+    return whole.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(byte_pairs.joined_ids(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pareto_mix, op2_repeated_lines, op3_personal_data, op4_site_lines, op5_packing, op6_main_text, op7_vector_links,
         op8_quality_model, op9_near_duplicates,
-        op10_quality_rules,
+        op10_quality_rules, op11_byte_pairs,
     )
 }
 
