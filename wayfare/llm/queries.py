@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_pairs, main_text, mixing, near_duplicates, packing, personal_data, quality_model, quality_rules, repeated_passages, site_lines, vector_links
+from . import byte_pairs, main_text, manifest, mixing, near_duplicates, packing, personal_data, quality_model, quality_rules, repeated_passages, site_lines, source_divergence, vector_links
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,19 +101,108 @@ def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    text = F.when(tampered, manifest.ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    built = manifest.build(documents, ["doc_id", "source", "lang", "n_chars", "text"], altered={"text": text})
+    return manifest.proofs(built).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pareto_mix, op2_repeated_lines, op3_personal_data, op4_site_lines, op5_packing, op6_main_text, op7_vector_links,
         op8_quality_model, op9_near_duplicates,
-        op10_quality_rules, op11_byte_pairs,
+        op10_quality_rules, op11_byte_pairs, op12_merkle_manifest, op13_source_divergence,
     )
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
+_CAPITALS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _leaf_sql(text: str) -> str:
+    parts = ("doc_id", "source", "lang", "n_chars", text)
+    whole = " || ".join(f"coalesce(strlen(({p})::VARCHAR) || ':' || ({p})::VARCHAR, '-')" for p in parts)
+    return f"sha256({whole})"
+
+
 SQL = {
+    "op13_source_divergence": rf"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents
+), groups AS (SELECT DISTINCT lang, source FROM docs),
+kept AS (SELECT lang, word FROM (SELECT lang, unnest(list_distinct(words)) AS word FROM docs) GROUP BY ALL HAVING count(*) >= 10),
+counts AS (SELECT lang, source, word, count(*) AS n FROM (SELECT lang, source, unnest(words) AS word FROM docs) SEMI JOIN kept USING (lang, word) GROUP BY ALL),
+cells AS (SELECT lang, source, word, coalesce(n, 0)::HUGEINT AS n FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, word)),
+valued AS (
+  SELECT *, 1 + 1000000000 * (n + 2) // (sum(n) OVER g + 2 * count(*) OVER g)::HUGEINT AS p,
+    1 + 1000000000 * (sum(n) OVER w + 2)::HUGEINT // (sum(n) OVER l + 2 * (count(*) OVER g))::HUGEINT AS q
+  FROM cells WINDOW g AS (PARTITION BY lang, source), w AS (PARTITION BY lang, word), l AS (PARTITION BY lang)
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(c.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source AS s, y.source AS t, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+    FROM valued x JOIN valued y ON x.lang = y.lang AND x.word = y.word AND x.source <> y.source GROUP BY ALL
+  ) c ON c.lang = a.lang AND c.s = a.source AND c.t = b.source
+), terms AS (SELECT lang, source, 'term' AS part, word AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM valued WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+""",
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE crc AS (
+  SELECT *, list_reduce(
+    [4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+    lambda a, b: CASE WHEN xor(a, b) & 1 = 1 THEN xor(xor(a, b) >> 1, 3988292384) ELSE xor(a, b) >> 1 END) AS state
+  FROM documents
+), leaves AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+    CASE WHEN xor(state, 4294967295) % 5 = 0 THEN {_leaf_sql(f"translate(text, {_CAPITALS})")} ELSE {_leaf_sql("text")} END AS altered
+  FROM crc
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree FROM leaves
+), low(tree, level, i, n, h) AS (
+  SELECT tree, 0, i, n, leaf FROM placed
+  UNION ALL
+  SELECT tree, level + 1, i // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY tree, level, i // 16
+), subroots AS (SELECT tree, h FROM low WHERE n = 1),
+high(level, i, n, h) AS (
+  SELECT 0, tree, count(*) OVER (), h FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY level, i // 16
+), runs AS (
+  SELECT 0 AS top, tree, level, i // 16 AS run, list(h ORDER BY i) AS c FROM low WHERE n > 1 GROUP BY tree, level, i // 16
+  UNION ALL
+  SELECT 1, 0, level, i // 16, list(h ORDER BY i) FROM high WHERE n > 1 GROUP BY level, i // 16
+), climb(doc_id, leaf, tree, source_n, top, level, i, n, proof, folded) AS (
+  SELECT doc_id, leaf, tree, n, 0, 0, i, n, '', altered FROM placed
+  UNION ALL
+  SELECT k.doc_id, k.leaf, k.tree, k.source_n,
+    CASE WHEN k.n = 1 THEN 1 ELSE k.top END, CASE WHEN k.n = 1 THEN 0 ELSE k.level + 1 END,
+    CASE WHEN k.n = 1 THEN k.tree ELSE k.i // 16 END,
+    CASE WHEN k.n = 1 THEN (SELECT count(*) FROM subroots) ELSE (k.n + 15) // 16 END,
+    CASE WHEN k.n = 1 THEN k.proof ELSE k.proof || array_to_string(r.c[:k.i % 16] || r.c[k.i % 16 + 2:], '') END,
+    CASE WHEN k.n = 1 THEN k.folded ELSE sha256(array_to_string(r.c[:k.i % 16] || [k.folded] || r.c[k.i % 16 + 2:], '')) END
+  FROM climb k LEFT JOIN runs r ON k.n > 1 AND r.top = k.top AND r.tree = CASE WHEN k.top = 1 THEN 0 ELSE k.tree END AND r.level = k.level AND r.run = k.i // 16
+  WHERE NOT (k.top = 1 AND k.n = 1)
+)
+SELECT c.doc_id, c.leaf, s.h AS subroot, r.h AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root, c.folded = r.h AS verified
+FROM climb c JOIN subroots s USING (tree), (SELECT h FROM high WHERE n = 1) r WHERE c.top = 1 AND c.n = 1
+""",
     "op2_repeated_lines": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS unit
