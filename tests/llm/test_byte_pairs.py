@@ -85,6 +85,13 @@ def test_query(spark, sf_dir, library):
     assert len(rows) == len(want) and {r["doc_id"]: tuple(r)[1:] for r in rows} == want
 
 
+def test_decoding_of_any_ids(library):
+    rng, words = random.Random(13), byte_pairs.vocabulary(PATH)
+    for _ in range(500):  # mostly no valid UTF-8
+        ids = [rng.choice([rng.randrange(50_257), rng.randrange(256), 50_256]) for _ in range(rng.randint(0, 12))]
+        assert words.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         byte_pairs.Vocabulary(queries.tokenizer_path())

@@ -44,7 +44,7 @@ LEAF = 1 << 15
 #: Characters of text, or ids, that are worked on at once.
 CHUNK = 1 << 21
 #: Words that a worker remembers; beyond that it forgets all and begins anew. No result depends on it.
-MEMORY = 800_000
+MEMORY = 400_000
 #: Parts a text's words; texts that hold it are encoded whole.
 MARK = "\ufdd0"
 WHOLE = f"  | $|{MARK}"
@@ -54,8 +54,15 @@ REACH = 64
 _loaded: dict[str, "Vocabulary"] = {}
 
 
+def byte_letters() -> dict[str, int]:
+    """The sign that byte-level vocabularies write for each byte: itself if printable, else one from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
 class Vocabulary:
-    """A tokenizer, and how many bytes each id stands for."""
+    """A tokenizer, and the bytes that each id stands for."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks share the cores already
@@ -67,10 +74,11 @@ class Vocabulary:
         if type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel" or self.tokenizer.normalizer is not None:
             raise ValueError(f"{path} is no vocabulary of byte-level pairs")
         self.memory = Memory()
-        special = self.tokenizer.get_added_tokens_decoder()
-        self.bytes = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, np.int64)
-        for token, id in self.tokenizer.get_vocab().items():  # a byte is a character of its own there
-            self.bytes[id] = len(special[id].content.encode()) if id in special else len(token)
+        special, letters = self.tokenizer.get_added_tokens_decoder(), byte_letters()
+        self.spelled = [b""] * (max(self.tokenizer.get_vocab().values()) + 1)
+        for token, id in self.tokenizer.get_vocab().items():
+            self.spelled[id] = special[id].content.encode() if id in special else bytes(letters[c] for c in token)
+        self.bytes = np.array([len(b) for b in self.spelled], np.int64)
         self.reach = max([REACH, *(4 * len(t.content.encode()) for t in special.values())])
 
     def encode(self, text: str) -> list[int]:
@@ -110,8 +118,9 @@ class Vocabulary:
         odd = (e.ids for e in self.tokenizer.encode_batch_fast(pc.filter(texts, pa.array(whole)).to_pylist(), add_special_tokens=False))
         return _lists([next(odd) if w else next(usual) for w in whole])
 
-    def decode_all(self, ids: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids; bytes that are no UTF-8 become the replacement sign, as in the library."""
+        return b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -189,7 +198,7 @@ def _decoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
         for batch in itertools.chain.from_iterable(_rows(b, "size") for b in batches):
-            texts = words.decode_all([x or [] for x in batch["ids"].to_pylist()])
+            texts = [words.decode(x or []) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["id"], batch["ids"], pa.array(texts, pa.string())], names=["id", "ids", "text"])
 
     return run
