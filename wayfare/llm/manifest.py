@@ -58,6 +58,15 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, capitals, capitals.lower()))
 
 
+def digest_of(children: Column) -> Column:
+    """The digest of neighbours: of their digests' hexadecimal text, one after the other."""
+    return F.unhex(F.sha2(text_of(children), 256))
+
+
+def text_of(digests: Column) -> Column:
+    return F.array_join(F.transform(digests, lambda d: F.lower(F.hex(d))), "")
+
+
 def numbered(df: DataFrame, order: list[Column], label: str) -> DataFrame:
     """``df`` with ``position``, from 0 in this order over all rows."""
     tie = df.withColumn("_tie", F.monotonically_increasing_id())
@@ -94,7 +103,7 @@ def _levels(nodes: DataFrame, most: int, beyond: Column | None, label: str, base
             .agg(F.first(F.ceil(F.col("n") / FAN).cast("long")).alias("n"), F.sort_array(F.collect_list(F.struct("i", "digest")))["digest"].alias("children"))
         )
         row = runs.select(
-            F.lit(level).alias("level"), "tree", "run", "n", "children", F.sha2(F.array_join("children", ""), 256).alias("digest"),
+            F.lit(level).alias("level"), "tree", "run", "n", "children", digest_of(F.col("children")).alias("digest"),
             _up(level, F.col("n"), F.col("run"), beyond).alias("up"),
         ).select("level", "tree", "run", "n", "children", "digest", "up.*")
         levels.append(saved(row, f"{label}-{level}"))
@@ -106,8 +115,9 @@ def _levels(nodes: DataFrame, most: int, beyond: Column | None, label: str, base
 class Manifest:
     """The built tree: leaves in runs, levels of parent-linked nodes, subroots, and the root (None for an empty table).
 
-    ``starts``: bundle, tree, children, leaves (array of id, leaf, altered), digests of the altered leaves folded into their run,
-    and the link from there. ``nodes``: level, tree, run, n, children, digest and the link; without the runs of leaves.
+    ``starts``: bundle, tree, run, n, leaves (array of id and leaf), ``folded`` (digests of the run, one per leaf, with its
+    altered digest in place) and the link from there. ``nodes``: level, tree, run, n, children, digest and the link; without
+    the runs of leaves. Digests are 32 bytes, the root is text.
     """
 
     starts: DataFrame
@@ -116,10 +126,14 @@ class Manifest:
     root: str | None
 
 
+def others(children: Column, place: Column) -> Column:
+    """The siblings of the child at a place."""
+    return F.concat(F.slice(children, F.lit(1), place), F.slice(children, place + 2, F.lit(FAN)))
+
+
 def fold(children: Column, place: Column, digest: Column) -> Column:
     """The parent's digest with ``digest`` in place of the child there."""
-    before, after = F.slice(children, F.lit(1), place), F.slice(children, place + 2, F.lit(FAN))
-    return F.sha2(F.concat(F.array_join(before, ""), digest, F.array_join(after, "")), 256)
+    return digest_of(F.concat(F.slice(children, F.lit(1), place), F.array(digest), F.slice(children, place + 2, F.lit(FAN))))
 
 
 def build(docs: DataFrame, fields: list[str], id: str = "doc_id", source: str = "source", altered: dict[str, Column] | None = None) -> Manifest:
@@ -127,7 +141,8 @@ def build(docs: DataFrame, fields: list[str], id: str = "doc_id", source: str =
     changed = [(altered or {}).get(f, col(f)) for f in fields]
     leaves = saved(
         docs.select(
-            col(id).alias("id"), col(source).alias("source"), leaf_digest(*[col(f) for f in fields]).alias("leaf"), leaf_digest(*changed).alias("altered")
+            col(id).alias("id"), col(source).alias("source"), F.unhex(leaf_digest(*[col(f) for f in fields])).alias("leaf"),
+            F.unhex(leaf_digest(*changed)).alias("altered"),
         ),
         "leaves",
     )
@@ -146,16 +161,16 @@ def build(docs: DataFrame, fields: list[str], id: str = "doc_id", source: str =
     folded = F.transform("leaves", lambda x, k: F.when(F.col("n") > 1, fold(children, k, x["altered"])).otherwise(x["altered"]))
     starts = saved(
         runs.select(
-            F.get(F.col("leaves")["position"], F.lit(0)).alias("bundle"), "tree", "run", "n", children.alias("children"),
+            F.get(F.col("leaves")["position"], F.lit(0)).alias("bundle"), "tree", "run", "n",
             F.transform("leaves", lambda x: F.struct(x["id"].alias("id"), x["leaf"].alias("leaf"))).alias("leaves"),
             folded.alias("folded"), link.alias("up"),
         ).select("*", "up.*").drop("up"),
         "leaf-runs",
     )
 
-    first = starts.filter("n > 1").select("tree", F.col("run").alias("i"), above.alias("n"), F.sha2(F.array_join("children", ""), 256).alias("digest"))
+    first = starts.filter("n > 1").select("tree", F.col("run").alias("i"), above.alias("n"), digest_of(children).alias("digest"))
     inner = _levels(first, -(-most // FAN), beyond, "level", base=1)
-    lone = starts.filter("n = 1").select("tree", F.get("children", F.lit(0)).alias("subroot"))
+    lone = starts.filter("n = 1").select("tree", F.get(children, F.lit(0)).alias("subroot"))
     tops = first.filter("n = 1").select("tree", F.col("digest").alias("subroot"))
     for level in inner:
         tops = tops.unionByName(level.filter("n = 1").select("tree", F.col("digest").alias("subroot")))
@@ -163,7 +178,7 @@ def build(docs: DataFrame, fields: list[str], id: str = "doc_id", source: str =
     heads = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("i"), F.lit(count).cast("long").alias("n"), F.col("subroot").alias("digest"))
     upper = _levels(heads, count, None, "top")
     last = upper[-1].select("digest") if upper else subroots.select("subroot")
-    root = last.first()[0] if count else None
+    root = bytes(last.first()[0]).hex() if count else None
     nodes = None
     for level in [*inner, *upper]:
         nodes = level if nodes is None else nodes.unionByName(level)
@@ -173,46 +188,54 @@ def build(docs: DataFrame, fields: list[str], id: str = "doc_id", source: str =
 
 
 CLIMB = f"""
-WITH RECURSIVE climb(bundle, up_level, up_tree, up_run, up_place, folded, siblings) AS (
-  SELECT bundle, up_level, up_tree, up_run, up_place, folded, '' FROM {{starts}}
+WITH RECURSIVE climb(bundle, step, up_level, up_tree, up_run, up_place, folded, siblings) AS (
+  SELECT bundle, 0, up_level, up_tree, up_run, up_place, folded, CAST(array() AS array<binary>) FROM {{starts}}
   UNION ALL
-  SELECT c.bundle, n.up_level, n.up_tree, n.up_run, n.up_place,
-    transform(c.folded, f -> sha2(concat(
-      array_join(slice(n.children, 1, c.up_place), ''), f, array_join(slice(n.children, c.up_place + 2, {FAN}), '')), 256)),
-    concat(c.siblings, array_join(slice(n.children, 1, c.up_place), ''), array_join(slice(n.children, c.up_place + 2, {FAN}), ''))
+  SELECT c.bundle, c.step + 1, n.up_level, n.up_tree, n.up_run, n.up_place,
+    transform(c.folded, f -> unhex(sha2(array_join(transform(
+      concat(slice(n.children, 1, c.up_place), array(f), slice(n.children, c.up_place + 2, {FAN})), d -> lower(hex(d))), ''), 256))),
+    concat(slice(n.children, 1, c.up_place), slice(n.children, c.up_place + 2, {FAN}))
   FROM climb c JOIN {{nodes}} n ON n.level = c.up_level AND n.tree = c.up_tree AND n.run = c.up_run
 )
-SELECT bundle, folded, siblings FROM climb WHERE up_level IS NULL
+SELECT bundle, step, siblings, CASE WHEN up_level IS NULL THEN folded END AS folded FROM climb
 """
 
 
 def climb(manifest: Manifest) -> DataFrame:
-    """(bundle, folded, siblings) at the root: the folded digest per leaf of the bundle, and what all of them met above their run."""
+    """(bundle, folded, siblings) at the root: the folded digest per leaf of the bundle, and what all of them met above their run.
+
+    The query's rows are the steps of each bundle; a step's siblings stay in its own row and are appended at the end, so the
+    next step doesn't carry them.
+    """
     spark = manifest.nodes.sparkSession
     starts = manifest.starts.select("bundle", *LINK, "folded")
     limit = spark.conf.get("spark.sql.cteRecursionRowLimit")
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     try:
-        return saved(spark.sql(CLIMB, starts=starts, nodes=manifest.nodes), "climb")
+        steps = spark.sql(CLIMB, starts=starts, nodes=manifest.nodes)
+        path = F.sort_array(F.collect_list(F.struct("step", "siblings", "folded")))
+        whole = steps.groupBy("bundle").agg(path.alias("path"))
+        last = F.element_at("path", -1)["folded"]
+        return saved(whole.select("bundle", last.alias("folded"), F.flatten(F.col("path")["siblings"]).alias("siblings")), "climb")
     finally:
         spark.conf.set("spark.sql.cteRecursionRowLimit", limit)
 
 
 def proofs(manifest: Manifest) -> DataFrame:
-    """(id, leaf, subroot, root, siblings, folded_root, verified) per row: ``siblings`` are digests of 64 letters, from the leaf to the root."""
+    """(id, leaf, subroot, root, siblings, folded_root, verified) per row, digests as text; ``siblings`` from the leaf to the root, joined."""
     ends = climb(manifest).withColumnRenamed("folded", "at_root")
     rows = manifest.starts.join(ends, "bundle").join(manifest.subroots, "tree")
-    places = F.sequence(F.lit(0), F.size("leaves") - 1)
-    own = lambda k: F.concat(F.array_join(F.slice("children", F.lit(1), k), ""), F.array_join(F.slice("children", k + 2, F.lit(FAN)), ""))
+    digests, text = F.col("leaves")["leaf"], lambda d: F.lower(F.hex(d))
     each = F.transform(
-        places,
+        F.sequence(F.lit(0), F.size("leaves") - 1),
         lambda k: F.struct(
-            F.get("leaves", k)["id"].alias("id"), F.get("leaves", k)["leaf"].alias("leaf"), own(k).alias("own"), F.get("at_root", k).alias("folded_root")
+            F.get("leaves", k)["id"].alias("id"), text(F.get("leaves", k)["leaf"]).alias("leaf"), text_of(others(digests, k)).alias("own"),
+            text(F.get("at_root", k)).alias("folded_root"),
         ),
     )
-    one = rows.select(F.explode(each).alias("x"), "subroot", "siblings")
+    one = rows.select(F.explode(each).alias("x"), text(F.col("subroot")).alias("subroot"), text_of(F.col("siblings")).alias("above"))
     root = F.lit(manifest.root).cast("string")
     return one.select(
-        "x.id", "x.leaf", "subroot", root.alias("root"), F.concat("x.own", "siblings").alias("siblings"), "x.folded_root",
+        "x.id", "x.leaf", "subroot", root.alias("root"), F.concat("x.own", "above").alias("siblings"), "x.folded_root",
         (F.col("x.folded_root") == root).alias("verified"),
     )
