@@ -86,10 +86,10 @@ def test_query(spark, sf_dir, library):
 
 
 def test_decoding_of_any_ids(library):
-    rng, words = random.Random(13), byte_pairs.vocabulary(PATH)
+    rng, bytes_of = random.Random(13), byte_pairs.spelled(PATH)
     for _ in range(500):  # mostly no valid UTF-8
         ids = [rng.choice([rng.randrange(50_257), rng.randrange(256), 50_256]) for _ in range(rng.randint(0, 12))]
-        assert words.decode(ids) == library.decode(ids, skip_special_tokens=False)
+        assert byte_pairs.text_of(ids, bytes_of) == library.decode(ids, skip_special_tokens=False)
 
 
 def test_other_vocabularies_are_refused():

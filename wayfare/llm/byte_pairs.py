@@ -26,7 +26,9 @@ empty table gives no rows. Other columns of the table aren't read, whatever thei
 
 from __future__ import annotations
 
+import functools
 import itertools
+import json
 import os
 from collections.abc import Iterator
 
@@ -42,9 +44,9 @@ from .packing import Memory
 #: Characters of a text that are encoded at once.
 LEAF = 1 << 15
 #: Characters of text, or ids, that are worked on at once.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: Words that a worker remembers; beyond that it forgets all and begins anew. No result depends on it.
-MEMORY = 400_000
+MEMORY = 200_000
 #: Parts a text's words; texts that hold it are encoded whole.
 MARK = "\ufdd0"
 WHOLE = f"  | $|{MARK}"
@@ -61,6 +63,21 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+@functools.cache
+def spelled(path: str) -> list[bytes]:
+    """The bytes of each id, read from the vocabulary's file; decoding needs nothing else of it."""
+    with open(path, encoding="utf-8") as file:
+        whole = json.load(file)
+    letters, found = byte_letters(), {id: token for token, id in whole["model"]["vocab"].items()}
+    special = {t["id"]: t["content"].encode() for t in whole["added_tokens"]}
+    return [special[k] if k in special else bytes(letters[c] for c in found.get(k, "")) for k in range(max([*found, *special]) + 1)]
+
+
+def text_of(ids: list[int], bytes_of: list[bytes]) -> str:
+    """The text of ids; bytes that are no UTF-8 become the replacement sign, as in the library."""
+    return b"".join(map(bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+
+
 class Vocabulary:
     """A tokenizer, and the bytes that each id stands for."""
 
@@ -74,12 +91,9 @@ class Vocabulary:
         if type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel" or self.tokenizer.normalizer is not None:
             raise ValueError(f"{path} is no vocabulary of byte-level pairs")
         self.memory = Memory()
-        special, letters = self.tokenizer.get_added_tokens_decoder(), byte_letters()
-        self.spelled = [b""] * (max(self.tokenizer.get_vocab().values()) + 1)
-        for token, id in self.tokenizer.get_vocab().items():
-            self.spelled[id] = special[id].content.encode() if id in special else bytes(letters[c] for c in token)
-        self.bytes = np.array([len(b) for b in self.spelled], np.int64)
-        self.reach = max([REACH, *(4 * len(t.content.encode()) for t in special.values())])
+        self.bytes = np.array([len(b) for b in spelled(path)], np.int64)
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        self.reach = max([REACH, *(4 * len(t.content.encode()) for t in special)])
 
     def encode(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -118,10 +132,6 @@ class Vocabulary:
         odd = (e.ids for e in self.tokenizer.encode_batch_fast(pc.filter(texts, pa.array(whole)).to_pylist(), add_special_tokens=False))
         return _lists([next(odd) if w else next(usual) for w in whole])
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids; bytes that are no UTF-8 become the replacement sign, as in the library."""
-        return b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
-
 
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary of a file, once per worker process."""
@@ -196,9 +206,9 @@ def _encoding(path: str):
 
 def _decoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path)
+        bytes_of = spelled(path)
         for batch in itertools.chain.from_iterable(_rows(b, "size") for b in batches):
-            texts = [words.decode(x or []) for x in batch["ids"].to_pylist()]
+            texts = [text_of(x or [], bytes_of) for x in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["id"], batch["ids"], pa.array(texts, pa.string())], names=["id", "ids", "text"])
 
     return run
