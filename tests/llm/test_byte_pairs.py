@@ -86,10 +86,15 @@ def test_query(spark, sf_dir, library):
 
 
 def test_decoding_of_any_ids(library):
-    rng, bytes_of = random.Random(13), byte_pairs.spelled(PATH)
+    rng = random.Random(13)
     for _ in range(500):  # mostly no valid UTF-8
-        ids = [rng.choice([rng.randrange(50_257), rng.randrange(256), 50_256]) for _ in range(rng.randint(0, 12))]
-        assert byte_pairs.text_of(ids, bytes_of) == library.decode(ids, skip_special_tokens=False)
+        lists = [[rng.choice([rng.randrange(50_257), rng.randrange(256), 50_256]) for _ in range(rng.randint(0, 6))] for _ in range(3)]
+        got = byte_pairs.texts_of(pa.array(lists, pa.list_(pa.int32())), PATH).to_pylist()
+        assert got == [library.decode(ids, skip_special_tokens=False) for ids in lists]
+    halves = [x for t in ("é", "漢") for x in ([i] for i in ids_of(library, t))]  # a character over the end of a list
+    assert byte_pairs.texts_of(pa.array(halves, pa.list_(pa.int32())), PATH).to_pylist() == [library.decode(x) for x in halves]
+    odd = pa.array([None, ids_of(library, "é x"), None, []], pa.list_(pa.int32()))
+    assert byte_pairs.texts_of(odd, PATH).to_pylist() == ["", "é x", "", ""]
 
 
 def test_other_vocabularies_are_refused():

@@ -73,11 +73,39 @@ def spelled(path: str) -> list[bytes]:
     return [special[k] if k in special else bytes(letters[c] for c in found.get(k, "")) for k in range(max([*found, *special]) + 1)]
 
 
+@functools.cache
+def byte_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all ids after each other, where each id's begin, and how many they are."""
+    sizes = np.array([len(b) for b in spelled(path)], np.int64)
+    return np.frombuffer(b"".join(spelled(path)), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
 def text_of(ids: list[int], bytes_of: list[bytes]) -> str:
     """The text of ids; bytes that are no UTF-8 become the replacement sign, as in the library."""
     return b"".join(map(bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def texts_of(lists: pa.ListArray, path: str) -> pa.Array:
+    """The text of each list of ids. Where all bytes are UTF-8 they are the texts; else each list is decoded by itself."""
+    flat, starts, sizes = byte_table(path)
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    n = sizes[ids]
+    through = np.concatenate([[0], np.cumsum(n)])
+    data = flat[np.repeat(starts[ids] - through[:-1], n) + np.arange(through[-1])]
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = through[np.concatenate([[0], np.cumsum(counts)])]
+    whole = data.tobytes()
+    inside = ends[ends < len(data)]
+    try:
+        whole.decode()
+        clean = not (data[inside] & 0xC0 == 0x80).any()  # no character goes over the end of a list
+    except UnicodeDecodeError:
+        clean = False
+    if not clean:
+        return pa.array([text_of(x or [], spelled(path)) for x in lists.to_pylist()], pa.string())
+    return pa.StringArray.from_buffers(len(lists), pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(whole))
+
+
 class Vocabulary:
     """A tokenizer, and the bytes that each id stands for."""
 
@@ -98,17 +126,22 @@ class Vocabulary:
     def encode(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def learn(self, words: list[str]) -> dict[str, int]:
+    def learn(self, words: pa.Array) -> np.ndarray:
         """Places of new words, remembered: those with a blank before are encoded as one text and told apart by their bytes."""
-        words = sorted(words, key=lambda w: w[0] != " ")
-        n = next((k for k, w in enumerate(words) if w[0] != " "), len(words))
-        ids = np.array(self.encode("".join(words[:n])), "<u4")
-        ends = np.cumsum([len(w.encode()) for w in words[:n]])
-        sizes = np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1, prepend=0) if n else []
-        rest = [e.ids for e in self.tokenizer.encode_batch_fast(words[n:], add_special_tokens=False)]
-        flat = np.concatenate([ids, np.fromiter(itertools.chain.from_iterable(rest), "<u4", sum(map(len, rest)))])
-        places = self.memory.learn(words, flat, np.concatenate([sizes, list(map(len, rest))]).astype(np.int64))
-        return dict(zip(words, places.tolist()))
+        spaced = pc.starts_with(words, " ").to_numpy(zero_copy_only=False).astype(bool)
+        one, apart = pc.filter(words, pa.array(spaced)), pc.filter(words, pa.array(~spaced)).to_pylist()
+        one_list = one.to_pylist()
+        ids = np.array(self.encode("".join(one_list)), "<u4")
+        ends = np.cumsum(pc.binary_length(one).to_numpy(zero_copy_only=False))
+        sizes = np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1, prepend=0) if one_list else np.zeros(0, np.int64)
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast(apart, add_special_tokens=False)]
+        rest_sizes = np.array([len(x) for x in rest], np.int64)
+        flat = np.concatenate([ids, np.fromiter(itertools.chain.from_iterable(rest), "<u4", int(rest_sizes.sum()))])
+        places = np.empty(len(words), np.int64)
+        places[np.concatenate([np.flatnonzero(spaced), np.flatnonzero(~spaced)])] = self.memory.learn(
+            one_list + apart, flat, np.concatenate([sizes, rest_sizes]).astype(np.int64)
+        )
+        return places
 
     def encode_all(self, texts: pa.Array) -> pa.ListArray:
         """Lists of ids. A single blank always begins a piece, so what stands between blanks is encoded once and remembered.
@@ -120,11 +153,9 @@ class Vocabulary:
         whole = pc.match_substring_regex(texts, WHOLE).to_numpy(zero_copy_only=False).astype(bool)
         lists = pc.split_pattern(pc.replace_substring(pc.filter(texts, pa.array(~whole)), " ", MARK + " "), MARK)
         coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        at = self.memory.places(words)
+        at = self.memory.places(coded.dictionary.to_pylist())
         if len(new := np.flatnonzero(at < 0)):
-            places = self.learn([words[k] for k in new])
-            at[new] = [places[words[k]] for k in new]
+            at[new] = self.learn(coded.dictionary.take(pa.array(new)))
         flat, ends = self.memory.gather(at[coded.indices.to_numpy()] if len(at) else at, lists)
         if not whole.any():
             return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)))
@@ -206,10 +237,8 @@ def _encoding(path: str):
 
 def _decoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = spelled(path)
         for batch in itertools.chain.from_iterable(_rows(b, "size") for b in batches):
-            texts = [text_of(x or [], bytes_of) for x in batch["ids"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["ids"], pa.array(texts, pa.string())], names=["id", "ids", "text"])
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["ids"], texts_of(batch["ids"], path)], names=["id", "ids", "text"])
 
     return run
 
@@ -219,9 +248,8 @@ def _leaves(path: str):
         words = vocabulary(path)
         for batch in batches:
             for row in (batch.slice(k, 1) for k in range(batch.num_rows)):
-                text = row["text"][0].as_py()
-                data = pa.array([text.encode()], pa.binary())
-                yield pa.RecordBatch.from_arrays([row["key"], row["node"], data, _lists([words.encode(text)])], schema=_PART_SCHEMA)
+                columns = [row["key"], row["node"], row["text"].cast(pa.binary()), words.encode_all(row["text"])]
+                yield pa.RecordBatch.from_arrays(columns, schema=_PART_SCHEMA)
 
     return run
 
@@ -229,12 +257,13 @@ def _leaves(path: str):
 def _joining(path: str):
     def run(parts: pa.Table) -> pa.Table:
         words = vocabulary(path)
-        rows = sorted(parts.to_pylist(), key=lambda r: r["node"])
+        parts = parts.sort_by("node")
         data, ids = b"", np.zeros(0, np.int64)
-        for r in rows:
-            ids = join(data, ids, r["data"], np.array(r["ids"], np.int64), words)
-            data += r["data"]
-        columns = [pa.array([rows[0]["key"]], pa.binary()), pa.array([rows[0]["node"] >> 1]), pa.array([data], pa.binary()), _lists([ids])]
+        for text, part in zip(parts["data"].to_pylist(), parts["ids"]):
+            ids = join(data, ids, text, part.values.to_numpy(zero_copy_only=False).astype(np.int64), words)
+            data += text
+        joined = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids.astype(np.int32)))
+        columns = [parts["key"].slice(0, 1), pa.array([parts["node"][0].as_py() >> 1]), pa.array([data], pa.binary()), joined]
         return pa.Table.from_arrays(columns, schema=_PART_SCHEMA)
 
     return run
