@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from verification.tables import Tables
-from wayfare.plans import refresh
+from wayfare.operators import changes
+from wayfare.plans import refresh, update
 from wayfare.sinks import tables as sinks
 from wayfare.sources import catalogues, database, files
 from wayfare.sources import tables as sources
@@ -86,46 +87,39 @@ def test_audit_and_listing(spark, tmp_path):
     assert listed and all(r.size_mb > 0 for r in listed)
 
 
+def files_of(path):
+    return {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
 def test_stream_updates_inserts_and_then_rests(spark, tmp_path):
     root, landing, log = (str(tmp_path / n) for n in ("table", "landing", "log"))
     schema = "k string, o int, v int"
-    sinks.Versions(spark, root).write(spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], schema))
+    first = spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], schema)
+    update.load(root, first.withColumn(ingest.BATCH, F.lit("load")))
 
     def run():
         return ingest.ingest(spark.readStream.schema(schema).parquet(landing), root, log, ["k"], ["o"])
 
     spark.createDataFrame([("a", 2, 10), ("c", 1, 3)], schema).write.parquet(landing)
     assert sorted(map(tuple, run().collect())) == [("a", 2, 10), ("b", 1, 2), ("c", 1, 3)]
+    before = files_of(tmp_path / "table")
     assert sorted(map(tuple, run().collect())) == [("a", 2, 10), ("b", 1, 2), ("c", 1, 3)]
-    assert sinks.Versions(spark, root).last() == 1
+    assert files_of(tmp_path / "table") == before
     spark.createDataFrame([("b", 5, 20)], schema).write.mode("append").parquet(landing)
     assert sorted(map(tuple, run().collect())) == [("a", 2, 10), ("b", 5, 20), ("c", 1, 3)]
 
 
-def test_a_batch_run_again_gives_the_same_version(spark, tmp_path):
-    root = str(tmp_path / "table")
-    schema = "k string, o int, v int"
-    sinks.Versions(spark, root).write(spark.createDataFrame([("a", 1, 1)], schema))
-    batch = spark.createDataFrame([("a", 2, 5), (None, 1, 1)], schema)
-    apply = ingest.merge_batch(root, ["k"], ["o"])
-    apply(batch, 0)
-    apply(batch, 0)
-    assert sinks.Versions(spark, root).read().count() == 2
-
-
-def test_a_batch_rewrites_only_its_parts(spark, tmp_path):
-    root, schema = str(tmp_path / "table"), "y int, k string, o int, v int"
-    table = sinks.Versions(spark, root)
-    table.write(spark.createDataFrame([(1, "a", 1, 1), (2, "a", 1, 2), (None, "c", 1, 3)], schema))
-    merge = ingest.merge_batch(root, ["y", "k"], ["o"], ["y"])
-    merge(spark.createDataFrame([(2, "a", 2, 20), (3, "d", 1, 4)], schema), 0)  # a whole table becomes one with parts
-    before = table.parts()
-    merge(spark.createDataFrame([(1, "a", 5, 10), (1, "b", 1, 5)], schema), 1)
-    merge(spark.createDataFrame([(1, "a", 5, 10), (1, "b", 1, 5)], schema), 1)
-    changed = [p for p, folder in table.parts().items() if before.get(p) != folder]
-    assert len(before) == 4 and len(changed) == 1 and table.last() == 2
-    got = sorted(map(tuple, table.read().select("y", "k", "o", "v").collect()), key=str)
-    assert got == [(1, "a", 5, 10), (1, "b", 1, 5), (2, "a", 2, 20), (3, "d", 1, 4), (None, "c", 1, 3)]
+def test_a_batch_run_again_changes_nothing(spark, tmp_path):
+    schema = "y int, k string, o int, v int"
+    batch = spark.createDataFrame([(1, "a", 2, 5), (1, None, 1, 1), (None, "b", 1, 1), (None, "b", 1, 1)], schema)
+    for parts in ([], ["y"]):
+        root = str(tmp_path / f"table{len(parts)}")
+        apply = ingest.merge_batch(root, ["y", "k"], ["o"], parts)
+        for _ in range(2):
+            apply(batch, 0)
+            assert sorted(map(tuple, ingest.current(batch, root).collect()), key=repr) == sorted(map(tuple, batch.collect()), key=repr)
+        apply(batch, 1)  # the same rows as news: those without a key come again
+        assert ingest.current(batch, root).count() == 7
 
 
 def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
@@ -138,6 +132,56 @@ def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
     assert sorted(r.k for r in got.collect()) == ["first", "second"]
 
 
+def test_an_update_rewrites_only_its_parts(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "y int, k string, o int, v int"
+    update.load(path, spark.createDataFrame([(1, "a", 1, 1), (2, "a", 1, 2), (2, "z", 1, 7), (2, "z", 1, 8), (None, "c", 1, 3)], schema), ["y"])
+    before = files_of(tmp_path / "table")
+    new = spark.createDataFrame([(2, "a", 1, 0), (2, "a", 2, 20), (2, "z", 3, 9), (3, "d", 1, 4), (2, None, 1, 5)], schema)
+    assert update.update(path, new, ["y", "k"], ["o"], ["y"]) == {"kept": 0, "updated": 3, "inserted": 2}
+    after = files_of(tmp_path / "table")
+    assert {f.parent.name for f in before.keys() & after.keys()} == {"y=1", "y=__HIVE_DEFAULT_PARTITION__"}
+    assert {f.parent.name for f in after.keys() - before.keys()} == {"y=2", "y=3"}
+    want = [(1, "a", 1, 1), (2, "a", 2, 20), (2, "z", 3, 9), (2, "z", 3, 9), (3, "d", 1, 4), (2, None, 1, 5), (None, "c", 1, 3)]
+    assert sorted(map(tuple, update.stored_table(new, path).collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_an_update_reads_only_its_parts(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "y int, k string, o int"
+    update.load(path, spark.createDataFrame([(y, "a", 1) for y in range(20)], schema), ["y"])
+    new = spark.createDataFrame([(7, "a", 2)], schema)
+    new.write.parquet(str(tmp_path / "new"))
+    new = spark.read.parquet(str(tmp_path / "new"))
+    read = update.touched(update.stored_table(new, path), new, ["y"])
+    assert read.count() == 1 and len(read.inputFiles()) == 20
+    assert "PartitionFilters: [isnotnull(y" in read._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_failed_update_leaves_the_table(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "y int, k string, o int"
+    update.load(path, spark.createDataFrame([(1, "a", 1), (2, "b", 1)], schema), ["y"])
+    bad = spark.createDataFrame([(1, "a", 2)], schema).withColumn("o", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        update.update(path, bad, ["y", "k"], ["o"], ["y"])
+    assert sorted(map(tuple, update.stored_table(bad, path).collect())) == [(1, "a", 1), (2, "b", 1)]
+    with pytest.raises(ValueError, match="key"):
+        update.update(path, bad, ["k"], ["o"], ["y"])
+
+
+def test_bookings_and_guests_are_updated_in_place(spark, sf_dir, tmp_path):
+    t = Tables(spark, sf_dir)
+    moment = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    path = str(tmp_path / "bookings")
+    first = update.update_bookings(path, t.bookings.filter("src_key % 2 = 0"), moment=moment)
+    again = update.update_bookings(path, t.bookings.filter("src_key % 2 = 0"), moment=moment)
+    known = " AND ".join(f"{k} IS NOT NULL" for k in changes.BOOKING_KEY)
+    assert first["updated"] == 0 and first["inserted"] > 0
+    assert again["updated"] == t.bookings.filter(f"src_key % 2 = 0 AND {known}").select(*changes.BOOKING_KEY).distinct().count()
+    guests = str(tmp_path / "guests")
+    n = update.update_guests(guests, t.guests, moment=moment)["inserted"]
+    done = update.update_guests(guests, t.guests.withColumn("phone", F.lit("1")), moment=moment)
+    assert n == t.guests.count() and done == {"kept": n - done["updated"], "updated": done["updated"], "inserted": n - done["updated"]}
+
+
 def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
     bad = spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
     store, path = sinks.Store(spark, str(tmp_path / "store")), str(tmp_path / "folder")

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from wayfare.operators import changes, curated, hotel, kpi_flight, lookups, profiles, quality, reports
+from wayfare.operators import changes, curated, hotel, kpi, kpi_flight, kpi_hotel, lookups, profiles, quality, reports, rollups
 from wayfare.functions import numeric
 from wayfare.operators import page
 from wayfare.sources import catalogues
@@ -244,3 +244,71 @@ def test_checks_of_missing_columns_fail_by_name(spark):
     got = {r.check: (r.passed, r.observed, r.expected) for r in quality.booking_checks(df, min_rows=0).collect()}
     assert not got["required_columns"][0] and "is_canceled" in got["required_columns"][2]
     assert got["non_negative:adr"][:2] == (False, None) and got["allowed_values:hotel"][0]
+
+
+@pytest.mark.parametrize("spread", [1, 3])
+def test_merge_of_random_tables(spark, spread):
+    rng = random.Random(spread)
+    schema, keys = "a int, b string, o int, v int", ("a", "b")
+    draw = lambda n: [(rng.choice([1, 2, 3, None]), rng.choice(["x", "y", None]), rng.randint(0, 3), rng.choice([1, 2, None])) for _ in range(n)]
+    for n, m in ((0, 0), (40, 0), (0, 30), (6, 6), (60, 40)):
+        stored, incoming = draw(n), draw(m)
+        known = lambda r: r[0] is not None and r[1] is not None
+        best = {}
+        for r in filter(known, incoming):  # NULL is the smallest
+            best[r[:2]] = max(best.get(r[:2], r), r, key=lambda x: (x[2], x[3] is not None, x[3] or 0))
+        want = [(*best.get(r[:2], r), "updated" if known(r) and r[:2] in best else "kept") for r in stored]
+        there = {r[:2] for r in stored if known(r)}
+        want += [(*r, "inserted") for k, r in best.items() if k not in there] + [(*r, "inserted") for r in incoming if not known(r)]
+        old, new = (spark.createDataFrame(rows, schema).repartition(3) for rows in (stored, incoming))
+        got = changes.merge(old, new, keys, ["o"], spread).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_has_one_exchange(spark, tmp_path):
+    for name in ("old", "new"):
+        spark.range(100).selectExpr("id AS k", "id AS o", "cast(id AS string) AS v").write.parquet(str(tmp_path / name))
+    old, new = (spark.read.parquet(str(tmp_path / n)) for n in ("old", "new"))
+    text = plan_of(changes.upsert(old, new, ["k"], ["o"])).split("Initial Plan")[0]
+    assert text.count("Exchange ") == 1 and text.count("FileScan") == 2 and "Aggregate" not in text and "Join" not in text
+
+
+def test_tables_of_a_common_pass_are_the_same(spark, sf_dir, tmp_path):
+    from verification.tables import Tables
+
+    t = Tables(spark, sf_dir)
+    for facts, kpis in ((t.stays, kpi_hotel.kpis()), (t.flown, kpi_flight.kpis())):
+        path = str(tmp_path / next(iter(kpis)))
+        facts.write.parquet(path)
+        facts = spark.read.parquet(path)
+        cube = kpi.in_one_pass(facts, kpis)
+        assert plan_of(cube).count("FileScan") == 1
+        for name, spec in kpis.items():
+            one, alone = kpi.part(cube, facts, name, spec), spec.build(facts)
+            assert one.columns == alone.columns and one.exceptAll(alone).isEmpty() and alone.exceptAll(one).isEmpty()
+            assert kpi.part(kpi.in_one_pass(facts.limit(0), kpis), facts, name, spec).isEmpty()
+
+
+def test_tiles_and_cards_scan_their_facts_once(spark, sf_dir, tmp_path):
+    from verification.tables import Tables
+
+    t = Tables(spark, sf_dir)
+    for name, df in (("raw", t.bookings), ("stays", t.stays), ("flown", t.flown), ("voices", t.voices)):
+        df.write.parquet(str(tmp_path / name))
+    raw, stays, flown, voices = (spark.read.parquet(str(tmp_path / n)) for n in ("raw", "stays", "flown", "voices"))
+    for df, fact in ((page.kpi_tiles(raw, voices), "raw"), (rollups.kpi_hotel_from(stays), "stays"), (rollups.kpi_flight_from(flown), "flown")):
+        text = plan_of(df)
+        assert text.count("FileScan") == text.count(f"/{fact}]") + text.count("/voices]") and text.count(f"/{fact}]") == 1
+    empty = page.kpi_tiles(raw.limit(0), voices).first()
+    assert (empty.curated_rows, empty.raw_rows, empty.peak_month, empty.top_segment) == (0, 0, None, None)
+
+
+def test_measures_of_one_name_must_agree(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, x int")
+    one, other = kpi.Kpi(["a"], [F.sum("x").alias("m")]), kpi.Kpi(["b"], [F.max("x").alias("m")])
+    with pytest.raises(ValueError, match="m"):
+        kpi.in_one_pass(df, {"one": one, "other": other})

@@ -77,7 +77,7 @@ R.add(
 )
 R.add(
     "d_kpi_hotel",
-    lambda t: rollups.kpi_hotel(_gold("premium_conversion")(t), _gold("upsell_opportunity")(t)),
+    lambda t: rollups.kpi_hotel_from(t.stays),
     f"SELECT c.*, {pct('premium_revenue', 'total_revenue')} AS premium_revenue_pct, "
     f"{pct('premium_bookings', 'total_bookings')} AS premium_conversion_pct, u.upsell_targets "
     f"FROM (SELECT {_CONV} FROM gold_conversion) c, (SELECT {isum('standard_bookings')} AS upsell_targets "
@@ -85,7 +85,7 @@ R.add(
 )
 R.add(
     "d_kpi_flight",
-    lambda t: rollups.kpi_flight(_air("satisfaction_by_segment")(t), _air("noshow_by_booking_pattern")(t)),
+    lambda t: rollups.kpi_flight_from(t.flown),
     f"SELECT s.*, n.* FROM (SELECT {isum('passengers')} AS total_passengers, "
     f"{rnd('(' + total('avg_satisfaction * passengers') + '/sum(passengers))', 4)} AS avg_satisfaction, "
     f"{isum('satisfied_count')} AS satisfied_count, {isum('dissatisfied_count')} AS dissatisfied_count "
@@ -264,7 +264,7 @@ R.add(
 )
 R.add(
     "h_kpi_tiles",
-    lambda t: page.kpi_tiles(t.bookings, t.curated, t.voices),
+    lambda t: page.kpi_tiles(t.bookings, t.voices),
     f"""SELECT c.*, k.*, p.m AS peak_month, p.adr AS peak_month_adr, s.market_segment AS top_segment,
   s.pct AS top_segment_pct, n.avg_nps, r.raw_rows
 FROM (SELECT count(*) AS curated_rows, {pct_where('is_premium_meal')} AS premium_conversion_pct,

@@ -96,17 +96,17 @@ FROM (SELECT p_frequent_flyer_status, Seat_Class, Check_in_Method, Travel_Purpos
   {tally('is_last_minute')} AS last_minute_count, {tally('is_premium_class')} AS premium_class_count
   FROM flown GROUP BY ALL)"""
 
-_HOTEL = {
+HOTEL = {
     "revenue_by_package": "gold_package", "premium_conversion": "gold_conversion",
     "revenue_by_loyalty": "gold_loyalty", "revenue_by_segment": "gold_segment",
     "upsell_opportunity": "gold_upsell", "revenue_by_room": "gold_room",
 }
-_FLIGHT = {
+FLIGHT = {
     "satisfaction_by_segment": "air_segment", "satisfaction_by_route": "air_route",
     "noshow_by_booking_pattern": "air_noshow", "friction_by_checkin": "air_checkin",
     "delay_impact": "air_delay", "traveler_profile": "air_profile",
 }
-for _name, _cte in _HOTEL.items():
+for _name, _cte in HOTEL.items():
     R.add(
         f"g_{_name}",
         lambda t, n=_name: kpi_hotel.by(n, kpi_hotel.TABLES[n](t.stays)),
@@ -132,7 +132,7 @@ R.add(
     "g_table_summary",
     lambda t: kpi_hotel.table_summary(
         {"bookings": t.bookings, "guests": t.guests, "packages": t.packages}
-        | {n: kpi_hotel.TABLES[n](t.stays) for n in _HOTEL}
+        | {n: kpi_hotel.TABLES[n](t.stays) for n in HOTEL}
     ),
     "SELECT 'bookings' AS table_name, count(*) AS rows, 30 AS cols FROM bookings "
     "UNION ALL SELECT 'guests', count(*), 14 FROM guests UNION ALL SELECT 'packages', count(*), 9 FROM packages "
@@ -143,7 +143,7 @@ R.add(
     "UNION ALL SELECT 'upsell_opportunity', count(*), 11 FROM gold_upsell "
     "UNION ALL SELECT 'revenue_by_room', count(*), 11 FROM gold_room",
 )
-for _name, _cte in _FLIGHT.items():
+for _name, _cte in FLIGHT.items():
     R.add(
         f"f_{_name}",
         lambda t, n=_name: kpi_flight.by(n, kpi_flight.TABLES[n](t.flown)),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from verification.ctes import CTES
 from wayfare.operators import changes, hotel, kpi_hotel, profiles, reports
-from wayfare.plans import refresh
+from wayfare.plans import refresh, update
 from wayfare.session import scratch_path
 from wayfare.sinks import tables as sinks
 from wayfare.sources import database, files
@@ -19,6 +19,8 @@ from wayfare.streaming import ingest as stream
 
 from .boards import SQL as BOARDS
 from .common import Registry
+from .gold import FLIGHT as FLIGHT_CTES
+from .gold import HOTEL as HOTEL_CTES
 from .sql_reports import SNAPSHOT, STAMP
 
 R = Registry()
@@ -324,16 +326,48 @@ R.add(
 )
 
 
+def _updated(t):
+    """A stored table, then today's extract: what each action counted, and the rows as stored."""
+    path = scratch_path(t.spark, "bronze-bookings")
+    update.load(path, files.audit(_early(t), "early.csv", _now()), update.BOOKING_PARTS)
+    done = update.update_bookings(path, _today(t), _ORDER, "today.csv", _now())
+    counts = {f"n_{a}": F.lit(n).cast("bigint") for a, n in done.items()}
+    return update.stored_table(files.audit(_today(t), "", _now()), path).withColumns(counts)
+
+
+def _updated_sql() -> str:
+    known = " AND ".join(f"{k} IS NOT NULL" for k in changes.BOOKING_KEY)
+    same = " AND ".join(f"e.{k} = f.{k}" for k in changes.BOOKING_KEY)
+    part = " AND ".join(f"e.{k} IS NOT DISTINCT FROM f.{k}" for k in update.BOOKING_PARTS)
+    CTES["stored_early"] = f"SELECT e.*, f.src_key IS NOT NULL AS hit FROM early e LEFT JOIN bookings_fresh f ON {same}"
+    CTES["came_new"] = (
+        f"SELECT {', '.join(_COLUMNS)} FROM bookings_fresh f WHERE NOT EXISTS (SELECT 1 FROM early e WHERE {same}) "
+        f"UNION ALL SELECT {', '.join(_COLUMNS)} FROM today WHERE NOT ({known})"
+    )
+    kept_back = f"EXISTS (SELECT 1 FROM today f WHERE {part})"
+    taken = ", ".join(f"CASE WHEN f.src_key IS NULL THEN e.{c} ELSE f.{c} END AS {c}" for c in _COLUMNS)
+    origin = "CASE WHEN f.src_key IS NULL THEN 'early.csv' ELSE 'today.csv' END AS _source_file"
+    return (
+        f"SELECT u.*, {_NOW} AS _ingested_at, (SELECT count(*) FROM stored_early e WHERE NOT hit AND {kept_back}) AS n_kept, "
+        "(SELECT count(*) FROM stored_early WHERE hit) AS n_updated, (SELECT count(*) FROM came_new) AS n_inserted "
+        f"FROM (SELECT {taken}, {origin} FROM early e LEFT JOIN bookings_fresh f ON {same} "
+        f"UNION ALL SELECT *, 'today.csv' FROM came_new) u"
+    )
+
+
+R.add("inc_update_bookings", _updated, _updated_sql())
+
+
 def _streamed(t):
     """Initial load, one arrival of files, and a run that finds nothing new."""
     root, landing, log = (scratch_path(t.spark, n) for n in ("stream-table", "stream-landing", "stream-log"))
-    sinks.Versions(t.spark, root).write(_early(t))
+    parts = ("arrival_date_year", "arrival_date_month")
+    update.load(root, _early(t).withColumn(stream.BATCH, F.lit("first load")), parts)
     _today(t).write.parquet(landing)
 
     def arrivals():
         return t.spark.readStream.schema(t.bookings.schema).parquet(landing)
 
-    parts = ("arrival_date_year", "arrival_date_month")
     stream.ingest(arrivals(), root, log, changes.BOOKING_KEY, _ORDER, parts)
     return stream.ingest(arrivals(), root, log, changes.BOOKING_KEY, _ORDER, parts)
 
@@ -341,68 +375,159 @@ def _streamed(t):
 R.add("inc_stream_ingest", _streamed, "SELECT * FROM bookings_merged")
 
 
+# Key columns of the KPI tables and roll-ups that a refresh makes; all others are figures.
+_MONTH = ("arrival_date_year", "arrival_date_month", "arrival_month_num")
+HOTEL_KEYS = {
+    "gold_revenue_by_package": (*_MONTH, "meal", "is_premium_meal", "hotel"),
+    "gold_premium_conversion": (*_MONTH, "hotel"),
+    "gold_revenue_by_loyalty": ("g_loyalty_tier", "hotel"),
+    "gold_revenue_by_segment": ("market_segment", "hotel"),
+    "gold_upsell_opportunity": ("g_loyalty_tier", "hotel", "meal", "guest_value_segment"),
+    "gold_revenue_by_room": ("reserved_room_type", "is_premium_room", "hotel"),
+}
+HOTEL_BOARD_KEYS = {
+    "monthly_meal_revenue": ("year_month", "meal"),
+    "monthly_conversion": ("year_month",),
+    "loyalty": ("g_loyalty_tier",),
+    "segment_adr": ("market_segment",),
+    "room": ("reserved_room_type", "is_premium_room"),
+    "upsell": ("g_loyalty_tier",),
+    "kpi": (),
+}
+FLIGHT_KEYS = {
+    "gold_satisfaction_by_segment": ("p_frequent_flyer_status", "Seat_Class", "p_income_level", "Travel_Purpose", "Gender"),
+    "gold_satisfaction_by_route": ("r_route_id", "Departure_Airport", "Arrival_Airport", "Airline", "r_performance_tier"),
+    "gold_noshow_by_booking_pattern": ("booking_bucket", "Travel_Purpose", "p_frequent_flyer_status"),
+    "gold_friction_by_checkin": ("Check_in_Method", "Seat_Class", "p_frequent_flyer_status"),
+    "gold_delay_impact": ("delay_bucket", "Flight_Status", "Weather_Impact", "Airline"),
+    "gold_traveler_profile": ("p_frequent_flyer_status", "Seat_Class", "Check_in_Method", "Travel_Purpose", "booking_bucket", "time_of_day"),
+}
+FLIGHT_BOARD_KEYS = {
+    "kpi": (),
+    "tier": ("p_frequent_flyer_status",),
+    "band": ("satisfaction_band",),
+    "noshow_bucket": ("booking_bucket",),
+    "checkin": ("Check_in_Method",),
+    "delay": ("delay_bucket",),
+    "class": ("Seat_Class",),
+    "top_routes": ("r_route_id", "Departure_Airport", "Arrival_Airport", "Airline", "r_performance_tier"),
+    "bottom_routes": ("r_route_id", "Departure_Airport", "Arrival_Airport", "Airline", "r_performance_tier"),
+}
+
+
+def _figures(name: str, df, keys):
+    """A table in long form: its name, the row's key as text, the column, the figure."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in keys]
+    figures = [c for c in df.columns if c not in keys and c != "_gold_updated_at"]
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("figure"), F.col(c).cast("double").alias("value")) for c in figures]))
+    key = F.concat_ws("|", *parts) if parts else F.lit("")
+    return df.select(F.lit(name).alias("table_name"), key.alias("row_key"), each.alias("x")).select("table_name", "row_key", "x.figure", "x.value")
+
+
+def _figures_sql(name: str, sql: str, keys) -> str:
+    parts = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in keys)
+    key, rest = (f"concat_ws('|', {parts})", f"* EXCLUDE ({', '.join(keys)})") if keys else ("''", "*")
+    return (
+        f"SELECT '{name}' AS table_name, {key} AS row_key, figure, CAST(value AS DOUBLE) AS value "
+        f"FROM ({sql}) AS t UNPIVOT INCLUDE NULLS (value FOR figure IN (COLUMNS({rest})))"
+    )
+
+
+def _all_figures(tables, keys):
+    out = None
+    for name, df in tables.items():
+        part = _figures(name, df, keys[name])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _counts(store, run):
-    """Rows per stored table, as read back."""
-    return kpi_hotel.table_summary({n: store.read(n) for n in run.rows}).select("table_name", "rows")
+    """Rows of the tables below gold, as read back, in the same form."""
+    return _all_figures(
+        {n: store.read(n).agg(F.count(F.lit(1)).alias("rows")) for n in run.rows if not n.startswith("gold_")},
+        dict.fromkeys(run.rows, ()),
+    )
 
 
-def _refreshed_hotel(t):
+def _hotel_store(t):
     store = sinks.Store(t.spark, scratch_path(t.spark, "hotel"))
-    run = refresh.refresh_hotel(t.spark, {"bookings": t.bookings, "guests": t.guests, "packages": t.packages}, store, _now())
-    return _counts(store, run)
+    return store, refresh.refresh_hotel(t.spark, {"bookings": t.bookings, "guests": t.guests, "packages": t.packages}, store, _now())
 
 
-def _refreshed_flight(t):
+def _flight_store(t):
     store = sinks.Store(t.spark, scratch_path(t.spark, "flight"))
-    run = refresh.refresh_flight(t.spark, {"flights": t.flights, "passengers": t.passengers, "routes": t.routes}, store, _now())
-    return _counts(store, run)
+    return store, refresh.refresh_flight(t.spark, {"flights": t.flights, "passengers": t.passengers, "routes": t.routes}, store, _now())
 
 
-def _counts_sql(pairs: dict[str, str]) -> str:
-    return " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS rows FROM {cte}" for name, cte in pairs.items())
+def _refreshed(stored, keys):
+    """Every figure of every KPI table that a refresh stored, and the rows of the tables below."""
 
+    def query(t):
+        store, run = stored(t)
+        return _all_figures({n: store.read(n) for n in keys}, keys).unionByName(_counts(store, run))
 
-R.add("inc_full_refresh_hotel", _refreshed_hotel, _counts_sql({
+    return query
+
+
+def _refreshed_sql(keys, gold: dict[str, str], below: dict[str, str]) -> str:
+    parts = [_figures_sql(f"gold_{name}", f"SELECT * FROM {cte}", keys[f"gold_{name}"]) for name, cte in gold.items()]
+    parts += [_figures_sql(name, f"SELECT count(*) AS rows FROM {cte}", ()) for name, cte in below.items()]
+    return " UNION ALL ".join(parts)
+
+
+R.add("inc_full_refresh_hotel", _refreshed(_hotel_store, HOTEL_KEYS), _refreshed_sql(HOTEL_KEYS, HOTEL_CTES, {
     "bronze_bookings": "bookings", "bronze_guests": "guests", "bronze_packages": "packages", "silver_bookings": "silver",
-    "gold_revenue_by_package": "gold_package", "gold_premium_conversion": "gold_conversion",
-    "gold_revenue_by_loyalty": "gold_loyalty", "gold_revenue_by_segment": "gold_segment",
-    "gold_upsell_opportunity": "gold_upsell", "gold_revenue_by_room": "gold_room",
 }))
-R.add("inc_full_refresh_flight", _refreshed_flight, _counts_sql({
+R.add("inc_full_refresh_flight", _refreshed(_flight_store, FLIGHT_KEYS), _refreshed_sql(FLIGHT_KEYS, FLIGHT_CTES, {
     "bronze_flights": "flights", "bronze_passengers": "passengers", "bronze_routes": "routes", "silver_flights": "flown",
-    "gold_satisfaction_by_segment": "air_segment", "gold_satisfaction_by_route": "air_route",
-    "gold_noshow_by_booking_pattern": "air_noshow", "gold_friction_by_checkin": "air_checkin",
-    "gold_delay_impact": "air_delay", "gold_traveler_profile": "air_profile",
 }))
 
 
-def _refreshed_boards(t):
-    """The roll-ups over the KPI tables that a refresh stored, here of the rooms."""
-    store = sinks.Store(t.spark, scratch_path(t.spark, "hotel"))
-    refresh.refresh_hotel(t.spark, {"bookings": t.bookings, "guests": t.guests, "packages": t.packages}, store, _now())
-    boards = refresh.hotel_boards(store)
-    return boards["room"].select("reserved_room_type", "is_premium_room", "avg_adr", "total_revenue")
+def _boards(stored, boards, keys):
+    """Every figure of every roll-up over the KPI tables that a refresh stored."""
+    return lambda t: _all_figures(boards(stored(t)[0]), keys)
+
 
+def _boards_sql(keys, named: dict[str, str]) -> str:
+    return " UNION ALL ".join(_figures_sql(name, BOARDS[named.get(name, f"d_{name}")], k) for name, k in keys.items())
 
-R.add("inc_full_refresh_hotel_boards", _refreshed_boards, BOARDS["d_room"])
 
+R.add("inc_full_refresh_hotel_boards", _boards(_hotel_store, refresh.hotel_boards, HOTEL_BOARD_KEYS),
+      _boards_sql(HOTEL_BOARD_KEYS, {"kpi": "d_kpi_hotel"}))
+R.add("inc_full_refresh_flight_boards", _boards(_flight_store, refresh.flight_boards, FLIGHT_BOARD_KEYS),
+      _boards_sql(FLIGHT_BOARD_KEYS, {"kpi": "d_kpi_flight", "tier": "d_flight_tier"}))
 
-def _refreshed_reports(t):
-    """The premium snapshot as the report refresh stored it, run twice."""
+
+def _report_store(t):
+    """The reports, refreshed twice: the second run replaces its own date."""
     store = sinks.Store(t.spark, scratch_path(t.spark, "reports"))
     for _ in range(2):
         refresh.refresh_reports(t.spark, t.bookings, t.feedback, store, _day(), _now())
-    return t.spark.read.parquet(f"{store.root}/premium_revenue").select(*reports.premium_snapshot(t.curated, _day()).columns)
+    return store
+
 
+R.add(
+    "inc_refresh_reports",
+    lambda t: _report_store(t).read("premium_revenue").select(*reports.premium_snapshot(t.curated, _day()).columns),
+    "SELECT * FROM premium_snapshot",
+)
+R.add(
+    "inc_refresh_reports_satisfaction",
+    lambda t: _report_store(t).read("satisfaction").select(*reports.satisfaction_snapshot(t.curated, t.voices, _day()).columns),
+    "SELECT * FROM satisfaction_snapshot",
+)
 
-R.add("inc_refresh_reports", _refreshed_reports, "SELECT * FROM premium_snapshot")
 
+def _exports(t):
+    store = _report_store(t)
+    return store.read("json_export/premium_revenue").unionByName(store.read("json_export/satisfaction")).drop("snapshot_date")
 
-def _refreshed_table(t):
-    """A KPI table as the refresh stored it."""
-    store = sinks.Store(t.spark, scratch_path(t.spark, "hotel"))
-    refresh.refresh_hotel(t.spark, {"bookings": t.bookings, "guests": t.guests, "packages": t.packages}, store, _now())
-    return store.read("gold_upsell_opportunity")
+
+R.add("inc_refresh_reports_json", _exports, "SELECT * FROM export_premium UNION ALL SELECT * FROM export_satisfaction")
 
 
-R.add("inc_full_refresh_hotel_table", _refreshed_table, f"SELECT *, {_NOW} AS _gold_updated_at FROM gold_upsell")
+R.add(
+    "inc_full_refresh_hotel_table",
+    lambda t: _hotel_store(t)[0].read("gold_upsell_opportunity"),
+    f"SELECT *, {_NOW} AS _gold_updated_at FROM gold_upsell",
+)

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lookups import attach
-
 # Keys that identify a row to the upserts. A guest's id has 32 bits of the e-mail's
 # hash, which two guests can share: it is a label, and the e-mail is the key.
 BOOKING_KEY = ("email", "arrival_date_year", "arrival_date_month", "arrival_date_day_of_month")
@@ -77,45 +75,58 @@ def has_keys(keys: Sequence[str]) -> Column:
     return condition
 
 
-def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the greatest by ``order``, then by all other columns.
-
-    ``max`` of a struct combines in the map tasks; a ranked window would bring
-    all rows of a hot key to one task.
-    """
-    rest = [c for c in df.columns if c not in keys]
-    entry = F.struct(*order, *[c for c in rest if c not in order])
-    picked = df.groupBy(*keys).agg(F.max(entry).alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
-
-
-def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """MERGE: matched rows take all incoming values, the others are inserted.
+def merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str], spread: int = 1) -> DataFrame:
+    """MERGE: matched rows take all incoming values, the others are inserted. ``_action`` says kept, updated or inserted.
 
-    * Several incoming rows of one key: the greatest by ``order`` counts.
+    * Several incoming rows of one key: the greatest by ``order``, then by all other columns, counts.
     * A key that occurs several times in ``existing`` has each row updated.
     * A NULL in the key matches nothing, so such rows are inserted as they are,
       again on every run.
 
-    ``existing`` is on the left of a LEFT join whose right side is unique per
-    key: its rows without a key are dealt over the cluster, a hot key can be
-    split by AQE, and nothing fans out. What is inserted is found against the
-    distinct keys of ``existing``, not its rows.
+    Both tables are read once and go, tagged, through one exchange on the key. There each
+    row sees the greatest incoming row of its key and whether a stored one exists. Rows
+    without a key are dealt by their content and the task that read them. A window holds
+    the rows of one key and spills them to disk if need be; where a key may have a large
+    part of the stored rows, ``spread`` deals these over as many groups, to each of
+    which the incoming rows are copied, and a second exchange of the groups' unmatched rows
+    alone decides what is inserted.
     """
     columns = existing.columns
-    known = has_keys(keys)
-    values = [c for c in columns if c not in keys]
-    fresh = latest(incoming.select(*columns).filter(known), keys, order)
-    merged = attach(existing, fresh.select(*keys, F.struct(*values).alias("_new")), keys, values).select(
-        *[
-            F.col(c) if c in keys else F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
-            for c in columns
-        ]
+    values = [*order, *[c for c in columns if c not in keys and c not in order]]
+    known, zero = has_keys(keys), F.lit(0).cast("bigint")
+    dealt = F.xxhash64(F.spark_partition_id(), *columns)
+    old, new = existing.select(*columns, F.lit(False).alias("_new")), incoming.select(*columns, F.lit(True).alias("_new"))
+    if spread > 1:
+        old = old.withColumn("_group", F.when(known, F.pmod(F.xxhash64(*columns), F.lit(spread).cast("bigint"))).otherwise(dealt))
+        groups = F.sequence(zero, F.lit(spread - 1).cast("bigint"))
+        new = new.withColumn("_group", F.explode(F.when(known, groups).otherwise(F.array(dealt))))
+    else:
+        old, new = (df.withColumn("_group", F.when(known, zero).otherwise(dealt)) for df in (old, new))
+    by = Window.partitionBy(*keys, "_group").orderBy(F.desc("_new"))
+    whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = old.unionByName(new).select(
+        "*",
+        F.max(F.when(F.col("_new") & known, F.struct(*values))).over(whole).alias("_latest"),
+        F.bool_or(~F.col("_new")).over(whole).alias("_stored"),
+        F.row_number().over(by).alias("_nth"),
     )
-    taken = existing.filter(known).select(*keys).distinct()
-    inserted = fresh.join(taken, list(keys), "left_anti").select(*columns)
-    unkeyed = incoming.select(*columns).filter(~known)
-    return merged.unionByName(inserted).unionByName(unkeyed)
+    first = F.col("_new") & known & (F.col("_nth") == 1)
+    if spread > 1:
+        again = seen.filter(first).withColumn("_stored", F.bool_or("_stored").over(Window.partitionBy(*keys)))
+        seen = seen.filter(~first).unionByName(again.filter(F.col("_group") == 0))
+    taken = F.when(F.col("_latest").isNotNull(), "updated").otherwise("kept")
+    action = (
+        F.when(~F.col("_new"), taken)
+        .when(~known, "inserted")
+        .when(first & ~F.col("_stored"), "inserted")
+    )
+    merged = [F.when(F.col("_latest").isNull(), F.col(c)).otherwise(F.col("_latest")[c]).alias(c) if c in values else F.col(c) for c in columns]
+    return seen.select(*merged, action.alias("_action")).filter(F.col("_action").isNotNull())
+
+
+def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str], spread: int = 1) -> DataFrame:
+    """The merged table, without the actions."""
+    return merge(existing, incoming, keys, order, spread).drop("_action")
 
 
 def upsert_bookings(existing: DataFrame, incoming: DataFrame, order: Sequence[str] = ("reservation_status_date",)) -> DataFrame:

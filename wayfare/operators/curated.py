@@ -41,16 +41,12 @@ def cast_columns(df: DataFrame) -> dict[str, Column]:
     }
 
 
-def bookings(raw: DataFrame) -> DataFrame:
-    """Typed, derived, renamed and filtered bookings, without the key.
-
-    The reports never read the key, and leaving it out keeps this plan free of
-    a shuffle; ``with_booking_id`` adds it to the stored table.
-    """
+def shaped(raw: DataFrame) -> DataFrame:
+    """Typed, derived and renamed bookings, those that ``fits`` leaves out too."""
     month = month_number("arrival_date_month", unknown=UNKNOWN_MONTH)
     day, year = to_whole(raw, "arrival_date_day_of_month"), to_whole(raw, "arrival_date_year")
     typed = raw.withColumns(cast_columns(raw))
-    shaped = typed.withColumns(
+    derived = typed.withColumns(
         {
             "arrival_date": date_from_parts(year, month, day),
             "total_nights": total_nights(),
@@ -60,7 +56,21 @@ def bookings(raw: DataFrame) -> DataFrame:
             "reservation_status_date": to_day(raw, "reservation_status_date"),
         }
     ).withColumnsRenamed({"meal": "meal_plan", "total_of_special_requests": "special_requests"})
-    return quality(complete(shaped.select(*COLUMNS)))
+    return derived.select(*COLUMNS)
+
+
+def fits() -> Column:
+    """Whether a shaped row is one of the curated bookings."""
+    return F.col("adr").isNotNull() & F.col("arrival_date").isNotNull() & has_quality()
+
+
+def bookings(raw: DataFrame) -> DataFrame:
+    """Typed, derived, renamed and filtered bookings, without the key.
+
+    The reports never read the key, and leaving it out keeps this plan free of
+    a shuffle; ``with_booking_id`` adds it to the stored table.
+    """
+    return quality(complete(shaped(raw)))
 
 
 def complete(df: DataFrame) -> DataFrame:
@@ -68,8 +78,12 @@ def complete(df: DataFrame) -> DataFrame:
     return df.dropna(subset=["adr", "arrival_date"])
 
 
+def has_quality() -> Column:
+    return (F.col("adr") >= 0) & (F.col("total_nights") > 0)
+
+
 def quality(df: DataFrame) -> DataFrame:
-    return df.filter((F.col("adr") >= 0) & (F.col("total_nights") > 0))
+    return df.filter(has_quality())
 
 
 def content_hash(df: DataFrame) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.numeric import mean, ratio_pct, round_half_up, rows, tally
+from .kpi import Kpi
 from .kpi_hotel import sort_columns, summarise
 
 # Smallest route reported, and the friction weights.
@@ -56,115 +57,132 @@ def no_shows() -> Column:
     return tally("is_no_show").alias("no_shows")
 
 
+def satisfaction_rate(whole: str) -> Column:
+    return ratio_pct("satisfied_count", whole)
+
+
+def dissatisfaction_rate(whole: str) -> Column:
+    return ratio_pct("dissatisfied_count", whole)
+
+
+def friction() -> Column:
+    discontent = (F.lit(1) - F.col("avg_satisfaction") / F.lit(SCORE_SCALE)) * FRICTION_WEIGHT
+    return round_half_up(discontent + F.col("no_show_rate") * FRICTION_WEIGHT, 2)
+
+
+def kpis(min_flights: int = MIN_ROUTE_FLIGHTS) -> dict[str, Kpi]:
+    """The six tables."""
+    return {
+        "satisfaction_by_segment": Kpi(
+            ["p_frequent_flyer_status", "Seat_Class", "p_income_level", "Travel_Purpose", "Gender"],
+            [
+                passengers(),
+                score(),
+                no_show_rate(),
+                delay(),
+                satisfied(),
+                tally("is_highly_satisfied").alias("highly_satisfied_count"),
+                dissatisfied(),
+                mean("Price_USD").alias("avg_price_paid"),
+            ],
+            lambda: {
+                "satisfaction_rate_pct": satisfaction_rate("passengers"),
+                "dissatisfaction_rate_pct": dissatisfaction_rate("passengers"),
+            },
+        ),
+        "satisfaction_by_route": Kpi(
+            ["r_route_id", "Departure_Airport", "Arrival_Airport", "Airline", "r_performance_tier"],
+            [
+                rows().alias("total_flights"),
+                score(),
+                delay_minutes(),
+                no_show_rate(),
+                mean("Weather_Impact", 3).alias("weather_impact_rate"),
+                satisfied(),
+                dissatisfied(),
+                price(),
+                F.count_if(F.col("Flight_Status") == "Cancelled").alias("cancelled_flights"),
+            ],
+            lambda: {
+                "satisfaction_rate_pct": satisfaction_rate("total_flights"),
+                "cancellation_rate_pct": ratio_pct("cancelled_flights", "total_flights"),
+            },
+            having=lambda: F.col("total_flights") >= min_flights,
+        ),
+        "noshow_by_booking_pattern": Kpi(
+            ["booking_bucket", "Travel_Purpose", "p_frequent_flyer_status"],
+            [
+                passengers(),
+                no_shows(),
+                no_show_rate(),
+                score(),
+                days_ahead(),
+                price(),
+                tally("is_last_minute").alias("last_minute_bookings"),
+            ],
+            lambda: {"no_show_pct": ratio_pct("no_shows", "passengers")},
+        ),
+        "friction_by_checkin": Kpi(
+            ["Check_in_Method", "Seat_Class", "p_frequent_flyer_status"],
+            [passengers(), no_show_rate(), score(), delay(), days_ahead(), no_shows(), satisfied(), dissatisfied()],
+            lambda: {
+                "satisfaction_rate_pct": satisfaction_rate("passengers"),
+                "no_show_pct": ratio_pct("no_shows", "passengers"),
+            },
+        ),
+        "delay_impact": Kpi(
+            ["delay_bucket", "Flight_Status", "Weather_Impact", "Airline"],
+            [rows().alias("flights"), score(), delay_minutes(), no_show_rate(), satisfied(), dissatisfied(), price()],
+            lambda: {
+                "satisfaction_rate_pct": satisfaction_rate("flights"),
+                "dissatisfaction_rate_pct": dissatisfaction_rate("flights"),
+            },
+        ),
+        "traveler_profile": Kpi(
+            ["p_frequent_flyer_status", "Seat_Class", "Check_in_Method", "Travel_Purpose", "booking_bucket", "time_of_day"],
+            [
+                passengers(),
+                score(),
+                no_show_rate(),
+                delay(),
+                price(),
+                days_ahead(),
+                satisfied(),
+                tally("is_no_show").alias("no_show_count"),
+                tally("is_last_minute").alias("last_minute_count"),
+                tally("is_premium_class").alias("premium_class_count"),
+            ],
+            lambda: {
+                "satisfaction_rate_pct": satisfaction_rate("passengers"),
+                "no_show_pct": ratio_pct("no_show_count", "passengers"),
+                "friction_score": friction(),
+            },
+        ),
+    }
+
+
 def satisfaction_by_segment(flown: DataFrame) -> DataFrame:
-    return summarise(
-        flown,
-        ["p_frequent_flyer_status", "Seat_Class", "p_income_level", "Travel_Purpose", "Gender"],
-        [
-            passengers(),
-            score(),
-            no_show_rate(),
-            delay(),
-            satisfied(),
-            tally("is_highly_satisfied").alias("highly_satisfied_count"),
-            dissatisfied(),
-            mean("Price_USD").alias("avg_price_paid"),
-        ],
-        {
-            "satisfaction_rate_pct": ratio_pct("satisfied_count", "passengers"),
-            "dissatisfaction_rate_pct": ratio_pct("dissatisfied_count", "passengers"),
-        },
-    )
+    return kpis()["satisfaction_by_segment"].build(flown)
 
 
 def satisfaction_by_route(flown: DataFrame, min_flights: int = MIN_ROUTE_FLIGHTS) -> DataFrame:
-    cancelled = F.count_if(F.col("Flight_Status") == "Cancelled")
-    out = summarise(
-        flown,
-        ["r_route_id", "Departure_Airport", "Arrival_Airport", "Airline", "r_performance_tier"],
-        [
-            rows().alias("total_flights"),
-            score(),
-            delay_minutes(),
-            no_show_rate(),
-            mean("Weather_Impact", 3).alias("weather_impact_rate"),
-            satisfied(),
-            dissatisfied(),
-            price(),
-            cancelled.alias("cancelled_flights"),
-        ],
-        {
-            "satisfaction_rate_pct": ratio_pct("satisfied_count", "total_flights"),
-            "cancellation_rate_pct": ratio_pct("cancelled_flights", "total_flights"),
-        },
-    )
-    return out.filter(F.col("total_flights") >= min_flights)
+    return kpis(min_flights)["satisfaction_by_route"].build(flown)
 
 
 def noshow_by_booking_pattern(flown: DataFrame) -> DataFrame:
-    return summarise(
-        flown,
-        ["booking_bucket", "Travel_Purpose", "p_frequent_flyer_status"],
-        [
-            passengers(),
-            no_shows(),
-            no_show_rate(),
-            score(),
-            days_ahead(),
-            price(),
-            tally("is_last_minute").alias("last_minute_bookings"),
-        ],
-        {"no_show_pct": ratio_pct("no_shows", "passengers")},
-    )
+    return kpis()["noshow_by_booking_pattern"].build(flown)
 
 
 def friction_by_checkin(flown: DataFrame) -> DataFrame:
-    return summarise(
-        flown,
-        ["Check_in_Method", "Seat_Class", "p_frequent_flyer_status"],
-        [passengers(), no_show_rate(), score(), delay(), days_ahead(), no_shows(), satisfied(), dissatisfied()],
-        {
-            "satisfaction_rate_pct": ratio_pct("satisfied_count", "passengers"),
-            "no_show_pct": ratio_pct("no_shows", "passengers"),
-        },
-    )
+    return kpis()["friction_by_checkin"].build(flown)
 
 
 def delay_impact(flown: DataFrame) -> DataFrame:
-    return summarise(
-        flown,
-        ["delay_bucket", "Flight_Status", "Weather_Impact", "Airline"],
-        [rows().alias("flights"), score(), delay_minutes(), no_show_rate(), satisfied(), dissatisfied(), price()],
-        {
-            "satisfaction_rate_pct": ratio_pct("satisfied_count", "flights"),
-            "dissatisfaction_rate_pct": ratio_pct("dissatisfied_count", "flights"),
-        },
-    )
+    return kpis()["delay_impact"].build(flown)
 
 
 def traveler_profile(flown: DataFrame) -> DataFrame:
-    discontent = (F.lit(1) - F.col("avg_satisfaction") / F.lit(SCORE_SCALE)) * FRICTION_WEIGHT
-    return summarise(
-        flown,
-        ["p_frequent_flyer_status", "Seat_Class", "Check_in_Method", "Travel_Purpose", "booking_bucket", "time_of_day"],
-        [
-            passengers(),
-            score(),
-            no_show_rate(),
-            delay(),
-            price(),
-            days_ahead(),
-            satisfied(),
-            tally("is_no_show").alias("no_show_count"),
-            tally("is_last_minute").alias("last_minute_count"),
-            tally("is_premium_class").alias("premium_class_count"),
-        ],
-        {
-            "satisfaction_rate_pct": ratio_pct("satisfied_count", "passengers"),
-            "no_show_pct": ratio_pct("no_show_count", "passengers"),
-            "friction_score": round_half_up(discontent + F.col("no_show_rate") * FRICTION_WEIGHT, 2),
-        },
-    )
+    return kpis()["traveler_profile"].build(flown)
 
 
 TABLES = {

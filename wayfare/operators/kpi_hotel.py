@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_sum, mean, ratio_pct, round_half_up, rows, tally
+from .kpi import Kpi
 
 # Report constants.
 UPLIFT_RATE = 0.30
@@ -73,104 +74,126 @@ def premium_rate() -> Column:
     return ratio_pct("premium_bookings", "total_bookings")
 
 
-def revenue_by_package(stays: DataFrame) -> DataFrame:
-    return summarise(
-        stays,
-        [*month_keys(), "meal", "is_premium_meal", "hotel"],
-        [rows().alias("bookings"), adr(), nights(), revenue(), list_price(), price_gap()],
-    )
+def defined_segment(df: DataFrame) -> DataFrame:
+    """Rows of a named segment; a missing one is dropped too."""
+    return df.filter(is_defined_segment())
 
 
-def premium_conversion(stays: DataFrame) -> DataFrame:
-    return summarise(
-        stays,
-        [*month_keys(), "hotel"],
-        [
-            bookings(),
-            premium(),
-            tally("is_premium_meal").alias("premium_meal_bookings"),
-            tally("is_premium_room").alias("premium_room_bookings"),
-            revenue(),
-            premium_revenue(),
-            adr(),
-        ],
-        {
-            "premium_conversion_pct": premium_rate(),
-            "premium_revenue_pct": ratio_pct("premium_revenue", "total_revenue"),
-        },
-    )
+def is_defined_segment() -> Column:
+    return F.col("market_segment") != UNDEFINED_SEGMENT
 
 
-def revenue_by_loyalty(stays: DataFrame) -> DataFrame:
-    return summarise(
-        stays,
-        ["g_loyalty_tier", "hotel"],
-        [
-            bookings(),
-            premium(),
-            adr(),
-            nights(),
-            revenue(),
-            mean("g_lifetime_spend").alias("avg_lifetime_spend"),
-            tally("is_upsell_opportunity").alias("upsell_opportunities"),
-        ],
-        {"premium_rate_pct": premium_rate(), "revenue_per_booking": per_booking()},
-    )
+def standard_only(df: DataFrame) -> DataFrame:
+    return df.filter(is_standard())
+
+
+def is_standard() -> Column:
+    return ~F.col("is_premium_booking")
+
+
+def uplift() -> Column:
+    """What 30 % of the standard stays would add at list price."""
+    return round_half_up(F.col("standard_bookings") * F.lit(UPLIFT_RATE) * F.col("avg_price_gap") * F.col("avg_nights"), 2)
+
+
+def kpis() -> dict[str, Kpi]:
+    """The six tables."""
+    return {
+        "revenue_by_package": Kpi(
+            [*month_keys(), "meal", "is_premium_meal", "hotel"],
+            [rows().alias("bookings"), adr(), nights(), revenue(), list_price(), price_gap()],
+        ),
+        "premium_conversion": Kpi(
+            [*month_keys(), "hotel"],
+            [
+                bookings(),
+                premium(),
+                tally("is_premium_meal").alias("premium_meal_bookings"),
+                tally("is_premium_room").alias("premium_room_bookings"),
+                revenue(),
+                premium_revenue(),
+                adr(),
+            ],
+            lambda: {
+                "premium_conversion_pct": premium_rate(),
+                "premium_revenue_pct": ratio_pct("premium_revenue", "total_revenue"),
+            },
+        ),
+        "revenue_by_loyalty": Kpi(
+            ["g_loyalty_tier", "hotel"],
+            [
+                bookings(),
+                premium(),
+                adr(),
+                nights(),
+                revenue(),
+                mean("g_lifetime_spend").alias("avg_lifetime_spend"),
+                tally("is_upsell_opportunity").alias("upsell_opportunities"),
+            ],
+            lambda: {"premium_rate_pct": premium_rate(), "revenue_per_booking": per_booking()},
+        ),
+        "revenue_by_segment": Kpi(
+            ["market_segment", "hotel"],
+            [
+                bookings(),
+                premium(),
+                adr(),
+                nights(),
+                revenue(),
+                mean("total_of_special_requests").alias("avg_special_requests"),
+            ],
+            lambda: {"premium_rate_pct": premium_rate(), "revenue_per_booking": per_booking()},
+            only=is_defined_segment,
+            only_by=["market_segment"],
+        ),
+        "upsell_opportunity": Kpi(
+            ["g_loyalty_tier", "hotel", "meal", "guest_value_segment"],
+            [
+                rows().alias("standard_bookings"),
+                mean("adr").alias("avg_current_adr"),
+                list_price(),
+                exact_sum("total_revenue").alias("current_revenue"),
+                price_gap(),
+                nights(),
+            ],
+            lambda: {"estimated_uplift_30pct": uplift()},
+            only=is_standard,
+            only_by=["is_premium_booking"],
+        ),
+        "revenue_by_room": Kpi(
+            ["reserved_room_type", "is_premium_room", "hotel"],
+            [bookings(), adr(), nights(), revenue(), tally("was_upgraded").alias("upgrades_received"), list_price()],
+            lambda: {
+                "upgrade_rate_pct": ratio_pct("upgrades_received", "total_bookings"),
+                "revenue_per_booking": per_booking(),
+            },
+        ),
+    }
 
 
-def defined_segment(df: DataFrame) -> DataFrame:
-    """Rows of a named segment; a missing one is dropped too."""
-    return df.filter(F.col("market_segment") != UNDEFINED_SEGMENT)
+def revenue_by_package(stays: DataFrame) -> DataFrame:
+    return kpis()["revenue_by_package"].build(stays)
 
 
-def revenue_by_segment(stays: DataFrame) -> DataFrame:
-    return summarise(
-        defined_segment(stays),
-        ["market_segment", "hotel"],
-        [
-            bookings(),
-            premium(),
-            adr(),
-            nights(),
-            revenue(),
-            mean("total_of_special_requests").alias("avg_special_requests"),
-        ],
-        {"premium_rate_pct": premium_rate(), "revenue_per_booking": per_booking()},
-    )
+def premium_conversion(stays: DataFrame) -> DataFrame:
+    return kpis()["premium_conversion"].build(stays)
 
 
-def standard_only(df: DataFrame) -> DataFrame:
-    return df.filter(~F.col("is_premium_booking"))
+def revenue_by_loyalty(stays: DataFrame) -> DataFrame:
+    return kpis()["revenue_by_loyalty"].build(stays)
+
+
+def revenue_by_segment(stays: DataFrame) -> DataFrame:
+    return kpis()["revenue_by_segment"].build(stays)
 
 
 def upsell_opportunity(stays: DataFrame) -> DataFrame:
     """Standard stays per tier, and what 30 % of them would add at list price."""
-    uplift = F.col("standard_bookings") * F.lit(UPLIFT_RATE) * F.col("avg_price_gap") * F.col("avg_nights")
-    return summarise(
-        standard_only(stays),
-        ["g_loyalty_tier", "hotel", "meal", "guest_value_segment"],
-        [
-            rows().alias("standard_bookings"),
-            mean("adr").alias("avg_current_adr"),
-            list_price(),
-            exact_sum("total_revenue").alias("current_revenue"),
-            price_gap(),
-            nights(),
-        ],
-        {"estimated_uplift_30pct": round_half_up(uplift, 2)},
-    )
+    return kpis()["upsell_opportunity"].build(stays)
 
 
 def revenue_by_room(stays: DataFrame) -> DataFrame:
-    return summarise(
-        stays,
-        ["reserved_room_type", "is_premium_room", "hotel"],
-        [bookings(), adr(), nights(), revenue(), tally("was_upgraded").alias("upgrades_received"), list_price()],
-        {
-            "upgrade_rate_pct": ratio_pct("upgrades_received", "total_bookings"),
-            "revenue_per_booking": per_booking(),
-        },
-    )
+    return kpis()["revenue_by_room"].build(stays)
 
 
 TABLES = {

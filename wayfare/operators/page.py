@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.numeric import mean, pct_where, rows, share_pct
+from .curated import fits as fits_curated
+from .curated import shaped as shape_curated
 from .reports import kept, nps_by_hotel, segment_funnel
 
 # The page's hotels and their column names, NPS column names. Another
@@ -139,44 +141,58 @@ def hotel_compare(bookings: DataFrame, feedback: DataFrame, hotels: Mapping[str,
     return wide.withColumn("best", best).withColumnsRenamed(dict(hotels))
 
 
-def kpi_tiles(raw: DataFrame, bookings: DataFrame, feedback: DataFrame) -> DataFrame:
-    """All tiles in one row. The figures of other groupings (month, segment) and of
-    the other tables come as scalar subqueries, each an aggregate of its own."""
+def kpi_tiles(raw: DataFrame, feedback: DataFrame, hotels: Mapping[str, str] = HOTELS) -> DataFrame:
+    """All tiles in one row, from one scan of the raw bookings.
+
+    Totals, months and segments are grouping sets of one aggregate, whose few rows a
+    second one folds into the tiles: the first month, and the first segment by name,
+    among equals. The mean of the feedback's scores comes as a scalar subquery.
+    """
+    fits = F.coalesce(fits_curated(), F.lit(False))
     premium, stayed = F.col("is_premium_meal"), ~F.col("is_canceled")
 
+    def share(condition: Column) -> Column:
+        return share_pct(F.count_if(fits & condition), F.count_if(fits))
+
+    def mean_of(column: str, digits: int = 2) -> Column:
+        return mean(F.when(fits, F.col(column)), digits)
+
     def adr_where(condition: Column) -> Column:
-        return mean(F.when(stayed & condition, F.col("adr")))
-
-    def at_hotel(name: str) -> Column:
-        return premium & (F.col("hotel") == name)
-
-    # the first month, and the first segment by name, among equals
-    monthly = bookings.filter(stayed & premium).groupBy(F.month("arrival_date").alias("m")).agg(mean("adr").alias("v"))
-    peak = monthly.agg(F.min_by(F.struct("m", "v"), F.struct((-F.col("v")).alias("a"), "m")).alias("best")).scalar()
-    shares = (
-        bookings.filter(F.col("market_segment").isNotNull())
-        .groupBy(F.col("market_segment").alias("s"))
-        .agg(pct_where(premium).alias("v"))
+        return mean(F.when(fits & stayed & condition, F.col("adr")))
+
+    totals = {
+        "curated_rows": F.count_if(fits),
+        "premium_conversion_pct": share(premium),
+        "cancellation_pct": share(F.col("is_canceled")),
+        "avg_lead_time": mean_of("lead_time", 0),
+        "repeat_guest_pct": share(F.col("is_repeated_guest")),
+        "avg_special_requests": mean_of("special_requests"),
+        "premium_adr": adr_where(premium),
+        "standard_adr": adr_where(~premium),
+        **{f"{label}_premium_adr": adr_where(premium & (F.col("hotel") == hotel)) for hotel, label in hotels.items()},
+        "raw_rows": rows(),
+    }
+    shaped = shape_curated(raw).withColumn("month", F.month("arrival_date"))
+    cube = shaped.groupingSets([[], ["month"], ["market_segment"]], "month", "market_segment").agg(
+        F.grouping_id().alias("_id"), *[c.alias(n) for n, c in totals.items()]
     )
-    top = shares.agg(F.min_by(F.struct("s", "v"), F.struct((-F.col("v")).alias("a"), "s")).alias("best")).scalar()
-    tiles = bookings.agg(
-        rows().alias("curated_rows"),
-        pct_where(premium).alias("premium_conversion_pct"),
-        pct_where(F.col("is_canceled")).alias("cancellation_pct"),
-        mean("lead_time", 0).alias("avg_lead_time"),
-        pct_where(F.col("is_repeated_guest")).alias("repeat_guest_pct"),
-        mean("special_requests").alias("avg_special_requests"),
-        adr_where(premium).alias("premium_adr"),
-        adr_where(~premium).alias("standard_adr"),
-        adr_where(at_hotel("Resort Hotel")).alias("resort_premium_adr"),
-        adr_where(at_hotel("City Hotel")).alias("city_premium_adr"),
+    of_all, of_month, of_segment = (F.col("_id") == k for k in (3, 1, 2))
+
+    def best(condition: Column, key: str, figure: str) -> Column:
+        known = condition & F.col(key).isNotNull() & F.col(figure).isNotNull()
+        return F.min_by(F.struct(F.col(key).alias("k"), F.col(figure).alias("v")), F.when(known, F.struct((-F.col(figure)).alias("a"), key)))
+
+    tiles = cube.agg(
+        F.max(F.when(of_all, F.struct(*totals))).alias("_all"),
+        best(of_month, "month", "premium_adr").alias("_peak"),
+        best(of_segment, "market_segment", "premium_conversion_pct").alias("_top"),
     )
-    return tiles.select("*", peak.alias("_peak"), top.alias("_top")).select(
-        *tiles.columns,
-        F.col("_peak.m").alias("peak_month"),
+    counts, none = ("curated_rows", "raw_rows"), F.lit(0).cast("bigint")
+    return tiles.select(
+        *[(F.coalesce(F.col("_all")[n], none) if n in counts else F.col("_all")[n]).alias(n) for n in totals],
+        F.col("_peak.k").alias("peak_month"),
         F.col("_peak.v").alias("peak_month_adr"),
-        F.col("_top.s").alias("top_segment"),
+        F.col("_top.k").alias("top_segment"),
         F.col("_top.v").alias("top_segment_pct"),
         feedback.agg(mean("nps_score", 1).alias("n")).scalar().alias("avg_nps"),
-        raw.agg(rows().alias("n")).scalar().alias("raw_rows"),
     )

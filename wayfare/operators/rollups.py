@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions.dates import year_month
 from ..functions.numeric import exact, exact_mean, exact_sum, ratio_pct, round_half_up
+from . import kpi_flight as kpi_flight_tables
+from . import kpi_hotel as kpi_hotel_tables
+from .kpi import SET, in_one_pass
 
 # Left out of the segment chart; number of routes listed; colour limits.
 NO_CHARGE_SEGMENT = "Complementary"
@@ -118,43 +121,73 @@ def upsell(opportunity: DataFrame) -> DataFrame:
     )
 
 
-def kpi_hotel(conversion: DataFrame, opportunity: DataFrame) -> DataFrame:
-    """The cards: totals, premium shares, standard stays that could be upsold."""
-    targets = opportunity.filter(F.col("g_loyalty_tier").isNotNull()).agg(F.sum("standard_bookings").alias("s")).scalar()
-    totals = conversion.agg(
-        exact_sum("total_revenue").alias("total_revenue"),
-        exact_sum("premium_revenue").alias("premium_revenue"),
-        F.sum("total_bookings").alias("total_bookings"),
-        F.sum("premium_bookings").alias("premium_bookings"),
+def _labelled(tables: dict[str, DataFrame]) -> DataFrame:
+    """Stored KPI tables in the form of a common pass."""
+    (first, table), *others = tables.items()
+    out = table.withColumn(SET, F.lit(first))
+    for name, other in others:
+        out = out.unionByName(other.withColumn(SET, F.lit(name)), allowMissingColumns=True)
+    return out
+
+
+def kpi_hotel(cube: DataFrame) -> DataFrame:
+    """The cards: totals, premium shares, standard stays that could be upsold.
+
+    One aggregate over the rows of both KPI tables, each figure from its own.
+    """
+    converted = F.col(SET) == "premium_conversion"
+    target = (F.col(SET) == "upsell_opportunity") & F.col("g_loyalty_tier").isNotNull()
+    of = lambda c: F.when(converted, F.col(c))
+    totals = cube.agg(
+        exact_sum(of("total_revenue")).alias("total_revenue"),
+        exact_sum(of("premium_revenue")).alias("premium_revenue"),
+        F.sum(of("total_bookings")).alias("total_bookings"),
+        F.sum(of("premium_bookings")).alias("premium_bookings"),
+        F.sum(F.when(target, F.col("standard_bookings"))).alias("upsell_targets"),
     )
-    return totals.select(
-        "*",
-        ratio_pct("premium_revenue", "total_revenue").alias("premium_revenue_pct"),
-        ratio_pct("premium_bookings", "total_bookings").alias("premium_conversion_pct"),
-        targets.alias("upsell_targets"),
+    return totals.withColumns(
+        {"premium_revenue_pct": ratio_pct("premium_revenue", "total_revenue"), "premium_conversion_pct": ratio_pct("premium_bookings", "total_bookings")}
     )
 
 
+def kpi_hotel_stored(conversion: DataFrame, opportunity: DataFrame) -> DataFrame:
+    return kpi_hotel(_labelled({"premium_conversion": conversion, "upsell_opportunity": opportunity}))
+
+
+def kpi_hotel_from(stays: DataFrame) -> DataFrame:
+    """The cards from silver, which is read once."""
+    wanted = kpi_hotel_tables.kpis()
+    return kpi_hotel(in_one_pass(stays, {n: wanted[n] for n in ("premium_conversion", "upsell_opportunity")}))
+
+
 # -- flight -----------------------------------------------------------------
 
 
-def kpi_flight(by_segment: DataFrame, no_show: DataFrame) -> DataFrame:
-    """Totals; satisfaction weighted by passengers; share of no-shows."""
-    shows = no_show.agg(
-        F.struct(
-            F.sum("no_shows").alias("total_no_shows"),
-            F.try_divide(F.sum("no_shows"), F.sum("passengers")).alias("overall_no_show"),
-        ).alias("s")
-    ).scalar()
-    return by_segment.agg(
-        F.sum("passengers").alias("total_passengers"),
+def kpi_flight(cube: DataFrame) -> DataFrame:
+    """Totals; satisfaction weighted by passengers; share of no-shows. One aggregate over both KPI tables."""
+    of = lambda table, c: F.when(F.col(SET) == table, c)
+    seated = lambda c: of("satisfaction_by_segment", F.col(c))
+    booked = lambda c: of("noshow_by_booking_pattern", F.col(c))
+    weighted = of("satisfaction_by_segment", exact("avg_satisfaction") * F.col("passengers"))
+    return cube.agg(
+        F.sum(seated("passengers")).alias("total_passengers"),
         # rows without a score weigh in the divisor, as in the card's formula
-        round_half_up(
-            F.try_divide(F.sum(exact("avg_satisfaction") * F.col("passengers")).cast("double"), F.sum("passengers")), 4
-        ).alias("avg_satisfaction"),
-        F.sum("satisfied_count").alias("satisfied_count"),
-        F.sum("dissatisfied_count").alias("dissatisfied_count"),
-    ).withColumn("_shows", shows).select("*", "_shows.total_no_shows", "_shows.overall_no_show").drop("_shows")
+        round_half_up(F.try_divide(F.sum(weighted).cast("double"), F.sum(seated("passengers"))), 4).alias("avg_satisfaction"),
+        F.sum(seated("satisfied_count")).alias("satisfied_count"),
+        F.sum(seated("dissatisfied_count")).alias("dissatisfied_count"),
+        F.sum(booked("no_shows")).alias("total_no_shows"),
+        F.try_divide(F.sum(booked("no_shows")), F.sum(booked("passengers"))).alias("overall_no_show"),
+    )
+
+
+def kpi_flight_stored(by_segment: DataFrame, no_show: DataFrame) -> DataFrame:
+    return kpi_flight(_labelled({"satisfaction_by_segment": by_segment, "noshow_by_booking_pattern": no_show}))
+
+
+def kpi_flight_from(flown: DataFrame) -> DataFrame:
+    """The cards from silver, which is read once."""
+    wanted = kpi_flight_tables.kpis()
+    return kpi_flight(in_one_pass(flown, {n: wanted[n] for n in ("satisfaction_by_segment", "noshow_by_booking_pattern")}))
 
 
 def flight_tier(by_segment: DataFrame) -> DataFrame:

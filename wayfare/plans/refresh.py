@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import changes, curated, flight, hotel, kpi_flight, kpi_hotel, reports, rollups
+from ..operators.kpi import Kpi, in_one_pass, part
+from ..session import scratch_path
 from ..sinks.tables import Store, replace_snapshot, stamped
 from ..sources.files import audit
 
@@ -34,7 +36,7 @@ def _bronze(
     """Store the sources, and note what is new in each.
 
     A source's rows are counted by its own write, and the stored table's from its
-    files' footers, so nothing is scanned for the counts. Comparing contents reads
+    files' footers (no column is read), so nothing is scanned for the counts. Comparing contents reads
     both sides, before the stored one is replaced.
     """
     for name, df in sources.items():
@@ -49,6 +51,16 @@ def _bronze(
         run.detected.append(gap or counted)
 
 
+def _gold(store: Store, silver: DataFrame, kpis: dict[str, Kpi], moment: Column, run: Refresh) -> None:
+    """All KPI tables from one scan of silver: its grouping sets are stored once, small as they are, and cut into tables."""
+    path = scratch_path(store.spark, "kpis")
+    cube = in_one_pass(silver, kpis)
+    cube.write.parquet(path)
+    stored = store.spark.read.schema(cube.schema).parquet(path)
+    for name, kpi in kpis.items():
+        run.rows[f"gold_{name}"] = store.write(stamped(part(stored, silver, name, kpi), moment), f"gold_{name}")
+
+
 def refresh_hotel(
     spark: SparkSession,
     sources: dict[str, DataFrame],
@@ -67,9 +79,7 @@ def refresh_hotel(
     bronze = {n: store.read(f"bronze_{n}").drop(*hotel.AUDIT) for n in sources}
     silver = hotel.silver(bronze["bookings"], bronze["guests"], bronze["packages"], moment=moment)
     run.rows["silver_bookings"] = store.write(silver, "silver_bookings")
-    stays = hotel.completed(store.read("silver_bookings"))
-    for name, build in kpi_hotel.TABLES.items():
-        run.rows[f"gold_{name}"] = store.write(stamped(build(stays), moment), f"gold_{name}")
+    _gold(store, hotel.completed(store.read("silver_bookings")), kpi_hotel.kpis(), moment, run)
     return run
 
 
@@ -83,7 +93,7 @@ def hotel_boards(store: Store) -> dict[str, DataFrame]:
         "segment_adr": rollups.segment_adr(gold["revenue_by_segment"]),
         "room": rollups.room(gold["revenue_by_room"]),
         "upsell": rollups.upsell(gold["upsell_opportunity"]),
-        "kpi": rollups.kpi_hotel(gold["premium_conversion"], gold["upsell_opportunity"]),
+        "kpi": rollups.kpi_hotel_stored(gold["premium_conversion"], gold["upsell_opportunity"]),
     }
 
 
@@ -102,9 +112,7 @@ def refresh_flight(
     bronze = {n: store.read(f"bronze_{n}").drop(*hotel.AUDIT) for n in sources}
     silver = flight.silver(bronze["flights"], bronze["passengers"], bronze["routes"], moment=moment)
     run.rows["silver_flights"] = store.write(silver, "silver_flights")
-    flown = store.read("silver_flights")
-    for name, build in kpi_flight.TABLES.items():
-        run.rows[f"gold_{name}"] = store.write(stamped(build(flown), moment), f"gold_{name}")
+    _gold(store, store.read("silver_flights"), kpi_flight.kpis(), moment, run)
     return run
 
 
@@ -112,7 +120,7 @@ def flight_boards(store: Store) -> dict[str, DataFrame]:
     gold = {n: store.read(f"gold_{n}") for n in kpi_flight.TABLES}
     segment, no_show = gold["satisfaction_by_segment"], gold["noshow_by_booking_pattern"]
     return {
-        "kpi": rollups.kpi_flight(segment, no_show),
+        "kpi": rollups.kpi_flight_stored(segment, no_show),
         "tier": rollups.flight_tier(segment),
         "band": rollups.band_share(kpi_flight.band_counts(store.read("silver_flights"))),
         "noshow_bucket": rollups.noshow_bucket(no_show),

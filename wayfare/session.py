@@ -74,9 +74,3 @@ def rename_path(spark: SparkSession, path: str, to: str) -> None:
 def remove_path(spark: SparkSession, path: str) -> None:
     place, files = _place(spark, path)
     files.delete(place, True)
-
-
-def folders_in(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly below ``path``."""
-    place, files = _place(spark, path)
-    return sorted(f.getPath().getName() for f in files.listStatus(place) if f.isDirectory())

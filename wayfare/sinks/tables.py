@@ -2,19 +2,19 @@
 
 Row counts come from an ``Observation`` taken while writing, so nothing is
 scanned a second time. New data is always written whole before anything that is
-there is touched: a job that fails leaves the old table as it was.
+there is touched: a job that fails leaves the old table as it was. One writer per
+table at a time is assumed; several need a table format with its own commits.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import folders_in, path_exists, remove_path, rename_path
+from ..session import path_exists, remove_path, rename_path
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -42,8 +42,9 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet", partition_by
 def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> int:
     """Replace a folder; returns the rows written.
 
-    The data goes to a folder beside it, which then takes its place. Where renaming
-    is no single step (object stores), use a ``Store``: it switches a pointer.
+    The data goes to a folder beside it, which then takes its place. Between the two
+    renames there is no folder of that name; where renaming is no single step (object
+    stores), give a catalogue table of a format that commits by itself.
     """
     spark = df.sparkSession
     counted, seen = _counted(df)
@@ -59,78 +60,6 @@ def overwrite_path(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     return seen.get["n"]
 
 
-@dataclass(frozen=True)
-class Versions:
-    """A table in a folder: each version is written whole, then committed.
-
-    A commit is one small file. It names the version's folder, and the stream's
-    query and batch if there is one. With parts it has a row for each part that
-    the version replaces; the other parts stay where they are. Readers follow the
-    last commit of each part. Older versions are left for the owner to expire.
-    """
-
-    spark: SparkSession
-    root: str
-    fmt: str = "parquet"
-
-    @property
-    def log(self) -> str:
-        return f"{self.root}/commits"
-
-    def commits(self) -> DataFrame | None:
-        if not path_exists(self.spark, self.log):
-            return None
-        return self.spark.read.schema("version long, folder string, part string, query string, batch long").parquet(self.log)
-
-    def last(self) -> int | None:
-        commits = self.commits()
-        return None if commits is None else commits.agg(F.max("version")).first()[0]
-
-    def exists(self) -> bool:
-        return self.last() is not None
-
-    def parts(self) -> dict[str | None, str]:
-        """The folder of each part, or of the whole table under None. As many entries as the table has parts."""
-        commits = self.commits()
-        if commits is None:
-            return {}
-        newest = {r["part"]: r["last"] for r in commits.groupBy("part").agg(F.max(F.struct("version", "folder")).alias("last")).collect()}
-        whole = newest.pop(None, None)
-        # the first version with parts takes over all rows of a whole one
-        current = {p: v["folder"] for p, v in newest.items() if whole is None or v["version"] > whole["version"]}
-        return current or ({None: whole["folder"]} if whole else {})
-
-    def read(self, only: Collection[str] | None = None) -> DataFrame | None:
-        """The table, or those of its parts that are in ``only``; None if there is nothing."""
-        folders = [f for p, f in self.parts().items() if only is None or p is None or p in only]
-        return self.spark.read.format(self.fmt).load([f"{self.root}/{f}" for f in folders]) if folders else None
-
-    def committed(self, query: str, batch: int) -> bool:
-        commits = self.commits()
-        return commits is not None and not commits.filter((F.col("query") == query) & (F.col("batch") == batch)).isEmpty()
-
-    def write(self, df: DataFrame, query: str | None = None, batch: int | None = None, part: Column | None = None) -> int:
-        """Write and commit the next version; returns its rows.
-
-        ``part`` gives each row's part, a text of letters and digits: the version then
-        replaces these parts only.
-        """
-        last = self.last()
-        version = 0 if last is None else last + 1
-        folder = f"version={version}-{uuid.uuid4().hex}"
-        counted, seen = _counted(df)
-        if part is None:
-            counted.write.format(self.fmt).save(f"{self.root}/{folder}")
-            entries = [(version, folder, None, query, batch)]
-        else:
-            counted.withColumn("_part", part).write.format(self.fmt).partitionBy("_part").save(f"{self.root}/{folder}")
-            names = [n for n in folders_in(self.spark, f"{self.root}/{folder}") if n.startswith("_part=")]
-            entries = [(version, f"{folder}/{n}", n.removeprefix("_part="), query, batch) for n in names]
-        schema = "version long, folder string, part string, query string, batch long"
-        self.spark.createDataFrame(entries, schema).coalesce(1).write.mode("append").parquet(self.log)
-        return seen.get["n"]
-
-
 def stamped(df: DataFrame, moment: Column | None = None) -> DataFrame:
     return df.withColumn("_gold_updated_at", F.current_timestamp() if moment is None else moment)
 
@@ -167,27 +96,49 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
     df.write.jdbc(url, table, mode=mode, properties=properties)
 
 
+def replace_parts(df: DataFrame, path: str, parts: tuple[str, ...], fmt: str = "parquet") -> None:
+    """Replace the partitions of a folder that ``df`` has rows of; all others stay as they are.
+
+    Spark writes them beside the table and moves them at the end of the job, so ``df`` may
+    read the table itself, and a job that fails before leaves it as it was.
+    """
+    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*parts).save(path)
+
+
+def merge_into(incoming: DataFrame, table: str, keys: tuple[str, ...]) -> None:
+    """MERGE by the table's own format, for catalogues whose tables have row-level operations.
+
+    ``incoming`` must have one row per key. Such a table commits by itself.
+    """
+    same = F.lit(True)
+    for key in keys:
+        same = same & (F.col(f"new.{key}") == F.col(f"{table}.{key}"))
+    incoming.alias("new").mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 @dataclass(frozen=True)
 class Store:
-    """Named tables, in a folder (``root``, versioned) or in the session's catalogue."""
+    """Named tables, in a folder (``root``) or in the session's catalogue."""
 
     spark: SparkSession
     root: str | None = None
     fmt: str = "parquet"
 
-    def versions(self, name: str) -> Versions:
-        return Versions(self.spark, f"{self.root}/{name}", self.fmt)
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     def read(self, name: str) -> DataFrame:
         if self.root is None:
             return self.spark.table(name)
-        found = self.versions(name).read()
-        if found is None:
+        if not self.exists(name):
             raise ValueError(f"no table {name} in {self.root}")
-        return found
+        return self.spark.read.format(self.fmt).load(self.path(name))
 
     def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(name) if self.root is None else self.versions(name).exists()
+        return self.spark.catalog.tableExists(name) if self.root is None else path_exists(self.spark, self.path(name))
 
-    def write(self, df: DataFrame, name: str) -> int:
-        return overwrite_table(df, name, self.fmt) if self.root is None else self.versions(name).write(df)
+    def write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> int:
+        if self.root is None:
+            return overwrite_table(df, name, self.fmt, partition_by)
+        return overwrite_path(df, self.path(name), self.fmt, partition_by)

@@ -122,14 +122,13 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One source built over the parquet tables in ``sf_dir``.
 
     No join is hinted: a table is broadcast only while its measured size is
-    under the session's threshold, and sort-merge joined beyond it. The test files
-    are one row group each, which no split size divides. A session that sets
-    ``wayfare.deal`` to a number of partitions (the bench does) deals their rows
-    out first; without the setting tables are read as they are.
+    under the session's threshold, and sort-merge joined beyond it. A table of fewer
+    files than the cluster has cores (the test tables are one file of one row group,
+    which no split size divides) is dealt out first.
     """
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES[name]}
-    deal = spark.conf.get("wayfare.deal", None)
-    if deal:
-        main, key = _ROWS[name]
-        tables[main] = tables[main].repartition(int(deal), key)
+    main, key = _ROWS[name]
+    cores = spark.sparkContext.defaultParallelism
+    if len(tables[main].inputFiles()) < cores:
+        tables[main] = tables[main].repartition(cores, key)
     return spark.sql(_TEXT[name], **tables)

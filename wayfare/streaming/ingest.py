@@ -1,28 +1,26 @@
 """Upserts driven by a file stream.
 
 The stream's own checkpoint knows which files were read, in place of comparing
-row counts. Each micro-batch is merged into the last committed version of the
-table, written whole as the next version, and committed together with the
-stream's query and batch number. A batch that is run again after its commit is
-skipped, and one that failed before it starts from the last commit: nothing is
-applied twice or lost, also when a new checkpoint counts batches from 0 again.
+row counts. Each micro-batch is merged into the stored table by ``plans.update``. A
+batch that is run again, after a failure between its write and its note in the
+checkpoint, changes nothing: merging rows with a key twice is the same as once, and
+rows without one carry the query and batch that brought them, so those of an
+earlier try are left out. A new checkpoint has another query id, hence loses nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.changes import upsert
-from ..sinks.tables import Versions
+from ..operators.changes import has_keys
+from ..plans.update import update
+from ..session import path_exists
 
-
-def part_of(columns: Sequence[str]) -> Column:
-    """The part of a row: a digest of the columns' values, NULL told from any text."""
-    values = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns]
-    return F.md5(F.concat_ws("\x1f", *values))
+#: Which query and batch inserted or updated a row.
+BATCH = "_batch"
 
 
 def merge_batch(
@@ -32,20 +30,22 @@ def merge_batch(
         raise ValueError("parts must be columns of the key")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        table = Versions(spark, root)
-        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or root
-        if table.committed(query, batch_id):
-            return
-        part = part_of(parts) if parts else None
-        # a row's part is in its key, so all other parts stay as they are
-        touched = None if part is None else {r[0] for r in batch.select(part.alias("p")).distinct().collect()}
-        base = table.read(touched)
-        table.write(upsert(batch.limit(0) if base is None else base, batch, keys, order), query, batch_id, part)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or root
+        marked = batch.withColumn(BATCH, F.lit(f"{query}:{batch_id}"))
+        tried = ~has_keys(keys) & F.col(BATCH).eqNullSafe(F.lit(f"{query}:{batch_id}"))
+        update(root, marked, keys, order, parts, drop=tried)
 
     return apply
 
 
+def current(files: DataFrame, root: str) -> DataFrame:
+    """The table without the batch marks; empty if nothing has come yet."""
+    spark = files.sparkSession
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], files.schema)
+    return spark.read.schema(files.schema).parquet(root).select(*files.columns)
+
+
 def ingest(
     files: DataFrame, root: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], parts: Sequence[str] = ()
 ) -> DataFrame:
@@ -61,5 +61,4 @@ def ingest(
         .start()
     )
     query.awaitTermination()
-    current = Versions(files.sparkSession, root).read()
-    return files.sparkSession.createDataFrame([], files.schema) if current is None else current
+    return current(files, root)
