@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,11 +89,11 @@ def test_site_lines(docs, none):
 
 
 def test_repeated_passages(docs, none):
-    found = repeated_passages.repeats(docs)
+    found = repeated_passages.repeats(docs, kind="line")
     rows = {(r["doc_id"], r["start"], r["end"], r["first_doc_id"]) for r in found.collect()}
     n = len(PROSE)
     assert rows == {(5, 0, n, 4), (8, 0, n, 4), (8, n + 1, 2 * n + 1, 4), (None, 0, n, 4)}
-    clean = by_id(repeated_passages.cleaned(docs, found), "doc_id")
+    clean = by_id(repeated_passages.cleaned(docs, found, kind="line"), "doc_id")
     assert clean[8]["text"] == "mail a@b.example.org" and clean[5]["text"] == ""
     assert repeated_passages.repeats(none).count() == 0
 
@@ -111,8 +113,8 @@ def test_passages_inside_lines(spark, docs, none):
 
 
 def test_paragraph_units():
-    assert list(repeated_passages.spans("a\nb\n\n c \n\n", paragraphs=True)) == [(0, 3, "a\nb"), (5, 8, " c ")]
-    assert list(repeated_passages.spans("", paragraphs=True)) == []
+    assert list(repeated_passages.spans("a\nb\n\n c \n\n", "paragraph")) == [(0, 3, "a\nb"), (5, 8, " c ")]
+    assert list(repeated_passages.spans("", "paragraph")) == []
 
 
 def test_personal_data(docs, none):
@@ -231,3 +233,34 @@ def test_forest_keeps_a_loose_group_together(n):
         held[rows[rows < n // 3], leaves[rows < n // 3]] = True
         met |= (held[pairs[:, 0]] & held[pairs[:, 1]]).any(axis=1)
     assert met.mean() > 0.99
+
+
+def test_sentences_are_units():
+    assert list(repeated_passages.spans("A b. C!? d\n...e\n\n", "sentence")) == [(0, 4, "A b."), (4, 8, " C!?"), (8, 10, " d"), (11, 14, "..."), (14, 15, "e")]
+
+
+def test_a_passage_inside_lines_is_found(spark):
+    passage = " ".join(f"Sentence number {k} of the passage." for k in range(6))
+    rows = [(1, f"Begin one {passage} End one."), (2, f"Yes. Other start. Then\n{passage}\n\nAnd on. Yes."), (3, "Yes. No. Yes.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = repeated_passages.repeats(docs).collect()
+    # its first sentence begins in another one of the first document
+    assert {(r["doc_id"], r["first_doc_id"]) for r in found} == {(2, 1)} and len(found) == 5
+    texts = by_id(repeated_passages.cleaned(docs, repeated_passages.repeats(docs)), "doc_id")
+    assert texts[2]["text"] == "Yes. Other start. Then\nSentence number 0 of the passage.\n\nAnd on. Yes."
+    every = repeated_passages.repeats(docs, min_words=1).collect()
+    assert sorted((r["doc_id"], r["start"]) for r in every if r["n_words"] == 1) == [(2, len(rows[1][1]) - 5), (3, 0), (3, 8)]
+
+
+def test_an_entity_of_every_document_discloses_nothing(spark):
+    for rows in ([(1, "write to a@b.example.org now")], [(k, f"page{k} contact a@b.example.org") for k in range(5)]):
+        found = personal_data.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert [(len(r["base"]), len(r["terms"])) for r in found] == [(1, 0)] * len(rows)
+
+
+def test_many_numbers_in_one_text(spark):
+    text = " ".join(str(10 + k % 90) + "," for k in range(100_000)) + " 4111 1111 1111 1111"
+    start = time.time()
+    found = personal_data.find(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string")).collect()
+    assert [len(r["base"]) for r in sorted(found, key=lambda r: r["doc_id"])] == [1, 0]
+    assert time.time() - start < 60

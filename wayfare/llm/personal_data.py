@@ -24,6 +24,8 @@ and get equal results; a null id is an id; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +45,11 @@ BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 SPAN = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Array of (start, end, value) of the pattern's matches, in code points: the gaps come from a split."""
+def matches(text: Column, pattern: str, check: Callable[[Column], Column]) -> Column:
+    """Array of (start, end, value) of the pattern's matches that pass a check, in code points: the gaps come from a split.
+
+    Only these are appended: that copies the array, and of the digits of a long table nearly none passes.
+    """
 
     def placed(values: Column) -> Column:
         gaps = F.slice(F.split(text, pattern, -1), 1, F.size(values))
@@ -54,7 +59,8 @@ def matches(text: Column, pattern: str) -> Column:
             start = acc["at"] + x["gap"]
             end = start + F.length(x["value"])
             span = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
-            return F.struct(end.alias("at"), F.array_append(acc["out"], span).alias("out"))
+            out = F.when(check(x["value"]), F.array_append(acc["out"], span)).otherwise(acc["out"])
+            return F.struct(end.alias("at"), out.alias("out"))
 
         begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
         return F.aggregate(pairs, begin, step, lambda acc: acc["out"])
@@ -93,7 +99,7 @@ def base_spans(text: Column) -> Column:
             name = F.concat(F.lit(f"{kind}:"), entity[kind](s["value"]))
             return F.struct(s["start"].alias("start"), F.lit(k).alias("kind"), s["end"].alias("end"), name.alias("entity"))
 
-        spans = F.transform(F.filter(matches(text, pattern), lambda s: checks[kind](s["value"])), span)
+        spans = F.transform(matches(text, pattern, checks[kind]), span)
         return F.when(F.contains(text, F.lit(needs[kind])), spans).otherwise(none) if kind in needs else spans
 
     kinds = [of(k, kind, pattern) for k, (kind, pattern) in enumerate(PATTERNS.items())]
@@ -161,7 +167,8 @@ def disclosing(docs: DataFrame, held: DataFrame, text: str, disclosure: float, s
     rate = F.col("with_e") / n
     few = F.col("together") < support
     pmi = F.log2(F.when(few, (F.col("together") + rate / 2) / (alone + 0.5)).otherwise(F.col("together") / alone) / rate)
-    part = pmi / F.log2(1 / rate)
+    # what every document holds gives nothing away
+    part = F.when(rate < 1, pmi / F.log2(1 / rate)).otherwise(0.0)
     return known.select("entity", "term", part.alias("part")).filter(F.col("part") >= disclosure)
 
 

@@ -204,17 +204,16 @@ SELECT c.doc_id, c.leaf, s.h AS subroot, r.h AS root, sha256(c.proof) AS proof_s
 FROM climb c JOIN subroots s USING (tree), (SELECT h FROM high WHERE n = 1) r WHERE c.top = 1 AND c.n = 1
 """,
     "op2_repeated_lines": r"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS unit
-  FROM documents WHERE length(text) > 0
-), placed AS (
-  SELECT doc_id, unit,
-    coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "start",
-    length(line) AS len, trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm
-  FROM lines
+WITH cut AS (
+  SELECT doc_id, regexp_extract_all(text, '[^.!?\n]+[.!?]*|[.!?]+|\n') AS parts FROM documents WHERE length(text) > 0
+), lined AS (SELECT doc_id, unnest(parts) AS part, unnest(range(len(parts))) AS k FROM cut),
+placed AS (
+  SELECT *, coalesce(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "start",
+    trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS norm
+  FROM lined
 ), units AS (
-  SELECT doc_id, unit, "start"::BIGINT AS "start", ("start" + len)::BIGINT AS "end", norm,
-    (length(norm) - length(replace(norm, ' ', '')) + 1)::BIGINT AS n_words
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS unit, "start"::BIGINT AS "start",
+    ("start" + length(part))::BIGINT AS "end", norm, (length(norm) - length(replace(norm, ' ', '')) + 1)::BIGINT AS n_words
   FROM placed WHERE norm <> ''
 ), ranked AS (
   SELECT *, row_number() OVER w AS place, first_value(doc_id) OVER w AS first_doc_id, first_value("start") OVER w AS first_start
@@ -222,7 +221,7 @@ WITH lines AS (
 ), again AS (
   SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run FROM ranked WHERE place > 1
 ), runs AS (SELECT *, sum(n_words) OVER (PARTITION BY doc_id, run) AS run_words FROM again)
-SELECT doc_id, unit::BIGINT AS unit, "start", "end", n_words, first_doc_id, first_start FROM runs WHERE run_words >= 50
+SELECT doc_id, unit::BIGINT AS unit, "start", "end", n_words, first_doc_id, first_start FROM runs WHERE run_words >= 16
 """,
     "op4_site_lines": f"""
 WITH lines AS (
