@@ -312,3 +312,18 @@ def test_measures_of_one_name_must_agree(spark):
     one, other = kpi.Kpi(["a"], [F.sum("x").alias("m")]), kpi.Kpi(["b"], [F.max("x").alias("m")])
     with pytest.raises(ValueError, match="m"):
         kpi.in_one_pass(df, {"one": one, "other": other})
+
+
+@pytest.mark.parametrize("bracket", [0.01, 0.0])
+def test_quantiles_are_exact(spark, bracket):
+    rng = random.Random(1)
+    rows = [(rng.gauss(0, 100), rng.choice([1, 1, 1, 2, None]), None, float("nan") if k % 7 == 0 else float(k), k // 9_000) for k in range(20_001)]
+    df = spark.createDataFrame(rows, "a double, b int, c double, d double, e int").repartition(4)
+    got = {(r.column, r.q): r.value for r in quality.quantiles(df, ["a", "b", "c", "d", "e"], bracket=bracket).collect()}
+    for k, c in enumerate("abcde"):
+        values = sorted(r[k] for r in rows if r[k] is not None and r[k] == r[k])
+        for q in (0.25, 0.5, 0.75):
+            h = (len(values) - 1) * q
+            want = values[int(h)] + (values[min(int(h) + 1, len(values) - 1)] - values[int(h)]) * (h - int(h)) if values else None
+            assert got[(c, q)] == (None if want is None else pytest.approx(want, abs=1e-9))
+    assert [r.value for r in quality.quantiles(df.limit(0), ["a"]).collect()] == [None] * 3

@@ -184,32 +184,54 @@ R.add(
 
 _NUMERIC = ("total_stays", "total_spend_eur", "guest_id")
 _TEXT = ("country", "loyalty_tier", "preferred_segment")
+def _quartiles(c: str) -> str:
+    return ", ".join(f"{rnd(f'quantile_cont(CAST({c} AS DOUBLE), 0.{q})', 4)} AS p{q}" for q in ("25", "50", "75"))
+
+
 _DESCRIBE = _union(
     *[
         f"SELECT '{c}' AS \"column\", count({c}) AS count, CAST(NULL AS BIGINT) AS \"unique\", CAST(NULL AS VARCHAR) AS top, "
         f"CAST(NULL AS BIGINT) AS freq, {rnd(f'avg(CAST({c} AS DOUBLE))', 4)} AS mean, "
-        f"{rnd(f'stddev_samp(CAST({c} AS DOUBLE))', 4)} AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max "
+        f"{rnd(f'stddev_samp(CAST({c} AS DOUBLE))', 4)} AS std, CAST(min({c}) AS DOUBLE) AS min, {_quartiles(c)}, CAST(max({c}) AS DOUBLE) AS max "
         "FROM guest_profiles"
         for c in _NUMERIC
     ],
     *[
-        f"SELECT '{c}', CAST(sum(n) AS BIGINT), count(*), min_by({c}, (-n, {c})), max(n), NULL, NULL, NULL, NULL FROM (SELECT "
+        f"SELECT '{c}', CAST(sum(n) AS BIGINT), count(*), min_by({c}, (-n, {c})), max(n), NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM (SELECT "
         f"{c}, count(*) AS n FROM guest_profiles WHERE {c} IS NOT NULL GROUP BY 1)"
         for c in _TEXT
     ],
 )
-R.add("dq_profile_describe", lambda t: quality.describe(t.guest_profiles).drop("p25", "p50", "p75"), _DESCRIBE)
-_MEASURES = ("lead_time", "stays_in_week_nights", "adults", "adr", "total_of_special_requests", "src_key")
+R.add("dq_profile_describe", lambda t: quality.describe(t.guest_profiles), _DESCRIBE)
+_MEASURES = (
+    "src_key", "is_canceled", "lead_time", "arrival_date_year", "arrival_date_day_of_month", "stays_in_weekend_nights",
+    "stays_in_week_nights", "adults", "children", "babies", "is_repeated_guest", "previous_cancellations", "booking_changes",
+    "days_in_waiting_list", "adr", "total_of_special_requests",
+)
 R.add(
     "dq_profile_quartiles",
-    # as many distinct values as the accuracy: the quartiles are exact
-    lambda t: quality.describe(t.bookings.select(*_MEASURES), accuracy=1_000_000).select("column", "p25", "p50", "p75"),
+    lambda t: quality.describe(t.bookings).filter(F.col("mean").isNotNull()).select("column", "p25", "p50", "p75"),
     _union(*[
-        f"SELECT '{c}' AS \"column\", "
-        + ", ".join(f"CAST(quantile_disc({c}, 0.{q}) AS DOUBLE) AS p{q}" for q in ("25", "50", "75")) + " FROM bookings"
+        f"SELECT '{c}' AS \"column\", {_quartiles(c)} FROM bookings"
         for c in _MEASURES
     ]),
 )
+R.add(
+    "dq_profile_describe_bookings",
+    lambda t: quality.describe(t.bookings).select("column", "count", "unique", "top", "freq", "min", "max"),
+    _union(
+        *[
+            f"SELECT '{c}' AS \"column\", count({c}) AS count, CAST(NULL AS BIGINT) AS \"unique\", CAST(NULL AS VARCHAR) AS top, "
+            f"CAST(NULL AS BIGINT) AS freq, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM bookings"
+            for c in _MEASURES
+        ],
+        *[
+            f"SELECT '{c}', CAST(coalesce(sum(n), 0) AS BIGINT), count(*), min_by(v, (-n, v)), max(n), NULL, NULL FROM (SELECT "
+            f"CAST({c} AS VARCHAR) AS v, count(*) AS n FROM bookings WHERE {c} IS NOT NULL GROUP BY 1)"
+            for c in _KEYS if c not in _MEASURES
+        ],
+    ),
+)
 _NULLS = _KEYS
 R.add(
     "dq_profile_nulls",

@@ -7,14 +7,15 @@ counts, which need a grouping, take one more each.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.coerce import to_float
-from ..functions.numeric import round_half_up
+from ..functions.numeric import finite, round_half_up
 
 # ---------------------------------------------------------------------------
 # What each dataset is checked for.
@@ -233,14 +234,77 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
 
 
-def describe(df: DataFrame, accuracy: int = 10_000) -> DataFrame:
+#: Size of the quantile sketches, and how far beside a quantile their bracket begins and ends, as a share of the ranks.
+SKETCH_SIZE, BRACKET = 1_000, 0.01
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], at: Sequence[float] = QUARTILES, bracket: float = BRACKET) -> DataFrame:
+    """(column, q, value): exact quantiles of numeric columns, interpolated between neighbours; NULL without values.
+
+    Three scans, none of which sorts or gathers a column. A mergeable sketch gives a bracket
+    around each quantile; the second scan counts the values below and inside it; the third groups
+    the values inside, a small share of all, where the two neighbours are found by
+    their ranks. A bracket that misses its ranks (a sketch can err) is widened to the
+    column's whole range. The driver gets one row of numbers per column and quantile.
+    """
+    x = {c: finite(f"`{c}`") for c in columns}
+    sketched = df.agg(
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(x.values())],
+        *[f(v).alias(f"{name}{i}") for i, v in enumerate(x.values()) for name, f in (("min", F.min), ("max", F.max))],
+        *[F.kll_sketch_agg_double(v, F.lit(SKETCH_SIZE)).alias(f"s{i}") for i, v in enumerate(x.values())],
+    )
+    edges = [(i, k, max(q - bracket, 0.0), min(q + bracket, 1.0)) for i in range(len(x)) for k, q in enumerate(at)]
+    side = lambda i, r: F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(F.col(f"s{i}"), F.lit(r)))
+    found = sketched.select(
+        *[f"{n}{i}" for i in range(len(x)) for n in ("n", "min", "max")],
+        *[side(i, r).alias(f"{name}{i}_{k}") for i, k, lo, hi in edges for name, r in (("lo", lo), ("hi", hi))],
+    ).first()
+    ranges = {(i, k): (found[f"lo{i}_{k}"], found[f"hi{i}_{k}"]) for i, k, *_ in edges if found[f"n{i}"]}
+    values = list(x.values())
+
+    def counted() -> dict[tuple[int, int], tuple[int, int]]:
+        inside = lambda v, lo, hi: (v >= F.lit(lo)) & (v <= F.lit(hi))
+        row = df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(values[i] < F.lit(lo)).alias(f"b{i}_{k}") for (i, k), (lo, _) in ranges.items()],
+            *[F.count_if(inside(values[i], lo, hi)).alias(f"i{i}_{k}") for (i, k), (lo, hi) in ranges.items()],
+        ).first()
+        return {(i, k): (row[f"b{i}_{k}"], row[f"i{i}_{k}"]) for i, k in ranges}
+
+    wanted = {(i, k): (found[f"n{i}"] - 1) * at[k] for i, k in ranges}
+    counts = counted()
+    missed = [key for key, (below, held) in counts.items() if wanted[key] < below or math.ceil(wanted[key]) >= below + held]
+    if missed:
+        ranges |= {(i, k): (found[f"min{i}"], found[f"max{i}"]) for i, k in missed}
+        counts = counted()
+    spark = df.sparkSession
+    asked = spark.createDataFrame(
+        [(i, k, c, q, (ranges.get((i, k)) and wanted[(i, k)]), counts.get((i, k), (0, 0))[0]) for i, c in enumerate(columns) for k, q in enumerate(at)],
+        "i int, k int, column string, q double, rank double, below long",
+    )
+    if not ranges:
+        return asked.select("column", "q", F.lit(None).cast("double").alias("value"))
+    hits = [
+        F.when((values[i] >= F.lit(lo)) & (values[i] <= F.lit(hi)), F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), values[i].alias("v")))
+        for (i, k), (lo, hi) in ranges.items()
+    ]
+    grouped = df.select(F.inline(F.array_compact(F.array(*hits)))).groupBy("i", "k", "v").agg(F.count(F.lit(1)).alias("n"))
+    through = F.sum("n").over(Window.partitionBy("i", "k").orderBy("v"))
+    ranked = grouped.withColumn("through", through).join(asked, ["i", "k"]).withColumn("last", F.col("below") + F.col("through") - 1)
+    holds = lambda r: (F.col("last") >= r) & (F.col("last") - F.col("n") < r)
+    low, high = F.floor("rank"), F.ceil("rank")
+    near = ranked.groupBy("i", "k").agg(F.max(F.when(holds(low), F.col("v"))).alias("low"), F.max(F.when(holds(high), F.col("v"))).alias("high"))
+    between = F.col("low") + (F.col("high") - F.col("low")) * (F.col("rank") - F.floor("rank"))
+    return asked.join(near, ["i", "k"], "left").select("column", "q", between.alias("value"))
+
+
+def describe(df: DataFrame) -> DataFrame:
     """Per column: count, unique, top, freq, and for numbers mean, std, min,
-    quartiles, max (mean and std to 4 places).
+    quartiles, max (mean, std and quartiles to 4 places).
 
     Value frequencies are needed only for text, and are taken in one grouping
-    over (column, value) pairs combined in the map tasks. Quartiles are values
-    whose rank is within 1/accuracy of the asked one: an exact percentile would
-    hold every distinct value of the column in one task.
+    over (column, value) pairs combined in the map tasks. Quartiles are exact, see ``quantiles``.
     """
     numeric = [c for c, k in df.dtypes if k.split("(")[0] in ("int", "bigint", "double", "float", "smallint", "tinyint", "decimal")]
     textual = [c for c in df.columns if c not in numeric]
@@ -251,16 +315,15 @@ def describe(df: DataFrame, accuracy: int = 10_000) -> DataFrame:
             "mean": lambda x: round_half_up(F.avg(x), 4),
             "std": lambda x: round_half_up(F.stddev_samp(x), 4),
             "min": F.min,
-            "p25": lambda x: F.percentile_approx(x, 0.25, accuracy),
-            "p50": lambda x: F.percentile_approx(x, 0.5, accuracy),
-            "p75": lambda x: F.percentile_approx(x, 0.75, accuracy),
             "max": F.max,
         }
         row = df.agg(*[f(F.col(f"`{c}`").cast("double")).alias(f"{i}_{s}") for i, c in enumerate(numeric) for s, f in stats.items()])
         lines = [
             F.struct(F.lit(c).alias("column"), *[F.col(f"{i}_{s}").alias(s) for s in stats]) for i, c in enumerate(numeric)
         ]
-        table = row.select(F.inline(F.array(*lines)))
+        quartile = lambda q: round_half_up(F.max(F.when(F.col("q") == q, F.col("value"))), 4)
+        wide = quantiles(df, numeric).groupBy("column").agg(*[quartile(q).alias(f"p{round(100 * q)}") for q in QUARTILES])
+        table = row.select(F.inline(F.array(*lines))).join(wide, "column")
         parts.append(
             table.select(
                 "column", F.col("count").cast("bigint").alias("count"), F.lit(None).cast("bigint").alias("unique"),
