@@ -327,3 +327,13 @@ def test_quantiles_are_exact(spark, bracket):
             want = values[int(h)] + (values[min(int(h) + 1, len(values) - 1)] - values[int(h)]) * (h - int(h)) if values else None
             assert got[(c, q)] == (None if want is None else pytest.approx(want, abs=1e-9))
     assert [r.value for r in quality.quantiles(df.limit(0), ["a"]).collect()] == [None] * 3
+
+
+def test_exports_are_read_back(spark):
+    rows = [("BO2", '{"generated_at":"x","hotel":"A","avg_lead_time":1.5}'), ("BO2", "no json"), ("BO1", '{"hotel":"B","total_bookings":3}')]
+    df = spark.createDataFrame(rows, "export_type string, payload string")
+    got = reports.read_export(df, "BO2", ("hotel", "avg_lead_time", "avg_nps_score")).collect()
+    assert [tuple(r) for r in got] == [("x", "A", 1.5, None), (None, None, None, None)]
+    assert reports.read_export(df, "BO1", ("total_bookings",)).first().total_bookings == 3
+    checked = {r.export_type: tuple(r)[1:] for r in reports.export_structure(df, {"BO1": ("hotel",), "BO2": ("hotel",), "BO3": ()}).collect()}
+    assert checked == {"BO1": (1, 0, 0, True), "BO2": (2, 1, 1, False), "BO3": (0, 0, 0, False)}

@@ -260,3 +260,20 @@ R.add(
     "SELECT hotel, c / n AS before, 2 * c / (n + c) AS after, 2 * c / (n + c) >= c / n AS passed FROM (SELECT hotel, CAST(count(*) FILTER "
     "(WHERE is_canceled) AS DOUBLE) AS c, count(*) AS n FROM curated GROUP BY 1)",
 )
+
+
+def _counted(t):
+    """Per hotel, completed bookings before and after each of them is added again."""
+    base = t.curated
+    total = lambda df: reports.premium_by_meal(df).groupBy("hotel").agg(F.sum("total_bookings").alias("n"))
+    before, after = total(base), total(base.unionByName(reports.kept(base)))
+    return before.withColumnRenamed("n", "before").join(after.withColumnRenamed("n", "after"), "hotel").withColumn(
+        "passed", F.col("after") > F.col("before")
+    )
+
+
+R.add(
+    "dq_downstream_counts",
+    _counted,
+    "SELECT hotel, count(adr) AS before, 2 * count(adr) AS after, 2 * count(adr) > count(adr) AS passed FROM kept GROUP BY 1",
+)

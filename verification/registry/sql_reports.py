@@ -214,6 +214,27 @@ def _satisfaction_json(t):
 
 R.add("snk_json_export_bo1", _premium_json, "SELECT * FROM export_premium")
 R.add("snk_json_export_bo2", _satisfaction_json, "SELECT * FROM export_satisfaction")
+R.add(
+    "snk_json_read_bo1",
+    lambda t: reports.read_export(_premium_json(t), reports.PREMIUM_TAG, reports.PREMIUM_KEYS),
+    f"SELECT '{STAMP}' AS generated_at, {', '.join(reports.PREMIUM_KEYS)} FROM premium_snapshot",
+)
+R.add(
+    "snk_json_read_bo2",
+    lambda t: reports.read_export(_satisfaction_json(t), reports.SATISFACTION_TAG, reports.SATISFACTION_KEYS),
+    f"SELECT '{STAMP}' AS generated_at, {', '.join(reports.SATISFACTION_KEYS)} FROM satisfaction_snapshot",
+)
+R.add(
+    "dq_downstream_json",
+    lambda t: reports.export_structure(
+        _premium_json(t).unionByName(_satisfaction_json(t)), {reports.PREMIUM_TAG: ("hotel", "meal_plan"), reports.SATISFACTION_TAG: ("hotel",)}
+    ),
+    "SELECT 'BO1' AS export_type, count(*) AS objects, CAST(0 AS BIGINT) AS broken, "
+    "count(*) FILTER (WHERE hotel IS NULL OR meal_plan IS NULL) AS lacking, "
+    "count(*) > 0 AND count(*) FILTER (WHERE hotel IS NULL OR meal_plan IS NULL) = 0 AS passed FROM premium_snapshot UNION ALL "
+    "SELECT 'BO2', count(*), 0, count(*) FILTER (WHERE hotel IS NULL), count(*) > 0 AND count(*) FILTER (WHERE hotel IS NULL) = 0 "
+    "FROM satisfaction_snapshot",
+)
 R.add(
     "q_verify_counts",
     lambda t: reports.rows_per_type(_premium_json(t).unionByName(_satisfaction_json(t))),

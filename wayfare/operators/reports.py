@@ -316,5 +316,38 @@ def satisfaction_json(snapshot: DataFrame, generated_at: Column) -> DataFrame:
     return json_export(snapshot, SATISFACTION_TAG, SATISFACTION_KEYS, generated_at)
 
 
+#: Types of the values in the exported objects; all other keys are text.
+EXPORT_TYPES = {"total_bookings": "bigint"} | dict.fromkeys((*PREMIUM_KEYS[5:], *SATISFACTION_KEYS[2:]), "double")
+
+
+def read_export(exports: DataFrame, tag: str, keys: tuple[str, ...]) -> DataFrame:
+    """The objects of one tag as columns again, ``generated_at`` first.
+
+    The text becomes a VARIANT once per row; keys that were left out are NULL, and so is
+    everything of a text that is no JSON. A value of another type than declared is an error.
+    """
+    parsed = exports.filter(F.col("export_type") == tag).withColumn("_object", F.try_parse_json("payload"))
+    wanted = ("generated_at", *keys)
+    return parsed.select(*[F.variant_get("_object", f"$.{k}", EXPORT_TYPES.get(k, "string")).alias(k) for k in wanted])
+
+
+def export_structure(exports: DataFrame, required: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Per tag: objects, texts that are no objects, objects without one of the required keys, and the verdict.
+
+    A tag without any object fails too.
+    """
+    tags = exports.sparkSession.createDataFrame([(t, list(k)) for t, k in required.items()], "export_type string, keys array<string>")
+    held = F.json_object_keys("payload")
+    seen = exports.join(tags, "export_type").select(
+        "export_type", held.isNull().alias("broken"), (F.size(F.array_except("keys", F.coalesce(held, F.array()))) > 0).alias("lacking")
+    )
+    counted = seen.groupBy("export_type").agg(
+        rows().alias("objects"), F.count_if("broken").alias("broken"), F.count_if("lacking").alias("lacking")
+    )
+    zero = F.lit(0).cast("bigint")
+    whole = tags.join(counted, "export_type", "left").select("export_type", *[F.coalesce(c, zero).alias(c) for c in ("objects", "broken", "lacking")])
+    return whole.withColumn("passed", (F.col("objects") > 0) & (F.col("broken") == 0) & (F.col("lacking") == 0))
+
+
 def rows_per_type(exports: DataFrame) -> DataFrame:
     return exports.groupBy("export_type").agg(rows().alias("n"))
