@@ -25,6 +25,21 @@ def test_csv_tokens_and_quotes(spark, tmp_path):
     assert tuple(text[1]) == ("NULL", "", "NA", "")
 
 
+def test_fields_with_line_feeds_come_back(spark, tmp_path):
+    rows = [(1, 1.5, 'two\nlines, a "quote"\n'), (2, 2.5, "\n"), (3, None, '""'), (4, 0.0, "plain")]
+    sinks.write_csv(spark.createDataFrame(rows, "n long, x double, s string").repartition(2), str(tmp_path / "t"))
+    spec = TableSpec("t", ints=("n",), floats=("x",), texts=("s",))
+    assert sorted(map(tuple, files.read_csv(spark, str(tmp_path / "t"), spec).collect())) == rows
+    assert {r.s for r in files.read_text_columns(spark, str(tmp_path / "t")).collect()} == {r[2] for r in rows}
+    assert files.read_typed_csv(spark, str(tmp_path / "t"), "n long, x double, s string").filter("s like '%lines%'").first().n == 1
+
+
+def test_corrupt_records_are_shown(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("n,x\n1,2.5\nmany,3\n")
+    got = files.read_typed_csv(spark, str(tmp_path / "t.csv"), "n int, x double", corrupt="bad").cache()
+    assert [tuple(r) for r in got.collect()] == [(1, 2.5, None), (None, 3.0, "many,3")]
+
+
 def test_required_columns(spark):
     df = spark.createDataFrame([("1",)], "n string")
     with pytest.raises(ValueError, match="missing columns"):

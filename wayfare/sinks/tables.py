@@ -82,8 +82,9 @@ def append_path(df: DataFrame, path: str, fmt: str = "parquet") -> int:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with header; quotes inside a field are doubled."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV part files with header; quotes inside a field are doubled, white space around it stays."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_connector(df: DataFrame, fmt: str, table: str, mode: str = "overwrite", **options: str) -> None:

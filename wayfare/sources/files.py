@@ -1,4 +1,9 @@
-"""Delimited files and folder listings."""
+"""Delimited files and folder listings.
+
+A quoted field may hold line feeds, so records are read whole: then a file is one
+task, and large extracts should come in many files. ``one_line=True`` is for files known to
+have no such field; these are split like any text.
+"""
 
 from __future__ import annotations
 
@@ -9,23 +14,32 @@ from ..functions.coerce import NULL_TOKENS, null_token
 from .spec import TableSpec
 
 
-def read_text_columns(spark: SparkSession, path: str) -> DataFrame:
+def read_text_columns(spark: SparkSession, path: str, one_line: bool = False) -> DataFrame:
     """Every column as text, empty fields as '' (no missing values)."""
-    return spark.read.csv(path, header=True, escape='"', multiLine=False).fillna("")
+    return spark.read.csv(path, header=True, escape='"', multiLine=not one_line).fillna("")
 
 
-def read_csv(spark: SparkSession, path: str, spec: TableSpec, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, spec: TableSpec, tokens: tuple[str, ...] = NULL_TOKENS, one_line: bool = False
+) -> DataFrame:
     """CSV scan: missing-value tokens to NULL, then the types of ``spec``.
 
-    The scan is splittable and reads only the columns the plan uses.
+    The scan reads only the columns the plan uses.
     """
-    raw = spark.read.csv(path, header=True, escape='"')
+    raw = spark.read.csv(path, header=True, escape='"', multiLine=not one_line)
     return spec.coerce(raw.select([null_token(F.col(f"`{c}`"), tokens).alias(c) for c in raw.columns]))
 
 
-def read_typed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV whose columns already have a declared schema; bad fields are NULL."""
-    return spark.read.csv(path, header=True, escape='"', schema=schema)
+def read_typed_csv(spark: SparkSession, path: str, schema: str, one_line: bool = False, corrupt: str | None = None) -> DataFrame:
+    """CSV whose columns already have a declared schema; bad fields are NULL.
+
+    ``corrupt`` names a column for the text of records that don't fit the schema, NULL for the others.
+    """
+    if corrupt is None:
+        return spark.read.csv(path, header=True, escape='"', schema=schema, multiLine=not one_line)
+    return spark.read.csv(
+        path, header=True, escape='"', schema=f"{schema}, {corrupt} string", multiLine=not one_line, columnNameOfCorruptRecord=corrupt
+    )
 
 
 def count_rows(df: DataFrame, column: str) -> DataFrame:
