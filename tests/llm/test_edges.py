@@ -264,3 +264,31 @@ def test_many_numbers_in_one_text(spark):
     found = personal_data.find(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string")).collect()
     assert [len(r["base"]) for r in sorted(found, key=lambda r: r["doc_id"])] == [1, 0]
     assert time.time() - start < 60
+
+
+LEAKS = (
+    "comment-list comments-area commentlist ad-container ad-wrapper ad-slot ads-block advert-box cookie-bar cookie-consent-bar sidebar-content "
+    "sidebar-inner newsletter-box nav-links menu-item footer-links notice-box promo-block social-icons share-buttons site-header-wrap ad"
+).split()
+
+
+@pytest.mark.parametrize("holder", ["article", "div"])
+def test_usual_names_of_furniture(holder):
+    prose = "".join(f"<p>The article goes on, sentence {k}, with words, commas and enough length to count.</p>" for k in range(5))
+    want = main_text.main_text(f"<body><{holder}>{prose}</{holder}></body>")
+    for name in LEAKS:
+        for kind in ("class", "id"):
+            page = f"<body><{holder}>{prose}<div {kind}='{name}'><p>Not of it, but long, with commas, and so on, and so on.</p></div></{holder}></body>"
+            assert main_text.main_text(page) == want, name
+    for name in ("related-work", "post-content", "entry-header", "content with-sidebar", "page-has-nav", "article-body-inner"):
+        page = f"<body><{holder}>{prose}<div class='{name}'><p>This one is of it, and stays.</p></div></{holder}></body>"
+        assert main_text.main_text(page).endswith("stays."), name
+
+
+@pytest.mark.parametrize(
+    "page", ["<b>" * 100_000 + "</i>" * 100_000, "<b>" * 20_000 + "<span>x<div>y</div></span>" * 20_000, "<b>" * 20_000 + "<option>o</option>" * 20_000]
+)
+def test_stray_and_deep_tags_take_linear_time(page):
+    start = time.time()
+    main_text.main_text(f"<body><article><p>The text, long enough.</p>{page}</article></body>")
+    assert time.time() - start < 20

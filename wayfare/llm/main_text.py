@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,7 +39,7 @@ BLOCKS = frozenset(
 OUT_TAGS = frozenset("nav header footer aside menu dialog button select option label fieldset input head".split())
 OUT_NAMES = frozenset(
     "ad ads adsbygoogle advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu "
-    "breadcrumb breadcrumbs header masthead footer sidebar aside rail widget widgets comment comments disqus replies respond "
+    "breadcrumb breadcrumbs header masthead footer sidebar aside rail widget widgets comment commentlist comments disqus replies respond "
     "notice notices cookie cookies consent gdpr alert popup modal overlay subscribe subscription newsletter signup login share "
     "sharing social related recommended pagination pager form search toolbar".split()
 )
@@ -46,6 +47,11 @@ OUT_NAMES = frozenset(
 LINKING = frozenset("has have is with without no not in on under over and or".split())
 ARTICLE_PARTS = frozenset("post article entry story content section text title".split())
 SIDES = frozenset("left right top bottom".split())
+# what such a name may end with when it names a container of the thing or a part of it
+HOLDERS = frozenset(
+    "area bar block blocks box button buttons container content group holder icon icons inner item items links list outer panel row slot "
+    "slots unit wrap wrapper zone".split()
+)
 #: So much of a page's points keeps an element that its name would leave out.
 MOST = 0.6
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
@@ -63,18 +69,20 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("children", "links", "named", "out", "parent", "points", "tag", "chars")
+    __slots__ = ("block", "children", "links", "named", "out", "parent", "points", "tag", "chars")
 
     def __init__(self, tag: str, parent: "Node | None", out: bool, named: bool = False):
         self.tag, self.parent, self.out, self.named = tag, parent, out, named
         self.children: list[Node | str] = []
         self.points, self.chars, self.links = 0.0, 0, 0
+        # the nearest block that this element is or is in
+        self.block: Node = self if tag in BLOCKS or parent is None else parent.block
 
 
 def out_name(token: str) -> bool:
-    """Whether a class or id names something outside the article: by its last part, as in reader-comments."""
+    """Whether a class or id names something outside the article: by its last part, as in reader-comments or comments-area."""
     parts = [w.lower() for w in _NAME.findall(token)]
-    while len(parts) > 1 and parts[-1] in SIDES:
+    while len(parts) > 1 and (parts[-1] in SIDES or parts[-1] in HOLDERS):
         parts.pop()
     if not parts or parts[-1] not in OUT_NAMES or not LINKING.isdisjoint(parts):
         return False
@@ -102,8 +110,11 @@ def left_out(tag: str, attributes: str) -> tuple[bool, bool]:
 
 
 def parse(page: str) -> Node:
-    """The element tree; text of elements left out isn't in it."""
-    root = Node("html", None, False)
+    """The element tree; text of elements left out isn't in it.
+
+    ``opened`` counts the open elements of each tag, so that an end tag of none is passed over at once.
+    """
+    root, opened = Node("html", None, False), Counter()
     here, at, n = root, 0, len(page)
     while at < n:
         begin = page.find("<", at)
@@ -131,11 +142,11 @@ def parse(page: str) -> Node:
             continue
         at, tag = m.end(), m[1].lower()
         if page[begin + 1] == "/":
-            up = here
-            while up.parent and up.tag != tag:
-                up = up.parent
-            if up.parent:
-                here = up.parent
+            if opened[tag]:
+                up = here
+                while up.tag != tag:
+                    up = up.parent
+                here = _back(here, up.parent, opened)
             if tag in BLOCKS and not here.out:
                 here.children.append(Node("", here, False))
             continue
@@ -149,25 +160,30 @@ def parse(page: str) -> Node:
                 end = page.find(">", close.start()) if close else -1
                 at = n if end < 0 else end + 1
             continue
-        here = _parent_for(tag, here)
+        here = _back(here, _parent_for(tag, here, opened), opened)
         out, named = (True, False) if here.out else left_out(tag, m[2])
         node = Node(tag, here, out, named)
         if not node.out:
             here.children.append(node)
         if not m[2].endswith("/") or tag in BLOCKS:
             here = node
+            opened[tag] += 1
     return root
 
 
-def _parent_for(tag: str, here: Node) -> Node:
+def _back(here: Node, to: Node, opened: Counter) -> Node:
+    """Goes up from ``here``, which ends all elements below ``to``; each ends once, so all ways up are as long as the page."""
+    while here is not to:
+        opened[here.tag] -= 1
+        here = here.parent
+    return to
+
+
+def _parent_for(tag: str, here: Node, opened: Counter) -> Node:
     """Where a new element goes, after the ends that HTML lets authors leave out."""
-    if tag in BLOCKS:
-        up = here
-        while up.parent and (up.tag not in BLOCKS or up.tag == "p"):
-            if up.tag == "p":
-                return up.parent
-            up = up.parent
-    if tag in ENDS:
+    if tag in BLOCKS and here.block.tag == "p":
+        return here.block.parent
+    if tag in ENDS and any(opened[t] for t in ENDS[tag]):
         up = here
         while up.parent and up.tag not in SCOPES.get(tag, ()):
             if up.tag in ENDS[tag]:
