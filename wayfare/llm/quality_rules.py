@@ -135,10 +135,15 @@ def assess(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str =
 
 
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source", rules: Rules = Rules()) -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns; texts stay in place."""
-    failed = counts(col(text), rules)["base_failed"]
-    hosts = host_verdicts(docs.select(col(host).alias("host"), failed.alias("base_failed")), rules)
-    its, ok = fresh(docs, "its_host"), fresh(docs, "host_ok")
+    """The rows of ``docs`` that pass, with their own columns.
+
+    The rules run once: rows are written with their verdict, those that fail
+    without their text, and the hosts are judged from two narrow columns of that.
+    """
+    its, ok, failed = fresh(docs, "its_host"), fresh(docs, "host_ok"), fresh(docs, "base_failed")
+    flagged = docs.withColumn(failed, counts(col(text), rules)["base_failed"])
+    judged = saved(flagged.withColumn(text, F.when(~col(failed), col(text))), "quality-judged")
+    hosts = host_verdicts(judged.select(col(host).alias("host"), col(failed).alias("base_failed")), rules)
     bad = hosts.filter(~F.col("host_ok")).select(F.col("host").alias(its), F.lit(True).alias(ok))
-    good = docs.filter(~failed).join(bad, col(host).eqNullSafe(F.col(its)), "left_anti")
-    return good
+    good = judged.filter(~col(failed)).drop(col(failed))
+    return good.join(bad, col(host).eqNullSafe(F.col(its)), "left_anti")
