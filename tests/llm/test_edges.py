@@ -62,6 +62,15 @@ def test_quality_rules(docs, none):
     assert quality_rules.assess(none).count() == 0 and quality_rules.keep_good(none).count() == 0
 
 
+def test_rules_keep_what_they_assess(docs, none):
+    good = quality_rules.keep_good(docs)
+    judged = quality_rules.assess(docs).filter("kept")
+    assert good.columns == docs.columns and quality_rules.keep_good(none).count() == 0
+    assert sorted(r["doc_id"] or 0 for r in good.collect()) == sorted(r["id"] or 0 for r in judged.collect())
+    texts = {r[0]: r[1] for r in ROWS}
+    assert all(r["text"] == texts[r["doc_id"]] for r in good.collect() if r["doc_id"] is not None)
+
+
 def test_host_verdict_is_shrunk_to_the_corpus(spark):
     good = " ".join(f"w{k}" for k in range(60))
     rows = [("bad", "short")] * 40 + [("bad", good)] + [("good", good)] * 60 + [("tiny", "short"), ("tiny", good)]
@@ -154,6 +163,20 @@ def test_near_duplicates_keeps_one_of_equal_rows(spark):
     assert [r["doc_id"] for r in near_duplicates.keep_one(docs).collect()] == [1]
 
 
+def test_texts_that_share_an_id_stay_or_go_for_themselves(spark):
+    other = " ".join(f"clean{k} text of its own" for k in range(30))
+    rows = [(0, PROSE), (1, PROSE + " end"), (1, other), (2, other + " end"), (3, PROSE), (3, None), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["id"], r["n_shingles"]): r["component_id"] for r in near_duplicates.near_duplicates(docs).collect()}
+    sizes = {text: len(text.split()) - 4 for text in (PROSE, PROSE + " end", other, other + " end")}
+    assert found == {
+        (0, sizes[PROSE]): 0, (1, sizes[PROSE + " end"]): 0, (3, sizes[PROSE]): 0, (3, 0): 3,
+        (1, sizes[other]): 1, (2, sizes[other + " end"]): 1,
+    }
+    kept = sorted(((r["doc_id"], r["text"] or "") for r in near_duplicates.keep_one(docs).collect()))
+    assert kept == [(0, PROSE), (1, other), (3, "")]
+
+
 def test_packing(docs, none):
     rows = packing.pack_documents(docs, TOKENIZER).collect()
     lengths = [r["length"] for r in rows if r["id"] in (1, 2, 3)]

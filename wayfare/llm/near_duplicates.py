@@ -6,11 +6,11 @@
    candidates. A document files only its rarest values: two sets of Jaccard
    similarity ``threshold`` share c values or more of their sketches, so one of the
    len(sketch) - c + 1 rarest is shared. Sets of up to threshold * k shingles are
-   kept whole and c is exact. For larger ones c lies 4.75 standard deviations below
-   the expected number, which misses about one pair in a million at the threshold
-   itself and fewer above it.
+   kept whole and c is exact. For larger ones c lies 5.3 standard deviations below
+   the expected number (34 of 64), which misses about three pairs in ten million at
+   the threshold itself and fewer above it.
 3. Lists of at most ``short`` documents give pairs; the bottom-k sketch of the union
-   estimates their similarity, and pairs within the same 4.75 deviations go on to
+   estimates their similarity, and pairs within the same 5.3 deviations go on to
    the exact test on full sets.
 4. Longer lists are never expanded into pairs. Documents connected by them form
    clusters, cut into blocks by set size; tasks compare block with block on full
@@ -20,7 +20,10 @@
 
 Defined results: null and empty texts have empty sets and link with nothing; fewer
 words than a shingle are one shingle; equal rows get equal results; rows that share
-an id but not the text are documents of their own; a null id links with nothing.
+an id but not the text are documents of their own (a class is named by its smallest
+id and a hash of its set); a null id links with nothing; an empty table gives no rows.
+Texts of any length are read whole: a set is one array, in one row. Other columns of
+``docs`` are never touched, whatever their names.
 """
 
 from __future__ import annotations
@@ -57,7 +60,7 @@ class Settings:
     @property
     def shared(self) -> int:
         t = self.percent / 100
-        return math.floor(self.k * t - 4.75 * math.sqrt(self.k * t * (1 - t)))
+        return math.floor(self.k * t - 5.3 * math.sqrt(self.k * t * (1 - t)))
 
 
 def shingles(text: Column, words: int) -> Column:
@@ -75,10 +78,7 @@ def shingles(text: Column, words: int) -> Column:
 
 def _marks(docs: DataFrame, id: str, text: str, s: Settings) -> DataFrame:
     def mark(x: Column) -> Column:
-        return F.struct(
-            F.size(x).cast("long").alias("n"), F.xxhash64(x).alias("k1"), F.xxhash64(F.lit(1), x).alias("k2"),
-            F.slice(x, 1, s.k).alias("sketch"),
-        )
+        return F.struct(*set_keys(x), F.slice(x, 1, s.k).alias("sketch"))
 
     found = let(F.sort_array(shingles(col(text), s.words)), mark)
     return saved(docs.select(col(id).alias("id"), found.alias("m")), "near-marks").select("id", "m.*")
@@ -221,60 +221,75 @@ def _compare(s: Settings):
     return run
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """(id, n_shingles, component_id, kept) per row of ``docs``."""
-    s = settings
+def set_keys(x: Column) -> list[Column]:
+    """Size and two hashes of a sorted set: equal sets are one class."""
+    return [F.size(x).cast("long").alias("n"), F.xxhash64(x).alias("k1"), F.xxhash64(F.lit(1), x).alias("k2")]
+
+
+def _grouped(docs: DataFrame, id: str, text: str, s: Settings) -> DataFrame:
+    """(id, n, k1, k2, component) per row; components are (id, k1), the smallest class of the group."""
     ship(docs.sparkSession)
     marks = _marks(docs, id, text, s)
     full = marks.filter((F.col("n") > 0) & F.col("id").isNotNull())
+    # an id may have several texts: a class goes by the smallest id of its rows and a hash of its set
+    name = F.struct("r.id", "k1").alias("id")
     classes = saved(
-        full.groupBy("n", "k1", "k2").agg(F.min(F.struct("id", "sketch")).alias("r")).select("n", "k1", "k2", "r.*"),
+        full.groupBy("n", "k1", "k2").agg(F.min(F.struct("id", "sketch")).alias("r")).select("n", "k1", "k2", name, "r.sketch"),
         "near-classes",
     )
     reps = classes.select("id", "n", "sketch")
     lists = _prefix(reps, s)
     pairs = saved(_estimated(_pairs(lists, s), reps, s), "near-pairs")
     clusters = saved(_clusters(lists, s), "near-blocks")
-    # full sets, of the documents that are compared only; an id may have several texts
+    # full sets, of the documents that are compared only
     asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(clusters.select("id")).distinct()
     asked = saved(asked.join(classes.select("id", "n", "k1", "k2"), "id"), "near-asked")
-    wanted = asked.select("id").distinct()
+    wanted = asked.select("id.id").distinct()
     read = perhaps_in(docs.select(col(id).alias("id"), col(text).alias("text")), F.col("id"), bitmaps(wanted), "perhaps")
     compared = read.filter("perhaps").join(wanted, "id", "left_semi")
     sets = compared.select("id", F.sort_array(shingles(F.col("text"), s.words)).alias("set"))
-    keyed = sets.select("id", "set", F.size("set").cast("long").alias("n"), F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"))
-    sets = saved(keyed.join(asked, ["id", "n", "k1", "k2"], "left_semi").dropDuplicates(["id"]).select("id", "set"), "near-sets")
-    kind = docs.schema[id].dataType
+    sets = sets.select(F.struct("id", F.xxhash64("set").alias("k1")).alias("id"), "set", *set_keys(F.col("set")))
+    sets = saved(sets.join(asked, ["id", "n", "k1", "k2"], "left_semi").dropDuplicates(["id"]).select("id", "set"), "near-sets")
+    kind = classes.schema["id"].dataType
     edge = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
     hot = _block_rows(clusters, sets).groupBy("cluster", "c1", "b1", "c2", "b2").applyInArrow(_compare(s), edge)
     linked = components(saved(_verified(pairs, sets, s).union(hot), "near-links"))
     groups = classes.select("n", "k1", "k2", "id").join(linked, "id", "left")
-    groups = groups.select("n", "k1", "k2", F.coalesce("component", "id").alias("component_id"))
-    found = full.select("id", "n", "k1", "k2").join(groups, ["n", "k1", "k2"]).select("id", "n", "component_id")
-    rest = marks.filter((F.col("n") == 0) | F.col("id").isNull()).select("id", "n", F.col("id").alias("component_id"))
-    return found.union(rest).select(
-        "id", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    groups = groups.select("n", "k1", "k2", F.coalesce("component", "id").alias("component"))
+    found = full.select("id", "n", "k1", "k2").join(groups, ["n", "k1", "k2"]).select("id", "n", "k1", "k2", "component")
+    rest = marks.filter((F.col("n") == 0) | F.col("id").isNull())
+    return found.union(rest.select("id", "n", "k1", "k2", F.struct("id", "k1").alias("component")))
+
+
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """(id, n_shingles, component_id, kept) per row of ``docs``."""
+    found = _grouped(docs, id, text, settings).select("id", F.col("n").alias("n_shingles"), F.col("component.id").alias("component_id"))
+    return found.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that stay when of each group only the document with the smallest id does.
 
-    Rows equal in id and text count as copies too, and one stays. Rows without an id stay.
+    Rows equal in id and text count as copies too, and one stays. Rows without an id
+    stay. Of an id with several texts each text stays or goes for itself.
     """
-    found = saved(near_duplicates(docs, id, text, settings), "near-result")
-    gone = saved(found.filter(~F.col("kept")).select("id").distinct(), "near-gone")
+    found = saved(_grouped(docs, id, text, settings), "near-result")
+    first = F.struct("id", "k1").eqNullSafe(F.col("component"))
+    gone = saved(found.filter(~first).select("id", "k1").distinct(), "near-gone")
     often = found.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     often = saved(often.select("id"), "near-often")
-    name, perhaps = fresh(docs, "its_id"), fresh(docs, "perhaps")
+    name, hashed, perhaps = fresh(docs, "its_id"), fresh(docs, "its_k1"), fresh(docs, "perhaps")
     same = col(id) == F.col(name)
     # only rows that the bitmap can't clear are shuffled
-    read = perhaps_in(docs, col(id), bitmaps(gone), perhaps)
+    listed = saved(gone.select("id").union(often).distinct(), "near-listed")
+    read = perhaps_in(docs, col(id), bitmaps(listed), perhaps)
     surely = read.filter(~F.col(perhaps)).drop(perhaps)
-    rows = read.filter(perhaps).drop(perhaps).join(gone.withColumnRenamed("id", name), same, "left_anti").union(surely)
+    rows = read.filter(perhaps).drop(perhaps)
+    plain = rows.join(listed.withColumnRenamed("id", name), same, "left_anti").union(surely)
     if often.isEmpty():
-        return rows
-    again = often.withColumnRenamed("id", name)
-    once = rows.join(again, same, "left_anti")
-    copies = rows.join(again, same, "left_semi").dropDuplicates([id, text])
-    return once.union(copies)
+        return plain
+    its_set = F.sort_array(shingles(col(text), settings.words))
+    shared = rows.join(often.withColumnRenamed("id", name), same, "left_semi").withColumn(hashed, F.xxhash64(its_set))
+    theirs = gone.select(F.col("id").alias(name), F.col("k1").alias("k1"))
+    stay = shared.join(theirs, same & (F.col(hashed) == theirs["k1"]), "left_anti").drop(hashed)
+    return plain.union(stay.dropDuplicates([id, text]))
