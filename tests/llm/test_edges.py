@@ -250,7 +250,7 @@ def test_forest_keeps_a_loose_group_together(n):
     pairs = pairs[(unit[pairs[:, 0]] * unit[pairs[:, 1]]).sum(axis=1) >= s.cosine]
     sample = random_.random(n) < s.sample / n
     met = np.zeros(len(pairs), bool)
-    for k in range(s.trees):
+    for k in range(s.forest_size(n)):
         rows, leaves = vector_links.route(vector_links.grow(unit[sample], max(n / s.sample, 1), s, k), unit)
         held = np.zeros((n // 3, leaves.max() + 1), bool)
         held[rows[rows < n // 3], leaves[rows < n // 3]] = True
@@ -258,6 +258,68 @@ def test_forest_keeps_a_loose_group_together(n):
     assert met.mean() > 0.99
 
 
+def planted(n, kind):
+    """Unit vectors and pairs of them at the threshold or in a tight group with a third of the rows."""
+    random_ = np.random.default_rng(2)
+    x = random_.standard_normal((n, 64))
+    if kind == "pairs":
+        m = n // 10
+        x[n - m :] = x[:m] + 0.47 * random_.standard_normal((m, 64))
+        pairs = np.stack([np.arange(m), np.arange(n - m, n)], axis=1)
+    else:
+        x[: n // 3] = random_.standard_normal(64) + 0.12 * x[: n // 3]
+        pairs = random_.integers(0, n // 3, (3000, 2))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return unit, pairs[(unit[pairs[:, 0]] * unit[pairs[:, 1]]).sum(axis=1) >= 0.9]
+
+
+@pytest.mark.parametrize("kind", ["pairs", "tight"])
+def test_rows_and_comparisons_of_a_forest_grow_slowly(kind):
+    s, rows_each, work = vector_links.Settings(), [], []
+    for n in (12_000, 96_000):
+        unit, pairs = planted(n, kind)
+        sample = np.random.default_rng(3).random(n) < s.sample / n
+        scale = max(n / s.sample, 1)
+        core = vector_links.core_of(unit, vector_links.core_centres(unit[sample], scale, s), s)
+        assert (core >= 0).mean() > 0.3 if kind == "tight" else (core < 0).all()
+        single = unit.astype(np.float32)
+        met = (core[pairs[:, 0]] == core[pairs[:, 1]]) & (core[pairs[:, 0]] >= 0)
+        all_rows = compared = 0
+        for k in range(s.forest_size(n)):
+            rows, leaves = vector_links.route(vector_links.grow(single[sample & (core < 0)], scale, s, k), single)
+            all_rows += len(rows)
+            compared += (np.bincount(leaves).astype(float) ** 2).sum() - (np.bincount(leaves[core[rows] >= 0]).astype(float) ** 2).sum()
+            met |= meets(rows, leaves, pairs)
+        assert met.mean() > 0.98
+        rows_each.append(all_rows / n)
+        work.append(compared / n)
+    assert rows_each[1] < 1.8 * rows_each[0] and rows_each[1] < 15 and work[1] < 3 * work[0]
+
+
+def meets(rows, leaves, pairs):
+    order = np.lexsort((leaves, rows))
+    rows, leaves = rows[order], leaves[order]
+    of = lambda k: leaves[np.searchsorted(rows, k) : np.searchsorted(rows, k + 1)]
+    return np.array([len(np.intersect1d(of(a), of(b))) > 0 for a, b in pairs])
+
+
+def test_a_core_is_counted_not_compared(spark):
+    random_ = np.random.default_rng(6)
+    x = random_.standard_normal((1500, 16))
+    x[:600] = x[0] + 0.1 * random_.standard_normal((600, 16))
+    x[600:700] = x[0] + 0.45 * random_.standard_normal((100, 16))
+    x[700:705] = x[3]
+    docs = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    small = vector_links.Settings(leaf=100, block=64)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert (vector_links.core_of(unit, vector_links.core_centres(unit, 1, small), small) >= 0).sum() > 500
+    linked = unit @ unit.T >= 0.9
+    np.fill_diagonal(linked, False)
+    found = {r["id"]: r["n_links"] for r in vector_links.links(docs, settings=small).collect()}
+    got = np.array([found[k] for k in range(len(x))])
+    assert (got <= linked.sum(axis=1)).all() and got.sum() >= 0.99 * linked.sum()
+
+
 def test_sentences_are_units():
     assert list(repeated_passages.spans("A b. C!? d\n...e\n\n", "sentence")) == [(0, 4, "A b."), (4, 8, " C!?"), (8, 10, " d"), (11, 14, "..."), (14, 15, "e")]
 

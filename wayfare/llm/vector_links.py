@@ -3,19 +3,27 @@
 1. Equal vectors are one class with a number of copies; copies never meet.
 2. Each tree splits a bounded sample (``sample`` vectors) again and again by a
    direction at the median, until a leaf stands for about ``leaf`` vectors of the
-   table. Vectors within a margin of a cut go to both sides. The margin is ``spill``
-   times the distance of two vectors at the threshold, whatever the node's own
-   spread; of ``tries`` random directions the one with the smallest sides is taken.
-   A node whose cut would save less than a tenth of its comparisons, as in dense
-   groups, is a leaf of any size. Every vector is routed to its leaves of all trees.
-3. Within a leaf all cosines are taken in double precision. Leaves with more than
-   ``block`` vectors, as tight groups make them, are compared block with block in
-   several tasks. A pair found in several leaves counts in the first common one.
-   Each task gives back one row per vector: its links there and a spanning forest.
-4. Sums give the number of links, connected components the groups.
+   table. Vectors within a margin of a cut go to both sides. The margin is thin: just
+   so wide that a pair at the threshold is parted with probability ``parted``, which
+   each node measures on its own vectors; of ``tries`` directions the one with the
+   smallest sides is taken. The number of trees follows from the levels, so that such
+   a pair meets in one of them (``missed``); the rows per vector grow about as the
+   fifth root of the table. A node whose cut would save less than a tenth of its
+   comparisons, as in dense groups, is a leaf of any size.
+3. Tight groups larger than a leaf have a core: the vectors within half the angle of
+   the threshold of a centre (at most ``cores`` of them, from the sample). All pairs of
+   a core are linked, by the triangle inequality: they are counted, never compared.
+4. Within a leaf all other cosines are taken in double precision. Leaves with more
+   than ``block`` vectors are compared block with block in several tasks. A pair found
+   in several leaves counts in the first common one. Each task gives back one row per
+   vector: its links there and a spanning forest.
+5. Sums give the number of links, connected components the groups.
+
+What stays quadratic is a loose group: vectors nearer than about twice the threshold's
+distance, but outside a core. No cut helps there, and their links differ one by one.
 
 Every link reported is exact. Links between vectors that no tree puts together are
-missed: fewer than 0.01 in a loose group with a third of the rows (see the tests).
+missed: fewer than 0.01 of them (see the tests).
 
 Defined results: vectors that are null, empty, zero or have null or non-finite
 parts link with nothing, nor do rows with a null id or vectors of different length;
@@ -24,12 +32,13 @@ equal rows count as vectors of their own; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,14 +50,26 @@ from .near_duplicates import forest
 @dataclass(frozen=True)
 class Settings:
     cosine: float = 0.9
-    trees: int = 4
+    trees: int | None = None
+    parted: float = 0.1
+    missed: float = 0.002
     leaf: int = 1000
-    spill: float = 0.6
     tries: int = 8
     block: int = 2048
-    sample: int = 20_000
+    cores: int = 32
+    sample: int = 50_000
     seed: int = 5
 
+    def forest_size(self, n: int) -> int:
+        """Trees after which a pair at the threshold among ``n`` vectors has met but for ``missed``."""
+        together = (1 - self.parted) ** math.log2(max(n / self.leaf, 2))
+        return self.trees or max(4, math.ceil(math.log(self.missed) / math.log(1 - together)))
+
+    @property
+    def core_cosine(self) -> float:
+        """Two vectors this near to a third one are linked, rounding included."""
+        return math.cos(math.acos(self.cosine) / 2 - 1e-7)
+
 
 @dataclass
 class Tree:
@@ -62,6 +83,33 @@ class Tree:
     leaves: int
 
 
+def parting_margin(from_cut: np.ndarray, step: np.ndarray, parted: float) -> np.ndarray:
+    """Per column the margin that leaves ``parted`` of the pairs (x, x + step) on two sides of the cut."""
+    partner = from_cut + step
+    nearer = np.minimum(np.abs(from_cut), np.abs(partner))
+    return np.quantile(np.where(from_cut * partner < 0, nearer, 0), 1 - parted, axis=0)
+
+
+def core_centres(unit: np.ndarray, scale: float, s: Settings) -> np.ndarray:
+    """Centres of tight groups that stand for more than a leaf, largest first."""
+    random = np.random.default_rng(s.seed)
+    tried = unit[random.permutation(len(unit))[:500]]
+    near = unit @ tried.T >= s.cosine
+    left, centres = np.ones(len(unit), bool), []
+    while len(centres) < s.cores and len(tried):
+        sizes = (near & left[:, None]).sum(axis=0)
+        best = sizes.argmax()
+        if sizes[best] * scale <= s.leaf or sizes[best] < 8:
+            break
+        members = near[:, best] & left
+        centre = unit[members].mean(axis=0)
+        centre /= max(np.linalg.norm(centre), 1e-300)
+        left &= ~members
+        if ((unit[members] @ centre) >= s.core_cosine).sum() * scale > s.leaf:
+            centres.append(centre)
+    return np.array(centres).reshape(-1, unit.shape[1])
+
+
 def grow(unit: np.ndarray, scale: float, s: Settings, seed: int) -> Tree:
     """A tree over sampled unit vectors, each of which stands for ``scale`` vectors."""
     random = np.random.default_rng(seed)
@@ -73,20 +121,22 @@ def grow(unit: np.ndarray, scale: float, s: Settings, seed: int) -> Tree:
             side[parent] = child
 
     # a direction of length sqrt(dim) keeps distances in the mean
-    margin = s.spill * np.sqrt(2 * max(1 - s.cosine, 0.0))
+    distance = np.sqrt(2 * max(1 - s.cosine, 0.0))
     todo: list[tuple[np.ndarray, int, list[int]]] = [(np.arange(len(unit)), -1, left)]
     while todo:
         rows, parent, side = todo.pop()
         split = None
-        if len(rows) * scale > s.leaf and len(rows) >= 16:
+        if len(rows) * scale > s.leaf and len(rows) >= 8:
             tried = random.standard_normal((s.tries, unit.shape[1])).astype(np.float32)
             tried *= np.sqrt(unit.shape[1]) / np.linalg.norm(tried, axis=1, keepdims=True)
             p = unit[rows] @ tried.T
             cuts = np.median(p, axis=0)
+            one = p[random.integers(0, len(rows), 1000)]
+            margin = parting_margin(one - cuts, distance * random.standard_normal(one.shape), s.parted)
             work = (p <= cuts + margin).sum(axis=0) ** 2 + (p >= cuts - margin).sum(axis=0) ** 2
             k = work.argmin()
             if work[k] < 0.9 * len(rows) ** 2:
-                low_, high_ = cuts[k] - margin, cuts[k] + margin
+                low_, high_ = cuts[k] - margin[k], cuts[k] + margin[k]
                 split = tried[k], low_, high_, rows[p[:, k] <= high_], rows[p[:, k] >= low_]
         if split is None:
             link(parent, side, -1 - leaves)
@@ -131,21 +181,37 @@ def units(lists: pa.Array, dim: int) -> np.ndarray:
     return flat / np.sqrt((flat * flat).sum(axis=1, keepdims=True))
 
 
-def _routed(forests: dict[int, list[Tree]], trees: int):
-    """Rows (leaf, id, copies, vector, leaves), once per leaf. A leaf's number has its vector length and tree in it."""
+@dataclass
+class Forest:
+    trees: list[Tree]
+    centres: np.ndarray
+
+
+def core_of(unit: np.ndarray, centres: np.ndarray, s: Settings) -> np.ndarray:
+    """The first centre whose core a vector is in, or -1."""
+    inside = unit @ centres.T >= s.core_cosine
+    return np.where(inside.any(axis=1), inside.argmax(axis=1) if len(centres) else 0, -1)
+
+
+def _routed(forests: dict[int, Forest], s: Settings, most: int):
+    """Rows (leaf, core, id, copies, vector, leaves), once per leaf. Numbers of leaves and cores have the vector length in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = np.asarray(batch["vector"].value_lengths())
             for dim in np.unique(dims):
                 part = batch.take(pa.array(np.flatnonzero(dims == dim)))
+                forest_ = forests.get(int(dim))
                 for begin in range(0, len(part), 1000):
                     some = part.slice(begin, 1000)
-                    unit = units(some["vector"], int(dim)).astype(np.float32)
+                    unit = units(some["vector"], int(dim))
+                    single = unit.astype(np.float32)
                     # without a sample of this length there is one leaf
-                    found = [route(t, unit) for t in forests[dim]] if dim in forests else [(np.arange(len(some)), np.zeros(len(some), int))]
+                    found = [route(t, single) for t in forest_.trees] if forest_ else [(np.arange(len(some)), np.zeros(len(some), int))]
+                    core = core_of(unit, forest_.centres, s) if forest_ else np.full(len(some), -1)
+                    core = np.where(core < 0, -1, int(dim) * s.cores + core)
                     rows = np.concatenate([r for r, _ in found])
-                    names = np.concatenate([(int(dim) * trees + k << 32) + leaf for k, (_, leaf) in enumerate(found)])
+                    names = np.concatenate([(int(dim) * most + k << 32) + leaf for k, (_, leaf) in enumerate(found)])
                     order = np.lexsort((names, rows))
                     rows, names = rows[order], names[order]
                     counts = np.bincount(rows, minlength=len(some))
@@ -153,8 +219,8 @@ def _routed(forests: dict[int, list[Tree]], trees: int):
                     per_row = pa.ListArray.from_arrays(offsets, pa.array(names))
                     at = pa.array(rows)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(names), some["id"].take(at), some["copies"].take(at), some["vector"].take(at), per_row.take(at)],
-                        names=["leaf", "id", "copies", "vector", "leaves"],
+                        [pa.array(names), pa.array(core[rows]), some["id"].take(at), some["copies"].take(at), some["vector"].take(at), per_row.take(at)],
+                        names=["leaf", "core", "id", "copies", "vector", "leaves"],
                     )
 
     return run
@@ -177,7 +243,7 @@ def _compare(cosine: float):
         vectors = table["vector"].combine_chunks()
         unit = units(vectors, len(vectors[0]))
         side = table["side"].to_numpy()
-        one_block = table["b1"][0].as_py() == table["b2"][0].as_py()
+        one_block = table["p1"][0].as_py() == table["p2"][0].as_py()
         left = np.flatnonzero(side == 0)
         right = left if one_block else np.flatnonzero(side == 1)
         close = unit[left] @ unit[right].T >= cosine
@@ -200,7 +266,7 @@ def _compare(cosine: float):
     return run
 
 
-def _sampled(classes: DataFrame, n: int, s: Settings) -> dict[int, list[Tree]]:
+def _sampled(classes: DataFrame, n: int, s: Settings) -> dict[int, Forest]:
     """The forest of each vector length, from at most about ``sample`` vectors in the driver."""
     part = min(1.0, s.sample / max(n, 1))
     rows = classes.filter(F.pmod(F.xxhash64(F.lit(s.seed), "id"), F.lit(1 << 30)) < int(part * (1 << 30))).select("vector").toArrow()
@@ -210,11 +276,43 @@ def _sampled(classes: DataFrame, n: int, s: Settings) -> dict[int, list[Tree]]:
     dims = np.asarray(vectors.value_lengths())
     found = {}
     for dim in np.unique(dims).tolist():
-        unit = units(vectors.take(pa.array(np.flatnonzero(dims == dim))), dim).astype(np.float32)
-        found[dim] = [grow(unit, 1 / part, s, s.seed * 1000 + k) for k in range(s.trees)]
+        unit = units(vectors.take(pa.array(np.flatnonzero(dims == dim))), dim)
+        centres = core_centres(unit, 1 / part, s)
+        # cores need no leaves of their own: the trees divide the others
+        others = unit[core_of(unit, centres, s) < 0].astype(np.float32)
+        found[dim] = Forest([grow(others, 1 / part, s, s.seed * 1000 + k) for k in range(s.forest_size(n))], centres)
     return found
 
 
+def _dealt(routed: DataFrame, s: Settings) -> DataFrame:
+    """Each row of a leaf once for every pair of blocks that its block is in. A block holds one core or none; blocks of one core never meet."""
+    sizes = routed.groupBy("leaf", "core").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("n"))
+    # a leaf has at most one row per core, and one without
+    known = saved(sizes.groupBy("leaf").agg(F.collect_list(F.struct("core", "n")).alias("parts")), "vector-blocks")
+
+    def block(core: Column, number: Column) -> Column:
+        return F.struct(core.alias("core"), number.alias("b"))
+
+    every = F.flatten(
+        F.transform("parts", lambda part: F.transform(F.sequence(F.lit(0), part["n"] - 1), lambda b: block(part["core"], b)))
+    )
+    others = F.filter(every, lambda x: (x["core"] != F.col("core")) | (x["core"] < 0))
+    own = F.filter("parts", lambda part: part["core"] == F.col("core"))[0]["n"]
+    rows = routed.join(known, "leaf").withColumn("mine", block(F.col("core"), F.pmod(F.xxhash64("id"), own).cast("int")))
+    rows = rows.withColumn("other", F.explode(others))
+    return rows.select(
+        "leaf", "id", "copies", "vector", "leaves", F.least("mine", "other").alias("p1"), F.greatest("mine", "other").alias("p2"),
+        F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"),
+    )
+
+
+def _within_cores(routed: DataFrame) -> DataFrame:
+    """(id, links, to): what each vector of a core owes to the others of it."""
+    once = routed.filter((F.col("core") >= 0) & (F.col("leaf") == F.get("leaves", F.lit(0)))).select("core", "id", "copies")
+    whole = saved(once.groupBy("core").agg(F.sum("copies").alias("total"), F.min("id").alias("to")), "vector-cores")
+    return once.join(whole, "core").select("id", (F.col("total") - F.col("copies")).alias("links"), "to")
+
+
 def links(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", settings: Settings = Settings()) -> DataFrame:
     """(id, n_links, component_id, kept) per row of ``vectors``."""
     s = settings
@@ -232,24 +330,18 @@ def links(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", set
         good.groupBy("k1", "k2").agg(F.min(F.struct("id", "vector")).alias("r"), F.count(F.lit(1)).alias("copies")).select("k1", "k2", "copies", "r.*"),
         "vector-classes",
     )
-    forests = _sampled(classes, classes.count(), s)
+    n = classes.count()
+    forests = _sampled(classes, n, s)
     kind, parts = vectors.schema[id].dataType, vectors.schema[vector].dataType
     leaf_row = T.StructType([
-        T.StructField("leaf", T.LongType()), T.StructField("id", kind), T.StructField("copies", T.LongType()),
-        T.StructField("vector", parts), T.StructField("leaves", T.ArrayType(T.LongType())),
+        T.StructField("leaf", T.LongType()), T.StructField("core", T.LongType()), T.StructField("id", kind),
+        T.StructField("copies", T.LongType()), T.StructField("vector", parts), T.StructField("leaves", T.ArrayType(T.LongType())),
     ])
-    routed = saved(classes.select("id", "copies", "vector").mapInArrow(_routed(forests, s.trees), leaf_row), "vector-leaves")
-    blocks = routed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    pair = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda t: F.struct(
-            F.least("mine", t).alias("b1"), F.greatest("mine", t).alias("b2"), F.when(F.col("mine") <= t, 0).otherwise(1).alias("side")
-        ),
-    )
-    dealt = routed.join(saved(blocks, "vector-blocks"), "leaf").withColumn("mine", mine).withColumn("p", F.explode(pair))
+    routed = classes.select("id", "copies", "vector").mapInArrow(_routed(forests, s, s.forest_size(n)), leaf_row)
+    routed = saved(routed, "vector-leaves")
     out = T.StructType([T.StructField("id", kind), T.StructField("links", T.LongType()), T.StructField("to", kind)])
-    found = saved(dealt.select("leaf", "id", "copies", "vector", "leaves", "p.*").groupBy("leaf", "b1", "b2").applyInArrow(_compare(s.cosine), out), "vector-links")
+    compared = _dealt(routed, s).groupBy("leaf", "p1", "p2").applyInArrow(_compare(s.cosine), out)
+    found = saved(compared.union(_within_cores(routed)), "vector-links")
     sums = found.groupBy("id").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("id").alias("a"), F.col("to").alias("b")))
     known = classes.select("k1", "k2", "copies", "id").join(sums, "id", "left").join(groups, "id", "left")
