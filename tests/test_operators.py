@@ -337,3 +337,22 @@ def test_exports_are_read_back(spark):
     assert reports.read_export(df, "BO1", ("total_bookings",)).first().total_bookings == 3
     checked = {r.export_type: tuple(r)[1:] for r in reports.export_structure(df, {"BO1": ("hotel",), "BO2": ("hotel",), "BO3": ()}).collect()}
     assert checked == {"BO1": (1, 0, 0, True), "BO2": (2, 1, 1, False), "BO3": (0, 0, 0, False)}
+
+
+def keys_of(df):
+    return [e for e in plan_of(df).splitlines() if "hashpartitioning" in e]
+
+
+def test_equal_rows_are_counted_without_shuffling_them(spark):
+    """Odd rows too: NULLs that change places, both zeros, NaN, nested columns."""
+    nan = float("nan")
+    rows = [(None, "a", 0.0, [1, None]), ("a", None, 0.0, [1, None]), ("a", None, -0.0, [1, None]), ("a", None, nan, [None, 1]),
+            ("a", None, nan, [None, 1]), ("a", "", nan, [None, 1]), ("", "a", nan, [1]), (None, None, None, None), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "x string, `y-y` string, z double, w array<int>").repartition(3)
+    assert tuple(quality.duplicate_rows(df).first()) == (9, 3)
+    plain = df.drop("w")
+    assert tuple(quality.duplicate_rows(plain).first()) == (9, 3)
+    gap = changes.content_gap("odd", df, spark.createDataFrame(rows[1:5], df.schema)).first()
+    assert (gap.in_source, gap.in_bronze, gap.only_in_source, gap.only_in_bronze) == (9, 4, 5, 0)
+    for counted in (quality.duplicate_rows(plain), changes.content_gap("odd", plain, plain)):
+        assert keys_of(counted) and not any("y-y" in line for line in keys_of(counted))
