@@ -114,3 +114,13 @@ def test_exact_sums_do_not_depend_on_order(spark):
     df = spark.range(100_000).select((F.col("id") % 1000 / 100.0).alias("x"))
     results = {df.repartition(n).agg(numeric.exact_sum("x")).first()[0] for n in (1, 3, 7)}
     assert results == {sum(i % 1000 for i in range(100_000)) / 100.0}
+
+
+def test_text_without_digits_is_not_parsed(spark):
+    texts = ["FRANCE", "", " ", "NaN", "Infinity", "-inf", None, "3.0", " 4 ", "\t+8\n", "99999999999999999999", "1e2", "5d", "0x1p3", "3.5", "12", "-7.0"]
+    df = spark.createDataFrame([(t, 2.0, True) for t in texts], "t string, d double, b boolean")
+    got = df.select(coerce.to_int("t").alias("t"), coerce.to_int("d").alias("d"), coerce.to_int("b").alias("b"))
+    assert [r.t for r in got.collect()] == [None] * 7 + [3, 4, 8, None, 100, 5, 8, None, 12, -7]
+    assert {(r.d, r.b) for r in got.collect()} == {(2, 1)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" as bigint)") > 0 and "coalesce(try_cast" not in plan and "typeof" not in plan
