@@ -34,6 +34,17 @@ def test_fields_with_line_feeds_come_back(spark, tmp_path):
     assert files.read_typed_csv(spark, str(tmp_path / "t"), "n long, x double, s string").filter("s like '%lines%'").first().n == 1
 
 
+def test_compressed_csv_comes_back(spark, tmp_path):
+    rows = [(k, None if k % 7 == 0 else k / 4, f'Guest#{k:09d}, "of"\nCity Hotel') for k in range(4000)]
+    df = spark.createDataFrame(rows, "n long, x double, s string").repartition(2)
+    sinks.write_csv(df, str(tmp_path / "plain"))
+    sinks.write_csv(df, str(tmp_path / "small"), "gzip")
+    size = {name: sum(f.stat().st_size for f in (tmp_path / name).glob("part-*")) for name in ("plain", "small")}
+    assert size["small"] < size["plain"] / 3
+    spec = TableSpec("t", ints=("n",), floats=("x",), texts=("s",))
+    assert sorted(map(tuple, files.read_csv(spark, str(tmp_path / "small"), spec).collect())) == rows
+
+
 def test_corrupt_records_are_shown(spark, tmp_path):
     (tmp_path / "t.csv").write_text("n,x\n1,2.5\nmany,3\n")
     got = files.read_typed_csv(spark, str(tmp_path / "t.csv"), "n int, x double", corrupt="bad").cache()
