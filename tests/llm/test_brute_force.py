@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -155,6 +156,17 @@ def test_tokens_equal_the_tokenizers(texts):
     assert found == [e.ids for e in whole.encode_batch(made, add_special_tokens=False)]
 
 
+def test_a_batch_of_texts_needs_little_memory():
+    rng, words = random.Random(2), [f"w{chr(97 + k % 26)}{k}" for k in range(500)]
+    texts = pa.array([" ".join(rng.choices(words, k=3000)) for _ in range(500)])
+    tokens = packing.Tokens(TOKENIZER)
+    tracemalloc.start()
+    n = sum(len(x) for x in tokens.ids(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 3_000_000 and peak < 60_000_000
+
+
 def test_packing_is_a_round_trip(spark, sf_dir, texts):
     whole = Tokenizer.from_file(TOKENIZER)
     rows = queries.op5_packing(spark, sf_dir).collect()

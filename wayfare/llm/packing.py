@@ -30,7 +30,7 @@ from .common import col, saved, ship
 #: Words that a worker remembers; beyond that it forgets all and begins anew. No result depends on it.
 MEMORY = 400_000
 #: Characters of text that are tokenized at once.
-CHUNK = 8_000_000
+CHUNK = 2_000_000
 #: Texts with other characters (these are composed and have plain small letters), or with a
 #: special token, go through the tokenizer as they are.
 UNUSUAL = (
@@ -160,7 +160,7 @@ def pieces(
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     at.append(k)
-                    out.append((piece, start // 4, len(part) // 4, zlib.crc32(part), part))
+                    out.append((piece, start // 4, len(part) // 4, zlib.crc32(part), *([part] if with_ids else [])))
             columns = [batch["id"].take(pa.array(at, pa.int64())), *[pa.array(c, pa.int64()) for c in list(zip(*out))[:4] or [[]] * 4]]
             if with_ids:
                 columns.append(pa.array([o[4] for o in out], pa.binary()))
