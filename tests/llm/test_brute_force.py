@@ -156,6 +156,15 @@ def test_tokens_equal_the_tokenizers(texts):
     assert found == [e.ids for e in whole.encode_batch(made, add_special_tokens=False)]
 
 
+def test_tokens_are_the_same_wherever_texts_are_cut(monkeypatch, texts):
+    whole = Tokenizer.from_file(TOKENIZER)
+    monkeypatch.setattr(packing, "CHUNK", 1)  # each text is the last one of its array
+    made = [f"{'ab' * (k % 40)}queñ{k}ó{'xyz'[k % 3] * (k % 17)}{end}" for k in range(600) for end in (".", "!?", ". ", "\n")]
+    made += [t["text"] or "" for t in texts.values()]
+    found = [x.tolist() for x in packing.Tokens(TOKENIZER).ids(pa.array(made))]
+    assert found == [e.ids for e in whole.encode_batch(made, add_special_tokens=False)]
+
+
 def test_a_batch_of_texts_needs_little_memory():
     rng, words = random.Random(2), [f"w{chr(97 + k % 26)}{k}" for k in range(500)]
     texts = pa.array([" ".join(rng.choices(words, k=3000)) for _ in range(500)])

@@ -77,6 +77,11 @@ class Memory:
         return ids, through[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
 
+def _split(texts: pa.Array) -> pa.ListArray:
+    """Parts between white space. Arrow leaves white space at the very end of an array in its last part, hence the trim."""
+    return pc.utf8_split_whitespace(pc.utf8_trim_whitespace(texts))
+
+
 class Tokens:
     """Token ids of texts, by way of their distinct words.
 
@@ -111,14 +116,14 @@ class Tokens:
         return self.pieces.learn(pieces, np.fromiter(itertools.chain.from_iterable(found), "<u4", int(sizes.sum())), sizes)
 
     def _learn_words(self, words: list[str]) -> np.ndarray:
-        pieces = pc.utf8_split_whitespace(pc.replace_substring_regex(pa.array(words, pa.string()), NO_LETTERS, r" \1 "))
+        pieces = _split(pc.replace_substring_regex(pa.array(words, pa.string()), NO_LETTERS, r" \1 "))
         ids, ends = self._gather(self.pieces, pieces, self._learn_pieces)
         return self.words.learn(words, ids, np.diff(ends))
 
     def _usual(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.words.place) > MEMORY:
             self.words, self.pieces = Memory(), Memory()
-        ids, ends = self._gather(self.words, pc.utf8_split_whitespace(pc.utf8_lower(texts)), self._learn_words)
+        ids, ends = self._gather(self.words, _split(pc.utf8_lower(texts)), self._learn_words)
         return [ids[a:b] for a, b in itertools.pairwise(ends.tolist())]
 
     def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
