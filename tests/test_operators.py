@@ -68,6 +68,16 @@ def test_booking_ids_are_unique_and_stable(spark, monkeypatch):
     assert sorted(int(r.booking_id.split("-")[1]) for r in first.collect() if r.k == "a") == list(range(1, 11))
 
 
+def test_booking_ids_move_their_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(curated, "KEY_BLOCK", 3)
+    # a column that only gets its own name again made the branches for few and for many copies differ
+    rows = spark.createDataFrame([(max(i, 49), "x") for i in range(100)], "n bigint, k string")
+    df = rows.select(F.col("n").cast("bigint").alias("n"), F.upper("k").alias("k"))
+    keyed = curated.with_booking_id(df)
+    assert len({r.booking_id for r in keyed.collect()}) == 100
+    assert "ReusedExchange" in plan_of(keyed)
+
+
 def test_left_join_keeps_rows_and_never_matches_null(spark):
     facts = spark.createDataFrame([("x", 1), ("y", 2), (None, 3), (None, 4), ("x", 5)], "k string, n int")
     lookup = spark.createDataFrame([("x", "hit"), (None, "wrong")], "k string, v string")
