@@ -287,6 +287,20 @@ def test_merge_has_one_exchange(spark, tmp_path):
     assert text.count("Exchange ") == 1 and text.count("FileScan") == 2 and "Aggregate" not in text and "Join" not in text
 
 
+def test_merge_moves_each_row_without_a_copy_of_it(spark, tmp_path):
+    for name in ("old", "new"):
+        spark.range(100).selectExpr("id AS k", "id % 7 AS d", "id AS o", "cast(id AS string) AS v").write.parquet(str(tmp_path / name))
+    old, new = (spark.read.parquet(str(tmp_path / n)) for n in ("old", "new"))
+    below = plan_of(changes.upsert(old, new, ["k"], ["o"])).split("Initial Plan")[0].split("Exchange ")[1]
+    assert "struct(" not in below
+    dealt = changes.merge(old, new, ["k", "d"], ["o"], parts=["d"], buckets=2)
+    text = plan_of(dealt).split("Initial Plan")[0]
+    assert text.count("Exchange ") == 1 and "hashpartitioning(d" in text
+    assert dealt.filter("_action = 'updated'").count() == 100
+    tasks = dealt.withColumn("task", F.spark_partition_id()).groupBy("d").agg(F.count_distinct("task").alias("n")).collect()
+    assert all(r.n <= 2 for r in tasks)
+
+
 def test_tables_of_a_common_pass_are_the_same(spark, sf_dir, tmp_path):
     from verification.tables import Tables
 
