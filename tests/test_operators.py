@@ -380,3 +380,26 @@ def test_equal_rows_are_counted_without_shuffling_them(spark):
     assert (gap.in_source, gap.in_bronze, gap.only_in_source, gap.only_in_bronze) == (9, 4, 5, 0)
     for counted in (quality.duplicate_rows(plain), changes.content_gap("odd", plain, plain)):
         assert keys_of(counted) and not any("y-y" in line for line in keys_of(counted))
+
+
+def test_large_lookups_move_no_bookings(spark, sf_dir):
+    from wayfare.sources import fixtures
+
+    def digest(df):
+        return df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
+
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before, want = spark.conf.get(threshold), digest(fixtures.view(spark, sf_dir, "bookings"))
+    try:
+        spark.conf.set(threshold, "-1")
+        df = fixtures.view(spark, sf_dir, "bookings")
+        lines = plan_of(df).split("\n")
+        got = digest(df)
+    finally:
+        spark.conf.set(threshold, before)
+    assert got == want
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for key in ("o_custkey", "l_partkey"):
+        at = next(k for k, line in enumerate(lines) if f"Exchange hashpartitioning({key}" in line)
+        end = next((k for k in range(at + 1, len(lines)) if depth(lines[k]) <= depth(lines[at])), len(lines))
+        assert sum("FileScan" in line for line in lines[at:end]) == 1
