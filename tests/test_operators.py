@@ -1,8 +1,10 @@
 """Joins, profiles, keys, upserts and reports against brute force."""
 
 import collections
+import datetime
 import itertools
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -403,3 +405,22 @@ def test_large_lookups_move_no_bookings(spark, sf_dir):
         at = next(k for k, line in enumerate(lines) if f"Exchange hashpartitioning({key}" in line)
         end = next((k for k in range(at + 1, len(lines)) if depth(lines[k]) <= depth(lines[at])), len(lines))
         assert sum("FileScan" in line for line in lines[at:end]) == 1
+
+
+def test_booking_ids_move_rows_as_text(spark):
+    kinds = "s string, b boolean, i int, l bigint, d date, v double, f float, m decimal(20,6), t timestamp, a array<string>, x binary"
+    texts = ["", "a", "\x1b", "\x1f", "\x1b0", "\x1b1", "\x1b2\x1f\x1b", "é漢\x00", "a\x1fb", None]
+    day, at = datetime.date(1, 2, 3), datetime.datetime(2024, 3, 31, 2, 30, 0, 5)
+    numbers = [0.1, -0.0, 0.0, 1e308, float("nan"), float("inf"), 5e-324, None]
+    rows = [(s, None, 1, 2**62, day, 1.5, 0.1, Decimal("1.000001"), at, [s], b"\xff") for s in texts]
+    rows += [("v", True, -1, None, None, v, v, None, None, None, None) for v in numbers] + [(None,) * 11] * 2
+    df = spark.createDataFrame(rows, kinds)
+    df = df.unionByName(df.select(F.expr("cast(x'FF41' as string)").alias("s"), *df.columns[1:]))
+    keyed = curated.with_booking_id(df)
+    assert keyed.columns == ["booking_id", *df.columns] and [f.dataType for f in keyed.schema.fields[1:]] == [f.dataType for f in df.schema.fields]
+    counted = lambda t: collections.Counter(map(str, t.groupBy(*df.columns).count().withColumn("s", F.hex(F.col("s").cast("binary"))).collect()))
+    assert counted(df) == counted(keyed)
+    plain = df.drop("t", "a", "x").withColumns({c: F.col(c) + F.lit(0.0).cast(k) for c, k in (("v", "double"), ("f", "float"))})
+    assert {r[0][:34] for r in curated.with_booking_id(plain).collect()} == {"BK" + r[0] for r in plain.select(curated.content_hash(plain)).collect()}
+    moved = plan_of(curated.with_booking_id(df.select("s", "i", "d", "v"))).split("hashpartitioning(")[1].split(")")[0]
+    assert moved.startswith("_row#") and moved.count("#") == 2
