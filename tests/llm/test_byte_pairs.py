@@ -100,3 +100,22 @@ def test_decoding_of_any_ids(library):
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         byte_pairs.Vocabulary(queries.tokenizer_path())
+
+
+def test_parts_move_as_ids_and_finished_texts_leave_the_levels(spark, library, monkeypatch):
+    rng, plain, seen = random.Random(17), byte_pairs.saved, []
+
+    def saved(df, label):
+        found = plain(df, label)
+        seen.append((label, found.columns, found.count()))
+        return found
+
+    monkeypatch.setattr(byte_pairs, "saved", saved)
+    texts = [made(rng, 1_000)[:n] for n in (190, 150, 799, 60)]
+    texts.append(texts[2])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["ids"] for r in byte_pairs.encode(docs, PATH, leaf=100).collect()}
+    assert got == {d: ids_of(library, t) for d, t in enumerate(texts)}
+    levels = [x for x in seen if x[0] in ("leaves", "joined")]
+    assert [n for _, _, n in levels] == [2 + 2 + 8, 1 + 1 + 4, 2, 1]
+    assert not any({"text", "data"} & set(columns) for _, columns, _ in levels) and "halves" not in {x[0] for x in seen}

@@ -208,8 +208,8 @@ def halves(n: int, leaf: int) -> int:
 # --- in the tasks
 
 _IDS = pa.list_(pa.int32())
-_PART = "key binary, node long, data binary, ids array<int>"
-_PART_SCHEMA = pa.schema([("key", pa.binary()), ("node", pa.int64()), ("data", pa.binary()), ("ids", _IDS)])
+_PART = "key binary, count long, node long, ids array<int>"
+_PART_SCHEMA = pa.schema([("key", pa.binary()), ("count", pa.int64()), ("node", pa.int64()), ("ids", _IDS)])
 
 
 def _lists(ids: list) -> pa.ListArray:
@@ -248,7 +248,7 @@ def _leaves(path: str):
         words = vocabulary(path)
         for batch in batches:
             for row in (batch.slice(k, 1) for k in range(batch.num_rows)):
-                columns = [row["key"], row["node"], row["text"].cast(pa.binary()), words.encode_all(row["text"])]
+                columns = [row["key"], row["count"], row["node"], words.encode_all(row["text"])]
                 yield pa.RecordBatch.from_arrays(columns, schema=_PART_SCHEMA)
 
     return run
@@ -259,12 +259,14 @@ def _joining(path: str):
         words = vocabulary(path)
         parts = parts.sort_by("node")
         data, ids = b"", np.zeros(0, np.int64)
-        for text, part in zip(parts["data"].to_pylist(), parts["ids"]):
-            ids = join(data, ids, text, part.values.to_numpy(zero_copy_only=False).astype(np.int64), words)
+        for part in parts["ids"]:
+            more = part.values.to_numpy(zero_copy_only=False).astype(np.int64)
+            text = b"".join(map(spelled(path).__getitem__, more.tolist()))  # a part's bytes are those of its ids
+            ids = join(data, ids, text, more, words)
             data += text
         joined = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids.astype(np.int32)))
-        columns = [parts["key"].slice(0, 1), pa.array([parts["node"][0].as_py() >> 1]), pa.array([data], pa.binary()), joined]
-        return pa.Table.from_arrays(columns, schema=_PART_SCHEMA)
+        up = [pa.array([parts[c][0].as_py() >> 1]) for c in ("count", "node")]
+        return pa.Table.from_arrays([parts["key"].slice(0, 1), *up, joined], schema=_PART_SCHEMA)
 
     return run
 
@@ -273,7 +275,11 @@ def _joining(path: str):
 
 
 def encode_long(texts: DataFrame, path: str, leaf: int) -> DataFrame:
-    """(key, ids) of distinct long texts (key, text), by the tree of halves."""
+    """(key, ids) of each different long text (key, text), copies too in ``texts``, by the tree of halves.
+
+    A part's text moves once, to the task that encodes it; from there on only ids do. A text whose
+    tree is done leaves the levels.
+    """
     n = F.length("text")
     # as ``halves``: the power of two at or above the number of leaves
     doublings = F.ceil(F.log2(F.ceil(n / leaf).cast("double"))).cast("int")
@@ -284,13 +290,14 @@ def encode_long(texts: DataFrame, path: str, leaf: int) -> DataFrame:
         .select("key", "text", "count", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("node"))
         .select("key", "count", "node", F.substring("text", (at(F.col("node")) + 1).cast("int"), (at(F.col("node") + 1) - at(F.col("node"))).cast("int")).alias("text"))
     )
-    levels = saved(nodes, "halves")
-    most = levels.agg(F.max("count")).first()[0] or 1
-    level = saved(levels.repartition("key", "node").mapInArrow(_leaves(path), _PART), "leaves")
+    different = nodes.groupBy("key", "count", "node").agg(F.first("text").alias("text"))
+    level = saved(different.mapInArrow(_leaves(path), _PART), "leaves")
+    done, most = level.filter(F.col("count") == 1), level.agg(F.max("count")).first()[0] or 1
     while most > 1:
-        pairs = level.groupBy("key", (F.col("node") / 2).cast("long").alias("above")).applyInArrow(_joining(path), _PART)
-        level, most = saved(pairs, "joined"), most >> 1
-    return level.select("key", "ids")
+        pairs = level.filter(F.col("count") > 1).groupBy("key", (F.col("node") / 2).cast("long").alias("above"))
+        level, most = saved(pairs.applyInArrow(_joining(path), _PART), "joined"), most >> 1
+        done = done.unionByName(level.filter(F.col("count") == 1))
+    return done.select("key", "ids")
 
 
 def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", leaf: int = LEAF) -> DataFrame:
@@ -302,8 +309,7 @@ def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", l
     long = saved(read.filter(F.col("size") > leaf).select("id", F.unhex(F.sha2("text", 256)).alias("key"), "text"), "long-texts")
     if long.isEmpty():
         return short
-    distinct = long.groupBy("key").agg(F.first("text").alias("text"))
-    return short.unionByName(long.select("id", "key").join(encode_long(distinct, path, leaf), "key").select("id", "ids"))
+    return short.unionByName(long.select("id", "key").join(encode_long(long.select("key", "text"), path, leaf), "key").select("id", "ids"))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
