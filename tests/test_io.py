@@ -248,3 +248,22 @@ def test_report_refresh_twice(spark, sf_dir, tmp_path):
     assert spark.read.parquet(f"{store.root}/premium_revenue").count() == first["premium_revenue"]
     keys = store.read("curated_bookings")
     assert keys.select("booking_id").distinct().count() == keys.count()
+
+
+def test_guests_made_of_the_stored_bookings(spark, sf_dir, tmp_path):
+    from wayfare.operators import profiles
+
+    t = Tables(spark, sf_dir)
+    now, seen = F.lit("2024-01-31 12:00:00").cast("timestamp"), []
+
+    def guests(stored):
+        seen.append((sorted(stored), stored["bookings"].columns, len(stored["bookings"].inputFiles())))
+        return profiles.guests(stored["bookings"])
+
+    tables = []
+    for name, given in (("apart", t.guests), ("stored", guests)):
+        store = sinks.Store(spark, str(tmp_path / name))
+        run = refresh.refresh_hotel(spark, {"bookings": t.bookings, "guests": given, "packages": t.packages}, store, now)
+        tables.append((run.rows, sorted(map(str, store.read("silver_bookings").collect())), sorted(map(str, store.read("gold_upsell_opportunity").collect()))))
+    assert tables[0] == tables[1]
+    assert seen[0][:2] == (["bookings"], t.bookings.columns) and seen[0][2] > 0

@@ -424,3 +424,22 @@ def test_booking_ids_move_rows_as_text(spark):
     assert {r[0][:34] for r in curated.with_booking_id(plain).collect()} == {"BK" + r[0] for r in plain.select(curated.content_hash(plain)).collect()}
     moved = plan_of(curated.with_booking_id(df.select("s", "i", "d", "v"))).split("hashpartitioning(")[1].split(")")[0]
     assert moved.startswith("_row#") and moved.count("#") == 2
+
+
+def test_decimals_are_made_before_rows_are_expanded(spark, sf_dir):
+    from verification.tables import Tables
+
+    stays = Tables(spark, sf_dir).stays
+    tables = kpi_hotel.kpis()
+    cube = kpi.in_one_pass(stays, tables, kpi_hotel.SUMMED)
+    plan = cube._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal(24,6)" in plan and "decimal(24,6)" not in plan[: plan.index("Expand")]
+    for name, one in tables.items():
+        got, want = kpi.part(cube, stays, name, one), one.build(stays)
+        assert collections.Counter(map(str, got.collect())) == collections.Counter(map(str, want.collect()))
+
+
+def test_exact_of_an_exact_number(spark):
+    values = [0.1, -0.0, 1.0000005, 123456789012.1234567, 1e17, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double").withColumn("m", numeric.exact("v"))
+    assert df.filter(~numeric.exact("m").eqNullSafe(F.col("m"))).isEmpty() and dict(df.dtypes)["m"] == "decimal(24,6)"
