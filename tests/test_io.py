@@ -1,6 +1,8 @@
 """Readers, writers, refresh and stream."""
 
+import pathlib
 import sqlite3
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from verification.tables import Tables
 from wayfare.operators import changes
 from wayfare.plans import refresh, update
+from wayfare.session import FILE_CLEANUP
 from wayfare.sinks import tables as sinks
 from wayfare.sources import catalogues, database, files
 from wayfare.sources import tables as sources
@@ -267,3 +270,31 @@ def test_guests_made_of_the_stored_bookings(spark, sf_dir, tmp_path):
         tables.append((run.rows, sorted(map(str, store.read("silver_bookings").collect())), sorted(map(str, store.read("gold_upsell_opportunity").collect()))))
     assert tables[0] == tables[1]
     assert seen[0][:2] == (["bookings"], t.bookings.columns) and seen[0][2] > 0
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {p.name for folder in folders for p in pathlib.Path(folder).rglob("shuffle_*")}
+
+
+def test_a_write_gives_its_shuffles_back(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id % 7 AS k", "id AS n", "cast(current_date() AS date) AS snapshot_date")
+    one = str(tmp_path / "one")
+    for write in (
+        lambda df: sinks.overwrite_path(df, one),
+        lambda df: sinks.replace_snapshot(df, str(tmp_path / "two")),
+        lambda df: sinks.replace_parts(df, str(tmp_path / "three"), ("k",)),
+        lambda df: update.update(str(tmp_path / "four"), df, ["k"], ["n"]),
+        lambda df: update.load(str(tmp_path / "five"), df, ["k"]),
+    ):
+        before = shuffle_files(spark)
+        write(rows.repartition(3, "n"))
+        for _ in range(100):
+            if shuffle_files(spark) <= before:
+                break
+            time.sleep(0.1)
+        assert shuffle_files(spark) <= before
+    assert spark.conf.get(FILE_CLEANUP, "false") != "true"
+    kept = spark.read.parquet(one).groupBy("k").count()
+    sinks.overwrite_path(kept, str(tmp_path / "six"))
+    assert kept.count() == 7 and spark.read.parquet(str(tmp_path / "six")).count() == 7
