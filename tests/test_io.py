@@ -298,3 +298,18 @@ def test_a_write_gives_its_shuffles_back(spark, tmp_path):
     kept = spark.read.parquet(one).groupBy("k").count()
     sinks.overwrite_path(kept, str(tmp_path / "six"))
     assert kept.count() == 7 and spark.read.parquet(str(tmp_path / "six")).count() == 7
+
+
+def test_a_load_moves_rows_as_texts_and_keeps_them(spark, tmp_path):
+    rows = [("a\x1f", -0.0, 1), ("\x00", None, 1), (None, 2.5, None), ("", float("nan"), 2), ("", float("nan"), 2)]
+    df = spark.createDataFrame(rows, "s string, v double, y int")
+    assert update.load(str(tmp_path / "t"), df, ["y"]) == 5
+    assert sorted(map(str, update.stored_table(df, str(tmp_path / "t")).collect())) == sorted(map(str, df.collect()))
+
+
+def test_bookings_that_are_read_twice_are_stored_once(spark, sf_dir, tmp_path):
+    t = Tables(spark, sf_dir)
+    stored = t.stored_bookings
+    assert stored.schema.simpleString() == t.bookings.schema.simpleString() and t.stored_bookings is stored
+    assert "Join" not in stored._jdf.queryExecution().executedPlan().toString()
+    assert stored.exceptAll(t.bookings).count() == 0 == t.bookings.exceptAll(stored).count()

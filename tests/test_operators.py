@@ -508,3 +508,14 @@ def test_the_decoding_of_a_wide_row_is_compiled(spark):
     sizes = [int(part.split(";")[0].split(")")[0]) for part in text.split("maxMethodCodeSize:")[1:]]
     assert sizes and max(sizes) < 8000
     assert sorted(map(tuple, decoded.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_merged_rows_move_as_texts(spark, tmp_path):
+    rows = odd_rows(spark).drop("a").withColumn("d", F.coalesce("d", F.lit("2020-01-01").cast("date")))
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    for parts, first in (((), "k"), (("d",), "d")):
+        merged = changes.merge(rows, rows.limit(0), ["k", "d"], ["n"], parts=parts, buckets=2)
+        assert exactly(merged.drop("_action"))[1] == exactly(rows)[1]
+        text = plan_of(merged).split("Initial Plan")[0]
+        assert text.count("Exchange ") == 1 and f"hashpartitioning({first}" in text and "_moved#" in text.split("Exchange ")[1]
