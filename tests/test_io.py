@@ -309,7 +309,12 @@ def test_a_load_moves_rows_as_texts_and_keeps_them(spark, tmp_path):
 
 def test_bookings_that_are_read_twice_are_stored_once(spark, sf_dir, tmp_path):
     t = Tables(spark, sf_dir)
-    stored = t.stored_bookings
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        stored = t.stored_bookings
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert Tables(spark, sf_dir).stored_bookings.inputFiles() != stored.inputFiles()
     assert stored.schema.simpleString() == t.bookings.schema.simpleString() and t.stored_bookings is stored
     assert "Join" not in stored._jdf.queryExecution().executedPlan().toString()
     assert stored.exceptAll(t.bookings).count() == 0 == t.bookings.exceptAll(stored).count()
